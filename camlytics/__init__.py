@@ -1 +1,9 @@
 """camlytics: multi-camera detection analytics expressed as Spark DataFrames."""
+
+import sys
+
+from pyspark import cloudpickle
+
+# Functions that run in Python workers travel with the task, so executors need
+# no copy of this package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])

@@ -77,7 +77,8 @@ def with_date_parts(df: DataFrame, ts: Column | str) -> DataFrame:
 
 
 def encode_base64(binary) -> Column:
-    return F.base64(_c(binary))
+    """Base64 text on one line, whatever the session says about line breaks."""
+    return F.translate(F.base64(_c(binary)), "\r\n", "")
 
 
 def decode_base64(text) -> Column:

@@ -33,8 +33,7 @@ def score_batches(factory: ScorerFactory, inputs: dict[str, Column], result: str
 
     The scorer gets batches with the ``inputs`` columns and answers one item per
     row. Rows whose ``required`` input is NULL are not scored and get an empty
-    answer. When a batch fails it is scored again row by row, so an error stays
-    with the row that caused it.
+    answer.
     """
     names = list(inputs)
     schema = f"result {result}, error string, processing_time_ms double"
@@ -43,43 +42,42 @@ def score_batches(factory: ScorerFactory, inputs: dict[str, Column], result: str
     def apply(batches: Iterator[tuple[pd.Series, ...]]) -> Iterator[pd.DataFrame]:
         scorer = factory()
         for series in batches:
-            rows = pd.concat(dict(zip(names, series)), axis=1)
-            parts = [
-                _scored(scorer, rows.iloc[at : at + batch_rows], required)
-                for at in range(0, len(rows), batch_rows)
-            ]
-            yield pd.concat(parts, ignore_index=True)
+            rows = pd.DataFrame(dict(zip(names, series)))
+            yield _scored(scorer, rows, rows[required].notna().to_numpy().nonzero()[0], batch_rows)
 
     return apply(*inputs.values())
 
 
-def _scored(scorer: Scorer, rows: pd.DataFrame, required: str) -> pd.DataFrame:
-    out = pd.DataFrame(
-        {"result": None, "error": None, "processing_time_ms": None}, index=rows.index, dtype=object
-    )
-    todo = rows[rows[required].notna()]
-    if todo.empty:
-        return out
-    started = time.perf_counter()
+def _scored(scorer: Scorer, rows: pd.DataFrame, todo, batch_rows: int) -> pd.DataFrame:
+    """Answers for the rows at the positions ``todo``, NULLs for the others."""
+    result, error, spent = ([None] * len(rows) for _ in range(3))
+    for at in range(0, len(todo), batch_rows):
+        part = todo[at : at + batch_rows]
+        started = time.perf_counter()
+        for position, answer, problem in _attempt(scorer, rows, part):
+            result[position], error[position] = answer, problem
+        each = (time.perf_counter() - started) * 1000 / len(part)
+        for position in part:
+            spent[position] = each
+    return pd.DataFrame({"result": result, "error": error, "processing_time_ms": spent})
+
+
+def _attempt(scorer: Scorer, rows: pd.DataFrame, part) -> Iterator[tuple]:
+    """Position, answer and error of each row; a failing batch is halved until
+    the error stays with the row that caused it."""
     try:
-        answers, errors = list(scorer(todo)), [None] * len(todo)
-        if len(answers) != len(todo):
-            raise ValueError(f"scorer gave {len(answers)} answers for {len(todo)} rows")
-    except Exception:
-        answers, errors = [], []
-        for at in range(len(todo)):
-            try:
-                (answer,) = scorer(todo.iloc[at : at + 1])
-                answers.append(answer)
-                errors.append(None)
-            except Exception as problem:
-                answers.append(None)
-                errors.append(str(problem))
-    spent = (time.perf_counter() - started) * 1000 / len(todo)
-    out.loc[todo.index, "result"] = pd.Series(answers, index=todo.index, dtype=object)
-    out.loc[todo.index, "error"] = pd.Series(errors, index=todo.index, dtype=object)
-    out.loc[todo.index, "processing_time_ms"] = spent
-    return out
+        answers = list(scorer(rows.iloc[part]))
+        if len(answers) != len(part):
+            raise ValueError(f"scorer gave {len(answers)} answers for {len(part)} rows")
+    except Exception as problem:
+        if len(part) == 1:
+            yield part[0], None, str(problem)
+            return
+        middle = len(part) // 2
+        yield from _attempt(scorer, rows, part[:middle])
+        yield from _attempt(scorer, rows, part[middle:])
+        return
+    yield from ((position, answer, None) for position, answer in zip(part, answers))
 
 
 def detect(frames: DataFrame, factory: ScorerFactory, *, confidence_threshold: float = 0.4,
