@@ -78,7 +78,7 @@ def with_date_parts(df: DataFrame, ts: Column | str) -> DataFrame:
 
 def encode_base64(binary) -> Column:
     """Base64 text on one line, whatever the session says about line breaks."""
-    return F.translate(F.base64(_c(binary)), "\r\n", "")
+    return F.replace(F.base64(_c(binary)), F.lit("\r\n"), F.lit(""))
 
 
 def decode_base64(text) -> Column:

@@ -82,13 +82,14 @@ def _attempt(scorer: Scorer, rows: pd.DataFrame, part) -> Iterator[tuple]:
 
 def detect(frames: DataFrame, factory: ScorerFactory, *, confidence_threshold: float = 0.4,
            nms_threshold: float = 0.4, processing_engine: str = "spark-yolo",
-           batch_rows: int = 32) -> DataFrame:
+           batch_rows: int = 32, keep_frame: bool = False) -> DataFrame:
     """Detections of each frame as typed columns.
 
     Wants camera_id, frame_id, timestamp and frame_data (base64 text). A frame
     without an image gets zero detections without calling the detector; an
     image that cannot be decoded, or on which the detector fails, gets a row
-    with ``error``. Detections are kept when strictly above the threshold.
+    with ``error``. Detections are kept when strictly above the threshold. The
+    image itself is dropped unless ``keep_frame``.
     """
     given = F.coalesce(F.col("frame_data"), F.lit("")) != ""
     image = F.when(given, text.decode_base64("frame_data"))
@@ -109,7 +110,7 @@ def detect(frames: DataFrame, factory: ScorerFactory, *, confidence_threshold: f
         .withColumn("_given", given)
         .withColumn("_answer", answer)
         .withColumn("_undecoded", F.col("_given") & F.col("_image").isNull())
-        .drop("_image", "frame_data")
+        .drop("_image")
     )
     error = F.when(F.col("_undecoded"), F.lit("Failed to decode image")).otherwise(
         F.col("_answer.error")
@@ -126,7 +127,7 @@ def detect(frames: DataFrame, factory: ScorerFactory, *, confidence_threshold: f
     )
     shaped = scored.withColumns({"error": error, "detections": records})
     ok = F.col("error").isNull()
-    keep = [c for c in frames.columns if c != "frame_data"]
+    keep = [c for c in frames.columns if keep_frame or c != "frame_data"]
     return shaped.select(
         *keep,
         F.when(ok & F.col("_given"), F.col("timestamp")).alias("detection_timestamp"),

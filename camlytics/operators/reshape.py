@@ -21,7 +21,7 @@ def expand_struct(df: DataFrame, column: str) -> DataFrame:
     return df.select(*rest, *[F.col(column)[f].alias(f) for f in fields])
 
 
-def flatten_answers(df: DataFrame, column: str = "detection_results") -> DataFrame:
+def flatten_answers(df: DataFrame, column: str = "detection_results", keep: tuple[str, ...] = ()) -> DataFrame:
     """One row per frame with the answer's metadata as top-level columns."""
     meta = F.col(column)["metadata"]
     return df.select(
@@ -37,6 +37,7 @@ def flatten_answers(df: DataFrame, column: str = "detection_results") -> DataFra
         meta["processing_engine"].alias("processing_engine"),
         meta["error"].alias("error"),
         F.col(column)["detections"].alias("detections"),
+        *keep,
     )
 
 

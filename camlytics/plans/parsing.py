@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from camlytics import schemas
 from camlytics.fixtures import table
 from camlytics.functions import boxes, text
-from camlytics.operators import detect, messages, parse, reshape, windows
+from camlytics.operators import detect, messages, parse, reshape, stats, windows
 from camlytics.plans import views
 from camlytics.plans.views import DET, sql
 from camlytics.session import scratch_path
@@ -341,12 +341,6 @@ def error_rows(spark: SparkSession, sf: str) -> DataFrame:
 
 def batch_outcome(spark: SparkSession, sf: str) -> DataFrame:
     answers = detect.detect(_raw_messages(spark, sf), stub_detector)
-    return detect_outcome(answers)
-
-
-def detect_outcome(answers: DataFrame) -> DataFrame:
-    from camlytics.operators import stats
-
     return stats.batch_outcome(answers, keys=("camera_id",))
 
 
