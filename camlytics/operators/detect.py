@@ -45,7 +45,9 @@ def score_batches(factory: ScorerFactory, inputs: dict[str, Column], result: str
             rows = pd.DataFrame(dict(zip(names, series)))
             yield _scored(scorer, rows, rows[required].notna().to_numpy().nonzero()[0], batch_rows)
 
-    return apply(*inputs.values())
+    # Keeps the optimizer from scoring a row again in a filter on the answer.
+    # Filters on other columns belong before the scoring.
+    return apply.asNondeterministic()(*inputs.values())
 
 
 def _scored(scorer: Scorer, rows: pd.DataFrame, todo, batch_rows: int) -> pd.DataFrame:

@@ -45,12 +45,16 @@ def explode_detections(frames: DataFrame, *, keep_empty: bool = False,
                        detections: str = "detections") -> DataFrame:
     """One row per detection with flat ``bbox_*`` columns.
 
-    Frames without detections vanish unless ``keep_empty``.
+    Frames without detections vanish unless ``keep_empty``. They are dropped
+    after the explode: a plain ``explode`` adds a filter on the array below it,
+    which would parse or detect every frame twice.
     """
-    exploder = F.explode_outer if keep_empty else F.explode
     rest = [c for c in frames.columns if c != detections]
     d = F.col("_d")
-    return frames.select(*rest, exploder(F.col(detections)).alias("_d")).select(
+    rows = frames.select(*rest, F.posexplode_outer(F.col(detections)).alias("_p", "_d"))
+    if not keep_empty:
+        rows = rows.where(F.col("_p").isNotNull())
+    return rows.select(
         *rest,
         d["class_id"].alias("class_id"),
         d["class_name"].alias("class_name"),

@@ -224,7 +224,7 @@ def track_objects(detections: DataFrame, settings: Settings = Settings(), column
     rest = detections.where(~usable).withColumns(
         {"track_id": F.lit(None).cast("bigint"), "is_confirmed": F.lit(None).cast("boolean")}
     )
-    first, last = rows.agg(F.min(c.frame), F.max(c.frame)).first()
+    first, last = detections.agg(F.min(c.frame), F.max(c.frame)).first()
     if first is None:
         return rest
     if first // segment_frames == last // segment_frames:
@@ -238,6 +238,16 @@ def _with_fields(schema: T.StructType, ddl: str) -> T.StructType:
     return T.StructType([*[T.StructField(f.name, f.dataType) for f in schema], *T.StructType.fromDDL(ddl)])
 
 
+def _spread(rows: DataFrame, *keys: str) -> DataFrame:
+    """Hash on the keys over all shuffle partitions.
+
+    Tracking costs time per frame, not per byte; a given number of partitions
+    keeps the small ones from being merged by their size.
+    """
+    number = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return rows.repartition(number, *keys)
+
+
 def _whole(rows: DataFrame, s: Settings, c: Columns) -> DataFrame:
     """All frames fit one segment: one run per camera."""
     schema = _with_fields(rows.schema, "track_id bigint, is_confirmed boolean")
@@ -247,7 +257,7 @@ def _whole(rows: DataFrame, s: Settings, c: Columns) -> DataFrame:
         refs, confirmed = _run(Tracker(s), group, c)
         return group.assign(track_id=refs + 1, is_confirmed=confirmed)
 
-    return rows.groupBy(c.camera).applyInPandas(run, schema)
+    return _spread(rows, c.camera).groupBy(c.camera).applyInPandas(run, schema)
 
 
 class _Segments:
@@ -304,7 +314,8 @@ class _Segments:
         def run(key: tuple, parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             yield from _segment(pd.concat(parts), None, int(key[1]), s, c, names)
 
-        runs = self.warm.groupBy(c.camera, "_segment").applyInPandas(run, self.out)
+        keys = [c.camera, "_segment"]
+        runs = _spread(self.warm, *keys).groupBy(*keys).applyInPandas(run, self.out)
         found = self._write(runs, 0)
         line = Window.partitionBy(c.camera).orderBy("_segment")
         before = self.spark.read.parquet(f"{self.path}/round=0").where(
@@ -344,7 +355,7 @@ class _Segments:
             own = group[~group["_warm"]].drop(columns=["_given"])
             yield from _segment(own, state, int(key[1]), s, c, names)
 
-        runs = both.groupBy(*keys).applyInPandas(run, self.out)
+        runs = _spread(both, *keys).groupBy(*keys).applyInPandas(run, self.out)
         repaired = self._write(runs, number).join(states.select(*keys, "_before"), keys)
         kept = states.join(wrong.select(*keys), keys, "left_anti")
         return cut_lineage(kept.unionByName(repaired))

@@ -12,14 +12,19 @@ from camlytics.sources import files
 PARTITIONS = ("year", "month", "day", "camera_id")
 
 
-def write_partitioned(rows: DataFrame, path: str, mode: str = "append",
-                      partitions: tuple[str, ...] = PARTITIONS) -> None:
-    """Parquet by date and camera, few files per partition.
+def gathered(rows: DataFrame, partitions: tuple[str, ...] = PARTITIONS) -> DataFrame:
+    """Rows of one table partition together, for few files per partition.
 
-    REBALANCE gathers each partition's rows and splits those of a large one
-    over several tasks, so a busy camera does not end in one writer.
+    REBALANCE splits a large partition over several tasks, so a busy camera does
+    not end in one writer. It works for batches and for streams without state.
     """
-    rows.hint("rebalance", *partitions).write.mode(mode).partitionBy(*partitions).parquet(path)
+    return rows.hint("rebalance", *partitions)
+
+
+def write_partitioned(rows: DataFrame, path: str, mode: str = "append",
+                      partitions: tuple[str, ...] = PARTITIONS) -> None:
+    """Parquet by date and camera."""
+    gathered(rows, partitions).write.mode(mode).partitionBy(*partitions).parquet(path)
 
 
 def append_to_day(rows: DataFrame, path: str, camera: int, day: str) -> None:
@@ -40,8 +45,8 @@ def write_tracks(tracks: DataFrame, path: str, mode: str = "append") -> None:
     """Tracks by date and camera, sorted for lookups by frame."""
     placed = tracks.withColumns(
         {"year": F.year("timestamp"), "month": F.month("timestamp"), "day": F.dayofmonth("timestamp")}
-    ).hint("rebalance", *PARTITIONS)
-    placed.sortWithinPartitions(*PARTITIONS, "frame_id").write.mode(mode).partitionBy(*PARTITIONS).parquet(path)
+    )
+    gathered(placed).sortWithinPartitions(*PARTITIONS, "frame_id").write.mode(mode).partitionBy(*PARTITIONS).parquet(path)
 
 
 def find_tracks(spark: SparkSession, path: str, *, camera: int | None = None, frame: int | None = None,

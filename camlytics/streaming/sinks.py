@@ -9,11 +9,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from camlytics.operators import messages, reshape
-from camlytics.sinks.tables import PARTITIONS
+from camlytics.sinks.tables import PARTITIONS, gathered
 
 # Fixed value: how often the table sinks write.
 TABLE_TRIGGER = {"processingTime": "10 seconds"}
@@ -31,12 +30,6 @@ def plain_rows(answers: DataFrame) -> DataFrame:
     return answers.select("camera_id", "frame_id", "timestamp", "detections")
 
 
-def spread(rows: DataFrame, files: int) -> DataFrame:
-    """At most ``files`` files per date, camera and batch, and as many tasks for a busy camera."""
-    salt = F.pmod(F.xxhash64("camera_id", "frame_id"), F.lit(files))
-    return rows.repartition(*PARTITIONS, salt)
-
-
 def to_console(answers: DataFrame, *, trigger: dict | None = None) -> StreamingQuery:
     writer = _writer(plain_rows(answers), "console", None, trigger)
     return writer.option("truncate", False).option("numRows", 20).start()
@@ -52,15 +45,15 @@ def to_json_files(answers: DataFrame, *, path: str, checkpoint: str, trigger: di
 
 
 def to_nested_table(answers: DataFrame, *, path: str, checkpoint: str, trigger: dict | None = TABLE_TRIGGER,
-                    partition_time: str = "event", files: int = 8) -> StreamingQuery:
-    rows = spread(reshape.nested_rows(answers, partition_time), files)
+                    partition_time: str = "event") -> StreamingQuery:
+    rows = gathered(reshape.nested_rows(answers, partition_time))
     return _writer(rows, "parquet", checkpoint, trigger).partitionBy(*PARTITIONS).option("path", path).start()
 
 
-def to_flattened_table(answers: DataFrame, *, path: str, checkpoint: str, trigger: dict | None = TABLE_TRIGGER,
-                       files: int = 8) -> StreamingQuery:
+def to_flattened_table(answers: DataFrame, *, path: str, checkpoint: str,
+                       trigger: dict | None = TABLE_TRIGGER) -> StreamingQuery:
     """As the nested table, one row per detection, under its own path and checkpoint."""
-    rows = spread(reshape.flattened_rows(answers), files)
+    rows = gathered(reshape.flattened_rows(answers))
     writer = _writer(rows, "parquet", f"{checkpoint}_flattened", trigger)
     return writer.partitionBy(*PARTITIONS).option("path", f"{path}_flattened").start()
 
