@@ -51,14 +51,16 @@ def normalized_box(cx, cy, w, h, image_width, image_height) -> Column:
 
 
 def iou(a: Column, b: Column) -> Column:
-    """Intersection over union of two structs with x, y, w, h."""
+    """Intersection over union of two structs with x, y, w, h; 0 when one is incomplete."""
     ax, ay, aw, ah = (a[f].cast("double") for f in ("x", "y", "w", "h"))
     bx, by, bw, bh = (b[f].cast("double") for f in ("x", "y", "w", "h"))
     zero = F.lit(0.0)
     dx = F.greatest(F.least(ax + aw, bx + bw) - F.greatest(ax, bx), zero)
     dy = F.greatest(F.least(ay + ah, by + bh) - F.greatest(ay, by), zero)
     union = aw * ah + bw * bh - dx * dy
-    return F.when(union > 0, dx * dy / union).otherwise(zero)
+    # least and greatest skip NULLs, so places are checked on their own.
+    placed = (ax + ay + bx + by).isNotNull()
+    return F.when((union > 0) & placed, dx * dy / union).otherwise(zero)
 
 
 def above(confidence, threshold: float = 0.4, inclusive: bool = False) -> Column:

@@ -10,6 +10,8 @@ keep exactly the boxes that the greedy rule keeps.
 from __future__ import annotations
 
 import math
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -49,7 +51,14 @@ def suppress(detections: DataFrame, *, threshold: float = 0.4, overlap: float =
     key. ``dense_limit=None`` skips the search for dense frames, for inputs whose
     detector bounds the boxes of a frame.
     """
-    rows = detections.where(above(score, threshold, inclusive))
+    passed = detections.where(above(score, threshold, inclusive))
+    named = reduce(and_, [F.col(k).isNotNull() for k in keys])
+    # Rows that name no frame have nothing to be compared with.
+    kept = _suppress(passed.where(named), overlap, keys, tie, box, score, dense_limit)
+    return kept.unionByName(passed.where(~named))
+
+
+def _suppress(rows: DataFrame, overlap, keys, tie, box, score, dense_limit) -> DataFrame:
     if dense_limit is None:
         return _by_array(rows, overlap, keys, tie, box, score)
     sizes = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
@@ -57,22 +66,13 @@ def suppress(detections: DataFrame, *, threshold: float = 0.4, overlap: float =
     if dense.isEmpty():
         return _by_array(rows, overlap, keys, tie, box, score)
     dense = cut_lineage(dense)
-    ordinary = _by_array(_matching(rows, dense, keys, "left_anti"), overlap, keys, tie, box, score)
+    ordinary = _by_array(rows.join(dense, list(keys), "left_anti"), overlap, keys, tie, box, score)
     crowded = _by_grid(
-        _matching(rows, dense, keys, "left_semi"), overlap, keys, tie, box, score, dense_limit
+        rows.join(dense, list(keys), "left_semi"), overlap, keys, tie, box, score, dense_limit
     )
     return ordinary.unionByName(crowded)
 
 
-def _matching(rows: DataFrame, frames: DataFrame, keys, how: str) -> DataFrame:
-    """Join on the frame key, a NULL key matching a NULL key."""
-    other = frames.select(*[F.col(k).alias(f"_{k}") for k in keys])
-    test = F.lit(True)
-    for k in keys:
-        test = test & F.col(k).eqNullSafe(F.col(f"_{k}"))
-    return rows.join(other, test, how)
-
-
 def _by_array(rows: DataFrame, overlap: float, keys, tie, box, score) -> DataFrame:
     rest = [c for c in rows.columns if c not in keys]
     x, y, w, h = box
@@ -129,8 +129,8 @@ def _by_grid(rows: DataFrame, overlap: float, keys, tie, box, score, limit: int)
     base = 1 / max(overlap, 1e-6)
     x, y, w, h = box
     # A box without area overlaps nothing.
-    flat = rows.where((F.col(w) <= 0) | (F.col(h) <= 0))
-    solid = rows.where((F.col(w) > 0) & (F.col(h) > 0))
+    area = F.coalesce((F.col(w) > 0) & (F.col(h) > 0) & F.col(x).isNotNull() & F.col(y).isNotNull(), F.lit(False))
+    flat, solid = rows.where(~area), rows.where(area)
     cells = [*keys, "_lx", "_ix", "_ly", "_iy"]
     rank = F.struct(F.col(score).alias("s"), (-F.col(tie)).alias("t"))
     # Of equal boxes only the best can stay; this step is combined before its shuffle.
@@ -167,11 +167,11 @@ def _by_grid(rows: DataFrame, overlap: float, keys, tie, box, score, limit: int)
         if last:
             break
         kept = rows.sparkSession.read.schema(chosen.schema).parquet(where)
-        remaining = _matching(left, top.select(*keys, "_rank"), (*keys, "_rank"), "left_anti")
+        remaining = left.join(top.select(*keys, "_rank"), [*keys, "_rank"], "left_anti")
         left = cut_lineage(_uncovered(remaining, kept, cells, keys, base, overlap, box))
         number += 1
     winners = rows.sparkSession.read.parquet(path).select(*keys, tie)
-    return _matching(solid, winners, (*keys, tie), "left_semi").unionByName(flat)
+    return solid.join(winners, [*keys, tie], "left_semi").unionByName(flat.select(solid.columns))
 
 
 def _spread(boxes: DataFrame, base: float, w: str, h: str) -> DataFrame:
@@ -194,5 +194,5 @@ def _uncovered(left: DataFrame, chosen: DataFrame, cells, keys, base, overlap, b
     other = F.struct(*[F.col(f"_o{i}").alias(n) for i, n in enumerate("xywh")])
     test = iou(other, mine) > F.lit(float(overlap))
     for c in cells:
-        test = test & F.col(c).eqNullSafe(F.col(f"_{c}"))
+        test = test & (F.col(c) == F.col(f"_{c}"))
     return left.join(reach, test, "left_anti")

@@ -11,6 +11,7 @@ from __future__ import annotations
 import math
 from dataclasses import dataclass
 
+import numpy as np
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -18,6 +19,7 @@ from pyspark.sql import types as T
 
 ROWS_PER_BLOCK = 1_000_000
 CUTS = 512
+_SKETCHES, _SHARES = 64, 256
 _STRIDE = 1 << 32
 
 
@@ -52,10 +54,7 @@ def in_blocks(df: DataFrame, order: list[str], rows_per_block: int = ROWS_PER_BL
     second order column. Only these bounded statistics reach the driver.
     """
     first = _sort_number(df, order[0])
-    shares = [i / CUTS for i in range(1, CUTS)]
-    rows, lowest, highest, cuts = df.agg(
-        F.count(F.lit(1)), F.min(first), F.max(first), F.percentile_approx(first, shares, 20 * CUTS)
-    ).first()
+    rows, lowest, highest, cuts = _quantiles(df, first)
     if rows <= rows_per_block or not cuts:
         return Blocked(df.withColumn("_block", F.lit(0).cast("bigint")), False)
 
@@ -105,6 +104,35 @@ def in_blocks(df: DataFrame, order: list[str], rows_per_block: int = ROWS_PER_BL
     )
 
 
+def _quantiles(df: DataFrame, value: Column) -> tuple[int, float, float, list[float]]:
+    """Rows, lowest, highest and approximate quantiles.
+
+    Several sketches are built side by side, so that no single task has to merge
+    the sketches of all the others.
+    """
+    shares = [(i + 0.5) / _SHARES for i in range(_SHARES)]
+    sketches = (
+        df.select(value.alias("v"), (F.spark_partition_id() % _SKETCHES).alias("g"))
+        .groupBy("g")
+        .agg(
+            F.count(F.lit(1)), F.count("v"), F.min("v"), F.max("v"),
+            F.percentile_approx("v", shares, 4 * _SHARES),
+        )
+        .collect()
+    )
+    rows = sum(s[1] for s in sketches)
+    known = [s for s in sketches if s[2]]
+    if not known:
+        return rows, math.nan, math.nan, []
+    values = np.concatenate([np.asarray(s[5], dtype=float) for s in known])
+    weights = np.concatenate([np.full(_SHARES, s[2] / _SHARES) for s in known])
+    order = np.argsort(values, kind="stable")
+    upto = np.cumsum(weights[order])
+    at = np.searchsorted(upto, upto[-1] * np.arange(1, CUTS) / CUTS)
+    cuts = values[order][np.minimum(at, len(values) - 1)].tolist()
+    return rows, min(s[3] for s in known), max(s[4] for s in known), cuts
+
+
 def running_sums(df: DataFrame, keys: list[str], order: list[str], sums: dict[str, Column],
                  rows_per_block: int = ROWS_PER_BLOCK) -> DataFrame:
     """Sums from the first row of each key up to and including the current row."""

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Iterable
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -109,10 +111,15 @@ def regroup_to_frames(detections: DataFrame, *, record: Column, order: list[str]
     """Detections back to one row per frame, records in the given order.
 
     The key is one camera frame, whose size the detector bounds; the shuffle
-    hashes on the pair, so a busy camera spreads over all partitions.
+    hashes on the pair, so a busy camera spreads over all partitions. Rows that
+    name no camera or frame belong to no common frame: each stays a frame of its
+    own instead of all of them meeting in one group.
     """
     entry = F.struct(*[F.col(c) for c in order], record.alias("_record"))
-    grouped = detections.groupBy(*keys).agg(
+    unknown = reduce(or_, [F.col(k).isNull() for k in keys])
+    grouped = detections.groupBy(
+        *keys, F.when(unknown, F.struct(*order)).alias("_alone")
+    ).agg(
         F.array_sort(F.collect_list(entry)).alias("_entries"),
         *[expr.alias(name) for name, expr in aggregates.items()],
     )

@@ -70,6 +70,16 @@ def test_dense_frame_equals_greedy(spark):
     assert sorted(r.event_id for r in got.collect()) == expected
 
 
+@pytest.mark.parametrize("limit", [None, 1])
+def test_rows_without_frame_or_box_are_kept(spark, limit):
+    df = spark.createDataFrame(
+        [(1, None, 1, 0.9, 0, 0, 9, 9), (1, None, 2, 0.8, 0, 0, 9, 9), (1, 0, 3, 0.9, None, 0, 9, 9),
+         (1, 0, 4, 0.9, 0, 0, 0, 9), (1, 0, 5, 0.9, 0, 0, 9, 9), (1, 0, 6, 0.8, 0, 0, 9, 9)],
+        "camera_id int, frame_id int, event_id bigint, confidence double, x int, y int, w int, h int",
+    )
+    assert sorted(r.event_id for r in nms.suppress(df, dense_limit=limit).collect()) == [1, 2, 3, 4, 5]
+
+
 def test_equal_scores_keep_the_lower_id(spark):
     df = spark.createDataFrame(
         [(1, 0, 2, 0.9, 0, 0, 10, 10), (1, 0, 1, 0.9, 1, 0, 10, 10)],

@@ -155,6 +155,12 @@ def test_explode_then_regroup_is_identity(spark, rows):
     assert rows(reshape.regroup_to_frames(flat, record=record, order=["n"])) == rows(df)
 
 
+def test_rows_without_a_frame_are_not_gathered(spark):
+    df = spark.createDataFrame([(None, 1, 1), (None, 1, 2), (2, 1, 3), (2, 1, 4)], "camera_id int, frame_id int, i int")
+    got = reshape.regroup_to_frames(df, record=F.col("i"), order=["i"])
+    assert sorted((r.camera_id or 0, r.detections) for r in got.collect()) == [(0, [1]), (0, [2]), (2, [3, 4])]
+
+
 def test_summary_in_first_seen_order(spark):
     df = spark.createDataFrame([frame(1, 0, "car", "bus", "car", None)], FRAME)
     row = messages.with_summary(df).first()
