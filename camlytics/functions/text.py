@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from camlytics.schemas import CAMERA_IDS
 
@@ -64,6 +65,20 @@ def parsed_time(ts) -> Column:
     return F.try_to_timestamp(_c(ts).cast("string"))
 
 
+def micros(df: DataFrame, column: str) -> Column:
+    """Microseconds since 1970 of a time column.
+
+    A TIMESTAMP_NTZ is taken apart instead of cast, since a cast goes through
+    the session zone, where an hour may be missing.
+    """
+    c = F.col(column)
+    if not isinstance(df.schema[column].dataType, T.TimestampNTZType):
+        return F.unix_micros(c.cast("timestamp"))
+    minutes = (F.unix_date(c.cast("date")).cast("bigint") * 24 + F.hour(c)) * 60 + F.minute(c)
+    seconds = F.extract(F.lit("SECOND"), c)
+    return minutes * 60_000_000 + (seconds * 1_000_000).cast("bigint")
+
+
 def iso_text(ts) -> Column:
     return F.date_format(_c(ts), ISO_MICROS)
 

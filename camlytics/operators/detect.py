@@ -83,7 +83,7 @@ def _attempt(scorer: Scorer, rows: pd.DataFrame, part) -> Iterator[tuple]:
 
 
 def detect(frames: DataFrame, factory: ScorerFactory, *, confidence_threshold: float = 0.4,
-           nms_threshold: float = 0.4, processing_engine: str = "spark-yolo",
+           nms_threshold: float = 0.4, processing_engine: str = schemas.ENGINE,
            batch_rows: int = 32, keep_frame: bool = False) -> DataFrame:
     """Detections of each frame as typed columns.
 

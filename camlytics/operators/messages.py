@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from camlytics.functions import text
+from camlytics.schemas import ENGINE
 
 
 def classes_in_order(detections: str | Column = "detections") -> Column:
@@ -39,7 +40,7 @@ def with_summary(frames: DataFrame) -> DataFrame:
 
 
 def detection_answer(frames: DataFrame, *, confidence_threshold: float = 0.4, nms_threshold: float = 0.4,
-                     processing_engine: str | None = "spark-yolo", timestamp: str = "timestamp",
+                     processing_engine: str | None = ENGINE, timestamp: str = "timestamp",
                      frame_metadata: str | None = None) -> Column:
     """One frame's detection message as JSON text.
 

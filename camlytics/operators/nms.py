@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from camlytics.functions.boxes import above, iou
 from camlytics.session import cut_lineage, scratch_path
 
-DENSE_LIMIT = 5000
+DENSE_LIMIT = 2000
 # Boxes of a dense frame decided per round.
 ROUND = 1000
 

@@ -17,6 +17,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from camlytics.functions import text
+
 ROWS_PER_BLOCK = 1_000_000
 CUTS = 512
 _SKETCHES, _SHARES = 64, 256
@@ -34,10 +36,8 @@ class Blocked:
 def _sort_number(df: DataFrame, column: str) -> Column:
     """An order-preserving double for a numeric or time column."""
     kind = df.schema[column].dataType
-    if isinstance(kind, T.TimestampNTZType):
-        return F.unix_micros(F.col(column).cast("timestamp")).cast("double")
-    if isinstance(kind, T.TimestampType):
-        return F.unix_micros(F.col(column)).cast("double")
+    if isinstance(kind, T.TimestampNTZType | T.TimestampType):
+        return text.micros(df, column).cast("double")
     if isinstance(kind, T.DateType):
         return F.unix_date(F.col(column)).cast("double")
     if isinstance(kind, T.NumericType):

@@ -12,8 +12,9 @@ import math
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
+from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -34,10 +35,10 @@ def cosine(a: Column, b: Column) -> Column:
 
 def centroids(vectors: DataFrame, label: str = "label", vector: str = "embedding") -> DataFrame:
     """Mean vector of each label."""
-    parts = vectors.select(label, F.posexplode(vector).alias("_i", "_v"))
-    means = parts.groupBy(label, "_i").agg(F.avg(F.col("_v").cast("double")).alias("_m"))
-    ordered = F.array_sort(F.collect_list(F.struct("_i", "_m")))
-    return means.groupBy(label).agg(F.transform(ordered, lambda e: e["_m"]).alias(vector))
+    known = vectors.where(F.col(vector).isNotNull())
+    dense = array_to_vector(F.col(vector).cast("array<double>"))
+    means = known.groupBy(label).agg(Summarizer.mean(dense).alias("_m"))
+    return means.select(label, vector_to_array("_m").alias(vector))
 
 
 def _unit(rows: np.ndarray) -> np.ndarray:
@@ -137,6 +138,11 @@ def _arrow_matrix(column: pa.ListArray, width: int) -> np.ndarray:
     return _matrix(column.to_pylist(), width)
 
 
+def _table_matrix(table: pa.Table, width: int) -> np.ndarray:
+    parts = [_arrow_matrix(chunk, width) for chunk in table["v"].chunks]
+    return np.concatenate(parts) if parts else np.zeros((0, width))
+
+
 def _against_blocks(probes, stored, k, width, count, probe_bytes, stored_rows):
     probe_blocks = math.ceil(count * width * 8 / probe_bytes)
     stored_blocks = max(1, math.ceil(stored.count() / stored_rows))
@@ -150,15 +156,15 @@ def _against_blocks(probes, stored, k, width, count, probe_bytes, stored_rows):
     left = probes.withColumn("pb", block("probe_id", probe_blocks)).withColumn("sb", every(stored_blocks))
     right = stored.withColumn("sb", block("vec_id", stored_blocks)).withColumn("pb", every(probe_blocks))
 
-    def best_of_pair(p: pd.DataFrame, s: pd.DataFrame) -> pd.DataFrame:
-        keeper = _Keeper(_unit(_matrix(p["v"], width)), k)
-        if len(p):
-            keeper.add(s["vec_id"].to_numpy(dtype=np.int64), _matrix(s["v"], width))
-        names, ids, similarity = keeper.rows(p["probe_id"].to_numpy(dtype=np.int64))
-        return pd.DataFrame({"probe_id": names, "vec_id": ids, "similarity": similarity})
+    def best_of_pair(p: pa.Table, s: pa.Table) -> pa.Table:
+        keeper = _Keeper(_unit(_table_matrix(p, width)), k)
+        if p.num_rows:
+            keeper.add(s["vec_id"].to_numpy(), _table_matrix(s, width))
+        found = keeper.rows(p["probe_id"].to_numpy())
+        return pa.table(dict(zip(("probe_id", "vec_id", "similarity"), found)))
 
     return (
         left.groupBy("pb", "sb")
         .cogroup(right.groupBy("pb", "sb"))
-        .applyInPandas(best_of_pair, "probe_id bigint, vec_id bigint, similarity double")
+        .applyInArrow(best_of_pair, "probe_id bigint, vec_id bigint, similarity double")
     )

@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from camlytics.functions import text
+from camlytics.functions.boxes import above
 from camlytics.operators.parse import class_or_unknown
 from camlytics.schemas import CAMERA_IDS, camera_dimension
 
@@ -50,8 +52,8 @@ def average_detections(frames: DataFrame) -> DataFrame:
 
 def throughput(frames: DataFrame, ts: str = "ts") -> DataFrame:
     """Frames per elapsed second between the first and last frame, 0 when none elapsed."""
-    micros = lambda c: F.unix_micros(c.cast("timestamp"))
-    elapsed = (micros(F.max(ts)) - micros(F.min(ts))) / F.lit(1e6)
+    at = text.micros(frames, ts)
+    elapsed = (F.max(at) - F.min(at)) / F.lit(1e6)
     n = F.count(F.lit(1))
     return frames.agg(
         n.alias("total_frames"),
@@ -163,8 +165,6 @@ def frame_service_counts(detections: DataFrame, threshold: float = 0.5, inclusiv
 
     ``detections`` holds tracked rows with ``confidence`` and ``is_confirmed``.
     """
-    from camlytics.functions.boxes import above
-
     passed = above("confidence", threshold, inclusive)
     return detections.groupBy("camera_id", "frame_id").agg(
         F.count_if(passed).alias("detections_count"),

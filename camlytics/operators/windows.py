@@ -139,7 +139,7 @@ def with_defaults(messages: DataFrame, order: list[str], now: Column, camera: st
 
 def uptime(frames: DataFrame, ts: str = "ts", keys=()) -> DataFrame:
     """Seconds between first and last frame, also as HH:MM:SS."""
-    micros = lambda c: F.unix_micros(c.cast("timestamp"))
+    at = text.micros(frames, ts)
     return frames.groupBy(*keys).agg(
-        ((micros(F.max(ts)) - micros(F.min(ts))) / F.lit(1e6)).alias("uptime_seconds")
+        ((F.max(at) - F.min(at)) / F.lit(1e6)).alias("uptime_seconds")
     ).withColumn("uptime", text.clock_text("uptime_seconds"))

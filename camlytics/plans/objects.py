@@ -41,6 +41,16 @@ def distinct_tracks(spark: SparkSession, sf: str) -> DataFrame:
     return stats.distinct_tracks(track_objects(spark, sf))
 
 
+def track_coverage(spark: SparkSession, sf: str) -> DataFrame:
+    """Per camera: detections that have a track, frames, and whether track ids have no gap."""
+    rows = track_objects(spark, sf)
+    return rows.groupBy("camera_id").agg(
+        F.count("track_id").alias("tracked"),
+        F.countDistinct("frame_id").alias("frames"),
+        (F.countDistinct("track_id") == F.max("track_id")).alias("gapless"),
+    )
+
+
 def track_lookup(spark: SparkSession, sf: str) -> DataFrame:
     """Tracks written by date and camera, then those of one camera within five days."""
     path = scratch_path(spark, "tracks")
@@ -67,7 +77,8 @@ def label_similarity(spark: SparkSession, sf: str) -> DataFrame:
 QUERIES = {
     f.__name__: f
     for f in (
-        nms, track_objects, confirmed_tracks, track_summary, track_counters, distinct_tracks, track_lookup,
+        nms, track_objects, confirmed_tracks, track_summary, track_counters, distinct_tracks, track_coverage,
+        track_lookup,
         similar_topk, label_similarity,
     )
 }
@@ -112,6 +123,9 @@ from det where event_id in (select o.event_id from (select unnest(kept) as o fro
 
 ORACLE = {
     "nms": _NMS,
+    "track_coverage": sql(DET, body="""
+select camera_id, count(*) as tracked, count(distinct frame_id) as frames, true as gapless
+from det where confidence >= 0.5 group by camera_id"""),
     "similar_topk": sql(_MEANS, body=f"""
 select cast(label as bigint) as probe_id, vec_id, similarity, cast(rank as int) as rank
 from (select *, row_number() over (partition by label order by similarity desc, vec_id) as rank

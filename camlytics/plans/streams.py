@@ -10,6 +10,7 @@ from camlytics.fixtures import table
 from camlytics.functions import boxes, text
 from camlytics.plans import views
 from camlytics.plans.views import DET, sql
+from camlytics.schemas import ENGINE
 from camlytics.session import scratch_path
 from camlytics.streaming import sinks, state
 
@@ -31,7 +32,7 @@ def _answers(detections: DataFrame) -> DataFrame:
         text.iso_text("ts").alias("detection_timestamp"),
         F.lit(1).alias("total_detections"),
         F.lit(views.THRESHOLD).alias("confidence_threshold"),
-        F.lit("spark-yolo").alias("processing_engine"),
+        F.lit(ENGINE).alias("processing_engine"),
         F.array(fixtures.record()).alias("detections"),
     )
 

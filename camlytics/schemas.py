@@ -25,6 +25,9 @@ CLASS_NAMES = (
     "toothbrush",
 )
 
+# Fixed value: the engine name in answers.
+ENGINE = "spark-yolo"
+
 # Classes counted as vehicles by the traffic rule.
 VEHICLE_CLASSES = ("car", "truck", "bus", "motorcycle")
 
