@@ -70,8 +70,11 @@ def _rules(strict: bool) -> dict[str, Column]:
 
 
 def alert_feed(frames: DataFrame, *, strict: bool = False, camera: int | None = None,
-               rules: tuple[str, ...] = ("crowd", "traffic")) -> DataFrame:
-    """One row per alert raised, all rules in one pass over the frames."""
+               rules: tuple[str, ...] = ("crowd", "traffic"), lifetime: int = LIFETIME_SECONDS) -> DataFrame:
+    """One row per alert raised, all rules in one pass over the frames.
+
+    An alert is shown for ``lifetime`` seconds.
+    """
     raised = F.array_compact(F.array(*[_rules(strict)[r] for r in rules]))
     rows = candidates(frames, camera).select(
         "camera_id", "frame_id", "ts", F.explode(raised).alias("a")
@@ -83,7 +86,7 @@ def alert_feed(frames: DataFrame, *, strict: bool = False, camera: int | None =
         "a.alert",
         "a.count",
         "a.message",
-        (F.col("ts") + F.expr(f"interval {LIFETIME_SECONDS} seconds")).alias("expires_at"),
+        (F.col("ts") + F.expr(f"interval {int(lifetime)} seconds")).alias("expires_at"),
     )
 
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -27,8 +29,9 @@ def data_files(spark: SparkSession, base: str) -> DataFrame:
 
 
 def _below(base: str) -> Column:
-    folder = base.rstrip("/").split(":")[-1].replace("//", "/") + "/"
-    return F.substring_index(F.col("path"), folder, -1)
+    """The path after ``base``, whatever scheme and host either is written with."""
+    folder = re.sub(r"^[A-Za-z0-9+.-]+:/*", "/", base).rstrip("/") + "/"
+    return F.col("path").substr(F.instr("path", folder) + len(folder), F.length("path"))
 
 
 def is_parquet() -> Column:

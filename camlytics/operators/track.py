@@ -215,7 +215,7 @@ def track_objects(detections: DataFrame, settings: Settings = Settings(), column
     Rows without camera, frame or box belong to no track and keep NULLs.
     """
     c = columns
-    warm_up = 4 * settings.max_age if warm_up is None else warm_up
+    warm_up = 20 * settings.max_age if warm_up is None else warm_up
     needed = [c.camera, c.frame, c.id, *c.box]
     usable = F.lit(True)
     for name in needed:

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from camlytics.fixtures import table
+from camlytics.functions import text
 from camlytics.operators import alerts, joins, messages, ordered, stats, windows
 from camlytics.plans import views
 from camlytics.plans.views import DET, FRAMES, SEEN, sql
@@ -38,6 +39,17 @@ def detections_by_camera(spark: SparkSession, sf: str) -> DataFrame:
     return stats.detections_by_camera(views.seen_counts(spark, sf, 0.98), ordered=True)
 
 
+def zero_filled_cameras(spark: SparkSession, sf: str) -> DataFrame:
+    """Detections above 0.985 of every known camera, silent ones included."""
+    per_camera = stats.detections_by_camera(detected_messages(spark, sf, 0.985))
+    return stats.zero_filled(per_camera, range(1, 10))
+
+
+def frame_updates(spark: SparkSession, sf: str) -> DataFrame:
+    frames = views.frame_counts(spark, sf).withColumn("timestamp", text.iso_text("ts"))
+    return messages.frame_updates(frames)
+
+
 def detections_by_class(spark: SparkSession, sf: str) -> DataFrame:
     return stats.detections_by_class(views.det(spark, sf), ordered=True)
 
@@ -54,9 +66,9 @@ def frame_class_counts(spark: SparkSession, sf: str) -> DataFrame:
     return stats.class_counts_per_frame(views.det(spark, sf))
 
 
-def detected_messages(spark: SparkSession, sf: str) -> DataFrame:
-    """Detection messages of frames where something scored above 0.9."""
-    return views.seen_counts(spark, sf, 0.9).where("total_detections > 0")
+def detected_messages(spark: SparkSession, sf: str, threshold: float = 0.9) -> DataFrame:
+    """Detection messages of frames where something scored above the threshold."""
+    return views.seen_counts(spark, sf, threshold).where("total_detections > 0")
 
 
 def last_seen(spark: SparkSession, sf: str) -> DataFrame:
@@ -209,6 +221,12 @@ def camera_alerts(spark: SparkSession, sf: str) -> DataFrame:
     return alerts.alert_feed(views.visible(spark, sf), camera=3)
 
 
+def active_alerts(spark: SparkSession, sf: str) -> DataFrame:
+    """Alerts of the day before, shown for a day, that are still up at the given time."""
+    feed = alerts.alert_feed(views.visible(spark, sf), lifetime=24 * HOUR)
+    return alerts.active_alerts(feed, F.lit("2024-01-15 12:00:00").cast("timestamp_ntz"))
+
+
 def alert_messages(spark: SparkSession, sf: str) -> DataFrame:
     sent = alerts.alert_messages(alerts.alert_feed(views.visible(spark, sf)))
     return sent.select("topic", "key", F.get_json_object("value", "$.message").alias("message"))
@@ -223,7 +241,7 @@ QUERIES = {
         rate_limited_frames, running_totals, snapshot_every_n, frame_sequence, uptime, last_n_per_camera,
         latest_per_camera, first_n_per_camera, message_cap, sorted_report, overlay_join, missing_objects,
         objects_complete, load_missing, crowd_alerts, crowd_alerts_strict, traffic_alerts, traffic_alerts_strict,
-        alert_feed, camera_alerts, alert_messages,
+        alert_feed, camera_alerts, active_alerts, alert_messages, zero_filled_cameras, frame_updates,
     )
 }
 
@@ -289,6 +307,16 @@ select count(*) as total_frames, (epoch_us(max(ts)) - epoch_us(min(ts))) / 1e6::
 from frames"""),
     "detections_by_camera": sql(DET, body="""
 select camera_id, count(*) filter (where confidence > 0.98) as detections from det group by camera_id order by camera_id"""),
+    "zero_filled_cameras": sql(DET, body="""
+select c.camera_id, coalesce(n, 0) as detections
+from (select cast(unnest(range(1, 10)) as int) as camera_id) c
+left join (select camera_id, count(*) as n from det where confidence > 0.985 group by camera_id) s
+  on s.camera_id = c.camera_id"""),
+    "frame_updates": sql(DET, FRAMES, body="""
+select camera_id, frame_id, strftime(ts, '%Y-%m-%dT%H:%M:%S.%f') as timestamp from frames"""),
+    "active_alerts": sql(DET, _alerts(), body="""
+select * replace (ts + interval 1 day as expires_at) from feed
+where ts <= timestamp '2024-01-15 12:00:00' and ts > timestamp '2024-01-14 12:00:00'"""),
     "detections_by_class": sql(DET, body="""
 select class_name, count(*) as detections from det group by class_name order by class_name"""),
     "camera_class_counts": sql(DET, body="""

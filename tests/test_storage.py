@@ -152,6 +152,7 @@ def test_catalog(spark, tmp_path, rows):
     assert rows(catalog.dataset_listing(spark, str(base)), "dataset", "partition", "files") == [
         ("detections", "year=2025/camera_id=1", 1), ("detections", "year=2025/camera_id=2", 1), ("logs", "day=1", 1)
     ]
+    assert catalog.dataset_listing(spark, f"file://{base}/").count() == 3
     assert "camera_id=2" in catalog.recent_files(spark, str(base), 1).first().path
     assert catalog.recent_files(spark, str(base), 5, by_time=True).count() == 2
 
