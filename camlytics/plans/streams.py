@@ -19,10 +19,10 @@ DAY = 86400
 
 
 def _events(spark: SparkSession, sf: str, **options) -> DataFrame:
-    """The events file as a stream of detections."""
+    """The events table as a stream of detections; a pattern serves both a file and a folder."""
     schema = table(spark, sf, "events").schema
-    reader = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").options(**options)
-    return fixtures.as_detections(reader.parquet(sf))
+    reader = spark.readStream.schema(schema).options(**options)
+    return fixtures.as_detections(reader.parquet(f"{sf}/events.parquet*"))
 
 
 def _answers(detections: DataFrame) -> DataFrame:

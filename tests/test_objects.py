@@ -18,7 +18,9 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 @pytest.fixture(scope="module")
 def det(spark, tiny):
-    return fixtures.det(spark, tiny).drop("value").cache()
+    rows = fixtures.det(spark, tiny).drop("value").cache()
+    yield rows
+    rows.unpersist()
 
 
 def iou(a, b):

@@ -10,7 +10,9 @@ from camlytics.operators import ordered, windows
 
 @pytest.fixture(scope="module")
 def det(spark, tiny):
-    return fixtures.det(spark, tiny).cache()
+    rows = fixtures.det(spark, tiny).cache()
+    yield rows
+    rows.unpersist()
 
 
 @pytest.mark.parametrize("order", [["event_id"], ["ts", "event_id"], ["y", "event_id"]])

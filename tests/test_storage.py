@@ -239,6 +239,7 @@ def test_stream_tracks_over_several_batches(spark, tmp_path, tiny):
     assert rows.count() == got.count()
     assert got.where("not late").select(*columns).exceptAll(on_time.select(*columns)).isEmpty()
     assert got.where("late").count() == rows.where(late).count() > 0
+    rows.unpersist()
 
 
 def test_streaming_totals_equal_batch(spark, tiny, rows):
