@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from camlytics.operators import ordered
-from camlytics.session import cut_lineage, scratch_path
+from camlytics.session import cut_lineage, scratch_path, spread
 
 
 @dataclass(frozen=True)
@@ -238,16 +238,6 @@ def _with_fields(schema: T.StructType, ddl: str) -> T.StructType:
     return T.StructType([*[T.StructField(f.name, f.dataType) for f in schema], *T.StructType.fromDDL(ddl)])
 
 
-def _spread(rows: DataFrame, *keys: str) -> DataFrame:
-    """Hash on the keys over all shuffle partitions.
-
-    Tracking costs time per frame, not per byte; a given number of partitions
-    keeps the small ones from being merged by their size.
-    """
-    number = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return rows.repartition(number, *keys)
-
-
 def _whole(rows: DataFrame, s: Settings, c: Columns) -> DataFrame:
     """All frames fit one segment: one run per camera."""
     schema = _with_fields(rows.schema, "track_id bigint, is_confirmed boolean")
@@ -257,7 +247,7 @@ def _whole(rows: DataFrame, s: Settings, c: Columns) -> DataFrame:
         refs, confirmed = _run(Tracker(s), group, c)
         return group.assign(track_id=refs + 1, is_confirmed=confirmed)
 
-    return _spread(rows, c.camera).groupBy(c.camera).applyInPandas(run, schema)
+    return spread(rows, c.camera).groupBy(c.camera).applyInPandas(run, schema)
 
 
 class _Segments:
@@ -315,7 +305,7 @@ class _Segments:
             yield from _segment(pd.concat(parts), None, int(key[1]), s, c, names)
 
         keys = [c.camera, "_segment"]
-        runs = _spread(self.warm, *keys).groupBy(*keys).applyInPandas(run, self.out)
+        runs = spread(self.warm, *keys).groupBy(*keys).applyInPandas(run, self.out)
         found = self._write(runs, 0)
         line = Window.partitionBy(c.camera).orderBy("_segment")
         before = self.spark.read.parquet(f"{self.path}/round=0").where(
@@ -355,7 +345,7 @@ class _Segments:
             own = group[~group["_warm"]].drop(columns=["_given"])
             yield from _segment(own, state, int(key[1]), s, c, names)
 
-        runs = _spread(both, *keys).groupBy(*keys).applyInPandas(run, self.out)
+        runs = spread(both, *keys).groupBy(*keys).applyInPandas(run, self.out)
         repaired = self._write(runs, number).join(states.select(*keys, "_before"), keys)
         kept = states.join(wrong.select(*keys), keys, "left_anti")
         return cut_lineage(kept.unionByName(repaired))

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from camlytics.functions import text
 from camlytics.operators import ordered
 from camlytics.schemas import CAMERA_IDS
+from camlytics.session import spread
 
 
 def window_grid(span: DataFrame, width: int, cameras=CAMERA_IDS) -> DataFrame:
@@ -18,9 +19,8 @@ def window_grid(span: DataFrame, width: int, cameras=CAMERA_IDS) -> DataFrame:
     """
     coarse = F.expr(f"interval {width * 4096} seconds")
     fine = F.expr(f"interval {width} seconds")
-    blocks = span.where("first is not null").select(
-        "last", F.explode(F.sequence("first", "last", coarse)).alias("lo")
-    ).repartition("lo")
+    lows = F.explode(F.sequence("first", "last", coarse)).alias("lo")
+    blocks = spread(span.where("first is not null").select("last", lows), "lo")
     upper = F.least(F.col("last"), F.col("lo") + F.expr(f"interval {width * 4095} seconds"))
     starts = blocks.select(F.explode(F.sequence("lo", upper, fine)).alias("window_start"))
     ids = F.array(*[F.lit(int(c)) for c in cameras])

@@ -55,6 +55,16 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return os.path.join(shared_folder(spark), f"{name}-{uuid.uuid4().hex}")
 
 
+def spread(df: DataFrame, *keys: str) -> DataFrame:
+    """Hash on the keys over all shuffle partitions.
+
+    For work that costs time per row rather than per byte: a given number of
+    partitions keeps the small ones from being merged by their size.
+    """
+    number = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return df.repartition(number, *keys)
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Write ``df`` to the shared folder once and go on from there."""
     shared_folder(df.sparkSession)

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from camlytics.schemas import CAMERA_IDS, camera_dimension, struct_of
+from camlytics.session import spread
 
 # Video file names.
 VIDEO_GLOB = "cam*.mp4"
@@ -84,7 +85,7 @@ def frames_from_videos(videos: DataFrame, decoder: Decoder, max_frames: int | No
                 if rows:
                     yield _frame_rows(rows)
 
-    return videos.select("path", "camera_id").repartition("path").mapInPandas(decode, FRAME_ROWS)
+    return spread(videos.select("path", "camera_id"), "path").mapInPandas(decode, FRAME_ROWS)
 
 
 def _frame_rows(rows: list) -> pd.DataFrame:
