@@ -128,9 +128,10 @@ def test_partition_pruning(spark, tmp_path):
     from camlytics.functions.text import with_date_parts
 
     tables.write_partitioned(with_date_parts(df, "detection_timestamp"), path)
+    # Keeps the plan text from being cut short.
+    spark.conf.set("spark.sql.maxMetadataStringLength", "10000")
     got = files.scan_detections(spark, path, start=dt.date(2025, 1, 3), end=dt.date(2025, 1, 4), cameras=[2])
     assert sorted(r.frame_id for r in got.collect()) == [3, 4]
-    spark.conf.set("spark.sql.maxMetadataStringLength", "10000")
     plan = got._jdf.queryExecution().executedPlan().toString()
     spark.conf.unset("spark.sql.maxMetadataStringLength")
     filters = plan.split("PartitionFilters: [")[1].split("PushedFilters")[0]
