@@ -3,17 +3,26 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from camlytics.llm import language, mixing, shard, tokens
+from camlytics.llm import chat, decontaminate, language, mixing, nearest, secret_scan, shard, tokens
 from camlytics.llm.common import table
 
 TOKENIZER = "word_bpe_49k.json"
 
 
+def op1_decontamination(spark: SparkSession, sf: str) -> DataFrame:
+    return decontaminate.report(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
+
+
 def op2_sharding(spark: SparkSession, sf: str) -> DataFrame:
     return shard.assign(table(spark, sf, "documents"))
 
 
+def op3_secret_scan(spark: SparkSession, sf: str) -> DataFrame:
+    return secret_scan.scan(table(spark, sf, "documents"))
+
+
 def op5_token_counts(spark: SparkSession, sf: str) -> DataFrame:
     import public_tokenizers
 
@@ -25,9 +34,23 @@ def op6_mixing(spark: SparkSession, sf: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", "taken", "copies")
 
 
+def op7_nearest(spark: SparkSession, sf: str) -> DataFrame:
+    return nearest.search(table(spark, sf, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
+def op8_chat(spark: SparkSession, sf: str) -> DataFrame:
+    return chat.perspectives(table(spark, sf, "conversations"))
+
+
 def op10_language_id(spark: SparkSession, sf: str) -> DataFrame:
     return language.language_of(table(spark, sf, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op2_sharding, op5_token_counts, op6_mixing, op10_language_id)}
-ORACLE: dict[str, str] = {}
+QUERIES = {
+    f.__name__: f
+    for f in (
+        op1_decontamination, op2_sharding, op3_secret_scan, op5_token_counts, op6_mixing, op7_nearest, op8_chat,
+        op10_language_id,
+    )
+}
+ORACLE: dict[str, str] = {"op8_chat": chat.ORACLE}
