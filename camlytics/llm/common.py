@@ -32,6 +32,11 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def packed(df: DataFrame) -> Column:
+    """The whole row as one column, so that no name of its columns can clash."""
+    return F.struct(*[df[f"`{c}`"].alias(c) for c in df.columns])
+
+
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from camlytics.llm.common import SPACE, TO_LOWER, Words, hash_spans, mix, slices, text_bytes
+from camlytics.llm.common import TO_LOWER, Words, hash_spans, mix, packed, slices, text_bytes
 
 GRAM = 4
 MATCH, MISMATCH, GAP = 2, -1, -1
@@ -245,5 +245,5 @@ def report(docs: DataFrame, benchmark: DataFrame, threshold: float = THRESHOLD)
 
 def clean(docs: DataFrame, benchmark: DataFrame, threshold: float = THRESHOLD, text: str = "text") -> DataFrame:
     """The rows that hold no benchmark item, with the columns they came with."""
-    packed = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("row"), docs[text].alias("text"))
+    packed = docs.select(packed(docs).alias("row"), docs[text].alias("text"))
     return leaks(packed, benchmark, threshold).where(F.size("_leaks") == 0).select("row.*")

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from camlytics.llm.common import id_remainder, mix
+from camlytics.llm.common import id_remainder, mix, packed
 
 ORDER = 4
 PIECE = 500
@@ -354,5 +354,5 @@ def language_of(docs: DataFrame, **options) -> DataFrame:
 def accepted(docs: DataFrame, **options) -> DataFrame:
     """The rows whose text one of the learned languages accepts, with the columns they came with."""
     model = fit(docs, train=training(), **options)
-    packed = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("row"), identify(docs, model).alias("found"))
+    packed = docs.select(packed(docs).alias("row"), identify(docs, model).alias("found"))
     return packed.where("found.accepted").select("row.*")

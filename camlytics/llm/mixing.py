@@ -17,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from camlytics.llm.common import WORD, running, stored
+from camlytics.llm.common import WORD, packed, running, stored
 
 # Weights of the sources in code point order, null last.
 WEIGHTS = (5, 2, 1)
@@ -121,20 +121,21 @@ def plan(sizes: DataFrame, seats: int, shards: int, share: float = SHARE, seed:
 
 def mix(docs: DataFrame, seats: int = 1_000_000, shards: int = 8, share: float = SHARE, seed: int = 0,
         doc_id: str = "doc_id", text: str = "text", source: str = "source") -> DataFrame:
-    """doc_id, source, size, source_size, target, taken, copies, shard_blocks for each row.
+    """doc_id, source, size, source_size, target, taken, copies, shard_blocks, text_hash for each row.
 
     ``taken`` is the number of the document's words that lie in chosen blocks,
     repeats counted; ``copies`` how often a mix of whole documents takes it,
     by the block of its middle word. The order inside a source is that of
-    md5(seed:id:size), then id, then size; rows equal in id and size may change
-    places. A null text has size 0 and takes nothing; rows without a source
+    md5(seed:id:size), then id, size and text hash; rows equal in all of them may
+    change places. A null text has size 0 and takes nothing; rows without a source
     form one. An empty table, or one without words, gives targets of 0. With
     more words than ``seats`` a block is longer than a word, and a source may
     miss its target by two blocks. Other columns are not read.
     """
     words = F.coalesce(F.regexp_count(F.col(text), F.lit(WORD)), F.lit(0)).cast("long")
     rows = docs.select(
-        F.col(doc_id).alias("doc_id"), F.col(source).cast("string").alias("source"), words.alias("size")
+        F.col(doc_id).alias("doc_id"), F.col(source).cast("string").alias("source"), words.alias("size"),
+        F.xxhash64(F.col(text)).alias("text_hash"),
     ).withColumns({
         "_mix": F.md5(F.concat_ws(":", F.lit(seed), F.coalesce(F.col("doc_id").cast("string"), F.lit("")), "size").cast("binary")),
         # Sorts as the source does, null last.
@@ -143,7 +144,7 @@ def mix(docs: DataFrame, seats: int = 1_000_000, shards: int = 8, share: float =
     slim = stored(rows, "sizes")
     sizes = slim.groupBy("source", "_key").agg(F.sum("size").alias("source_size"))
     chosen = stored(plan(sizes, seats, shards, share, seed), "mix").drop("source")
-    order = [F.col("_mix").asc(), F.col("doc_id").asc_nulls_first(), F.col("size").asc()]
+    order = [F.col("_mix").asc(), F.col("doc_id").asc_nulls_first(), F.col("size").asc(), F.col("text_hash").asc()]
     summed = running(slim, order, "size", "stream", key="_key").drop("_all")
     known = summed.join(chosen, "_key")
 
@@ -160,5 +161,30 @@ def mix(docs: DataFrame, seats: int = 1_000_000, shards: int = 8, share: float =
         "doc_id", "source", "size", "source_size", "target",
         F.expr(f"size * _rounds + {words_upto('(_before + size)')} - {words_upto('_before')}").cast("long").alias("taken"),
         F.expr(f"_rounds + {picked(f'({middle} + 1)')} - {picked(middle)}").cast("int").alias("copies"),
-        "shard_blocks",
+        "shard_blocks", "text_hash",
     )
+
+
+def mixed(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str = "source", **options) -> DataFrame:
+    """The mix in whole documents: each row as often as ``copies`` says, with the columns it came with.
+
+    Rows equal in id, source and text share their copies, the first by the
+    whole row's hash getting what is left over.
+    """
+    key = ["_id", "_name", "_hash"]
+    copies = mix(docs, doc_id=doc_id, text=text, source=source, **options).groupBy(
+        F.col("doc_id").alias("_kid"), F.col("source").alias("_kname"), F.col("text_hash").alias("_khash")
+    ).agg(F.sum("copies").alias("_copies"), F.count(F.lit(1)).alias("_rows")).where("_copies > 0")
+    rows = docs.select(
+        packed(docs).alias("row"), docs[doc_id].alias("_id"), docs[source].cast("string").alias("_name"), F.xxhash64(docs[text]).alias("_hash")
+    )
+    known = rows.join(
+        copies,
+        F.col("_id").eqNullSafe(F.col("_kid")) & F.col("_name").eqNullSafe(F.col("_kname")) & (F.col("_hash") == F.col("_khash")),
+    )
+    place = F.row_number().over(Window.partitionBy(*key).orderBy(F.xxhash64("row"))) - 1
+    several = known.where("_rows > 1").withColumn("_place", place)
+    dealt = known.where("_rows = 1").withColumn("_place", F.lit(0)).unionByName(several)
+    own = F.expr("_copies div _rows + if(_place < _copies % _rows, 1, 0)")
+    # Each row as often as its copies; none for 0.
+    return dealt.select("row", F.explode(F.array_repeat(F.lit(1), own.cast("int")))).select("row.*")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from camlytics.llm import chat, decontaminate, language, mixing, nearest, secret_scan, shard, tokens
+from camlytics.llm import chat, decontaminate, jaccard, language, mixing, nearest, secret_scan, shard, tokens
 from camlytics.llm.common import table
 
 TOKENIZER = "word_bpe_49k.json"
@@ -42,6 +42,10 @@ def op8_chat(spark: SparkSession, sf: str) -> DataFrame:
     return chat.perspectives(table(spark, sf, "conversations"))
 
 
+def op9_ngram_jaccard(spark: SparkSession, sf: str) -> DataFrame:
+    return jaccard.join(table(spark, sf, "documents"))
+
+
 def op10_language_id(spark: SparkSession, sf: str) -> DataFrame:
     return language.language_of(table(spark, sf, "documents"))
 
@@ -50,7 +54,7 @@ QUERIES = {
     f.__name__: f
     for f in (
         op1_decontamination, op2_sharding, op3_secret_scan, op5_token_counts, op6_mixing, op7_nearest, op8_chat,
-        op10_language_id,
+        op9_ngram_jaccard, op10_language_id,
     )
 }
 ORACLE: dict[str, str] = {"op8_chat": chat.ORACLE}
