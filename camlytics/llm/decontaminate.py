@@ -245,5 +245,5 @@ def report(docs: DataFrame, benchmark: DataFrame, threshold: float = THRESHOLD)
 
 def clean(docs: DataFrame, benchmark: DataFrame, threshold: float = THRESHOLD, text: str = "text") -> DataFrame:
     """The rows that hold no benchmark item, with the columns they came with."""
-    packed = docs.select(packed(docs).alias("row"), docs[text].alias("text"))
-    return leaks(packed, benchmark, threshold).where(F.size("_leaks") == 0).select("row.*")
+    whole = docs.select(packed(docs).alias("row"), docs[text].alias("text"))
+    return leaks(whole, benchmark, threshold).where(F.size("_leaks") == 0).select("row.*")

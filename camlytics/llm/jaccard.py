@@ -372,11 +372,11 @@ def representatives(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     kept = placed.groupBy("root").agg(F.min(first).alias("_kept")).select(
         F.col("_kept.doc_id").alias("_id"), F.col("_kept.node").alias("_node")
     )
-    packed = docs.select(
+    whole = docs.select(
         packed(docs).alias("row"), docs[doc_id].cast("long").alias("_id"),
         F.xxhash64(lower_ascii(docs[text])).alias("_node"),
         F.coalesce(docs[text].rlike(WORD), F.lit(False)).alias("_words"),
     )
-    same = packed.where("_words").join(kept.toDF("_kid", "_knode"), (F.col("_node") == F.col("_knode")) & F.col("_id").eqNullSafe(F.col("_kid")))
+    same = whole.where("_words").join(kept.toDF("_kid", "_knode"), (F.col("_node") == F.col("_knode")) & F.col("_id").eqNullSafe(F.col("_kid")))
     once = same.dropDuplicates(["_node", "_id"]).select("row.*")
-    return once.unionByName(packed.where(~F.col("_words")).select("row.*"))
+    return once.unionByName(whole.where(~F.col("_words")).select("row.*"))

@@ -354,5 +354,5 @@ def language_of(docs: DataFrame, **options) -> DataFrame:
 def accepted(docs: DataFrame, **options) -> DataFrame:
     """The rows whose text one of the learned languages accepts, with the columns they came with."""
     model = fit(docs, train=training(), **options)
-    packed = docs.select(packed(docs).alias("row"), identify(docs, model).alias("found"))
-    return packed.where("found.accepted").select("row.*")
+    whole = docs.select(packed(docs).alias("row"), identify(docs, model).alias("found"))
+    return whole.where("found.accepted").select("row.*")
