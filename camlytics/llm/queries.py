@@ -5,10 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from camlytics.llm import chat, decontaminate, jaccard, language, mixing, nearest, secret_scan, shard, tokens
+from camlytics.llm import chat, decontaminate, jaccard, language, lm, mixing, nearest, secret_scan, shard, tokens
 from camlytics.llm.common import table
 
-TOKENIZER = "word_bpe_49k.json"
+TOKENIZER, SUBWORDS = "word_bpe_49k.json", "piece_bpe_32k.model"
 
 
 def op1_decontamination(spark: SparkSession, sf: str) -> DataFrame:
@@ -23,6 +23,12 @@ def op3_secret_scan(spark: SparkSession, sf: str) -> DataFrame:
     return secret_scan.scan(table(spark, sf, "documents"))
 
 
+def op4_lm_scoring(spark: SparkSession, sf: str) -> DataFrame:
+    import public_tokenizers
+
+    return lm.score(table(spark, sf, "documents"), public_tokenizers.path(SUBWORDS))
+
+
 def op5_token_counts(spark: SparkSession, sf: str) -> DataFrame:
     import public_tokenizers
 
@@ -53,7 +59,7 @@ def op10_language_id(spark: SparkSession, sf: str) -> DataFrame:
 QUERIES = {
     f.__name__: f
     for f in (
-        op1_decontamination, op2_sharding, op3_secret_scan, op5_token_counts, op6_mixing, op7_nearest, op8_chat,
+        op1_decontamination, op2_sharding, op3_secret_scan, op4_lm_scoring, op5_token_counts, op6_mixing, op7_nearest, op8_chat,
         op9_ngram_jaccard, op10_language_id,
     )
 }
