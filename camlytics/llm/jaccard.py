@@ -380,3 +380,20 @@ def representatives(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     same = whole.where("_words").join(kept.toDF("_kid", "_knode"), (F.col("_node") == F.col("_knode")) & F.col("_id").eqNullSafe(F.col("_kid")))
     once = same.dropDuplicates(["_node", "_id"]).select("row.*")
     return once.unionByName(whole.where(~F.col("_words")).select("row.*"))
+
+
+ORACLE = """
+with recursive words as (
+  select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\\x20\\x09-\\x0D]+') as w from documents),
+sets as (
+  select doc_id, case when len(w) >= 5 then list_distinct([array_to_string(w[i:i + 4], ' ') for i in range(1, len(w) - 3)])
+    when len(w) > 0 then [array_to_string(w, ' ')] else [] end as s from words),
+tokens as (select doc_id, unnest(s) as t, len(s) as n from sets),
+links as (
+  select a.doc_id as a, b.doc_id as b from tokens a join tokens b on a.t = b.t and a.doc_id <> b.doc_id
+  group by a.doc_id, b.doc_id, a.n, b.n having 100 * count(*) >= 75 * (a.n + b.n - count(*))),
+reached(doc_id, root) as (
+  select doc_id, doc_id from sets union select l.b, r.root from reached r join links l on r.doc_id = l.a)
+select doc_id, cast(len(any_value(s)) as bigint) as n_shingles, min(root) as component_id
+from reached join sets using (doc_id) group by doc_id"""

@@ -188,3 +188,46 @@ def mixed(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: s
     own = F.expr("_copies div _rows + if(_place < _copies % _rows, 1, 0)")
     # Each row as often as its copies; none for 0.
     return dealt.select("row", F.explode(F.array_repeat(F.lit(1), own.cast("int")))).select("row.*")
+
+
+ORACLE = """
+with d as (
+  select doc_id, source, cast(len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+')) as bigint) as size from documents),
+s as (
+  select source, cast(sum(size) as bigint) as n, row_number() over (order by source nulls last) - 1 as i from d group by source),
+w as (
+  select *, cast(case i % 3 when 0 then 5 when 1 then 2 else 1 end as double) as w,
+    cast(1.5 as double) * cast(sum(n) over () as double) as m from s),
+f as (
+  select *, coalesce(cast(sum(2 * n) over (order by n / w, i rows between unbounded preceding and 1 preceding) as double), 0) as filled,
+    sum(w) over (order by n / w, i rows between current row and unbounded following) as open_weight from w),
+g as (select *, 2 * n * open_weight <= w * (m - filled) as is_full from f),
+t as (
+  select *, cast(sum(case when is_full then 2 * n else 0 end) over () as double) as rest,
+    sum(case when is_full then 0 else w end) over () as sharing from g),
+u as (
+  select source, i, n, m, case when is_full then cast(2 * n as double) else w * (m - rest) / sharing end as target,
+    cast(greatest(1, ceil(m / 1000000)) as bigint) as b from t),
+claims as (
+  select i, m, b, target / (2 * k - 1) as quotient
+  from (select *, unnest(range(1, cast(ceil(target / b) as bigint) + 2 + (select count(*) from s))) as k from u)),
+ranked as (select i, row_number() over (order by quotient desc, i) <= round(m / b) as won from claims),
+q as (select i, count(*) filter (won) as quota from ranked group by i),
+p as (
+  select source, n, target, b, least(quota, 2 * blocks) // blocks as rounds, least(quota, 2 * blocks) % blocks as extra,
+    (i * 7919) % blocks as start, blocks
+  from (select u.*, q.quota, cast(greatest(1, ceil(n / b)) as bigint) as blocks from u join q using (i))),
+o as (
+  select *, cast(coalesce(sum(size) over (partition by source
+    order by md5('0:' || coalesce(cast(doc_id as varchar), '') || ':' || size), doc_id nulls first, size
+    rows between unbounded preceding and 1 preceding), 0) as bigint) as x from d),
+j as (
+  select o.*, p.* exclude (source), x + o.size as y, (x + o.size // 2) // b as mid from o join p on o.source is not distinct from p.source),
+c as (
+  select *, (x // b + start) * extra // blocks - start * extra // blocks as x0, (x // b + 1 + start) * extra // blocks - start * extra // blocks as x1,
+    (y // b + start) * extra // blocks - start * extra // blocks as y0, (y // b + 1 + start) * extra // blocks - start * extra // blocks as y1,
+    (mid + start) * extra // blocks as m0, (mid + 1 + start) * extra // blocks as m1 from j)
+select doc_id, size, n as source_size, target,
+  cast(size * rounds + b * y0 + (y1 - y0) * (y % b) - b * x0 - (x1 - x0) * (x % b) as bigint) as taken,
+  cast(rounds + m1 - m0 as integer) as copies
+from c"""

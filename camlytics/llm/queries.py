@@ -63,4 +63,4 @@ QUERIES = {
         op9_ngram_jaccard, op10_language_id,
     )
 }
-ORACLE: dict[str, str] = {"op8_chat": chat.ORACLE}
+ORACLE: dict[str, str] = {"op6_mixing": mixing.ORACLE, "op8_chat": chat.ORACLE, "op9_ngram_jaccard": jaccard.ORACLE}
