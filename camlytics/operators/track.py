@@ -17,11 +17,11 @@ detections do not advance the tracker unless ``advance_on_empty``.
 from __future__ import annotations
 
 import json
-from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -63,7 +63,20 @@ class Tracker:
     def _confirmed(self, track: _Track) -> bool:
         return track.hits >= self.settings.n_init
 
+    def _close(self) -> None:
+        """The frame is over: tracks that missed it for good end."""
+        self.tracks = [
+            t for t in self.tracks
+            if t.missed == 0 or (self._confirmed(t) and t.missed <= self.settings.max_age)
+        ]
+        # Ties are broken by the last detection, so the order never depends on
+        # how long ago a track began.
+        self.tracks.sort(key=lambda t: t.head)
+
     def _age(self, frame: int) -> None:
+        if frame == self.last_frame:
+            return
+        self._close()
         gap = 1
         if self.settings.advance_on_empty and self.last_frame is not None:
             gap = frame - self.last_frame
@@ -77,10 +90,13 @@ class Tracker:
         self.last_frame = frame
 
     def update(self, frame: int, ids, boxes: np.ndarray, embeddings=None) -> tuple[list, list]:
-        """Track of each detection and whether that track is confirmed by now."""
+        """Track of each detection and whether that track is confirmed by now.
+
+        More detections of the last frame go to tracks that have none in it yet.
+        """
         self._age(frame)
         owner: list[_Track | None] = [None] * len(ids)
-        taken = set()
+        taken = {at for at, t in enumerate(self.tracks) if t.missed == 0}
         for t, d in self._pairs(boxes, embeddings):
             if t in taken or owner[d] is not None:
                 continue
@@ -96,13 +112,6 @@ class Tracker:
             track.hits = min(track.hits + 1, self.settings.n_init)
             track.box = [float(v) for v in boxes[d]]
             track.embedding = None if embedding is None else [float(v) for v in embedding]
-        self.tracks = [
-            t for t in self.tracks
-            if t.missed == 0 or (self._confirmed(t) and t.missed <= self.settings.max_age)
-        ]
-        # Ties are broken by the last detection, so the order never depends on
-        # how long ago a track began.
-        self.tracks.sort(key=lambda t: t.head)
         return [t.ref for t in owner], [self._confirmed(t) for t in owner]
 
     def _pairs(self, boxes: np.ndarray, embeddings):
@@ -119,10 +128,10 @@ class Tracker:
         order = np.lexsort((d_at, t_at, -overlap[t_at, d_at]))
         for at in order:
             t, d = int(t_at[at]), int(d_at[at])
-            if embeddings is None or self._close(self.tracks[t].embedding, embeddings[d]):
+            if embeddings is None or self._alike(self.tracks[t].embedding, embeddings[d]):
                 yield t, d
 
-    def _close(self, a, b) -> bool:
+    def _alike(self, a, b) -> bool:
         if a is None or b is None:
             return True
         a, b = np.asarray(a, dtype=float), np.asarray(b, dtype=float)
@@ -131,6 +140,7 @@ class Tracker:
 
     def signature(self) -> str:
         """Everything the future of the tracker depends on, without names."""
+        self._close()
         last = self.last_frame if self.settings.advance_on_empty else None
         return json.dumps([last, [[t.head, t.hits, t.missed] for t in self.tracks]])
 
@@ -147,6 +157,7 @@ class Tracker:
 
     def rename_inherited(self) -> None:
         """Names for a new segment: inherited tracks -1, -2, ..., new ones from 0."""
+        self._close()
         for at, track in enumerate(self.tracks):
             track.ref = -1 - at
         self.next_ref = 0
@@ -164,18 +175,21 @@ class Columns:
     embedding: str | None = None
 
 
-def _run(tracker: Tracker, rows: pd.DataFrame, c: Columns) -> tuple[np.ndarray, np.ndarray]:
-    """Feed sorted rows frame by frame."""
-    boxes = rows[list(c.box)].to_numpy(dtype=float)
+def _in_order(rows: pa.Table, c: Columns) -> pa.Table:
+    return rows.sort_by([(c.frame, "ascending"), (c.id, "ascending")])
+
+
+def run_sorted(tracker: Tracker, rows: pa.Table, c: Columns) -> tuple[np.ndarray, np.ndarray]:
+    """Feed sorted rows frame by frame: reference and confirmation of each."""
+    boxes = np.stack([rows[name].to_numpy().astype(float) for name in c.box], axis=1)
     if c.sized:
         boxes[:, 2:] += boxes[:, :2]
-    ids = rows[c.id].to_numpy()
-    frames = rows[c.frame].to_numpy()
-    embeddings = None if c.embedding is None else rows[c.embedding].tolist()
-    refs = np.empty(len(rows), dtype=np.int64)
-    confirmed = np.empty(len(rows), dtype=bool)
+    ids, frames = rows[c.id].to_numpy(), rows[c.frame].to_numpy()
+    embeddings = None if c.embedding is None else rows[c.embedding].to_pylist()
+    refs = np.empty(len(ids), dtype=np.int64)
+    confirmed = np.empty(len(ids), dtype=bool)
     edges = np.flatnonzero(np.diff(frames)) + 1
-    for lo, hi in zip(np.r_[0, edges], np.r_[edges, len(rows)]):
+    for lo, hi in zip(np.r_[0, edges], np.r_[edges, len(ids)]):
         if lo == hi:
             continue
         part = None if embeddings is None else embeddings[lo:hi]
@@ -183,29 +197,43 @@ def _run(tracker: Tracker, rows: pd.DataFrame, c: Columns) -> tuple[np.ndarray,
     return refs, confirmed
 
 
+def _table(columns: dict, like: pa.Table, names: list[str], length: int) -> pa.Table:
+    """The named columns; one that is not given is NULL of the type it has in ``like``."""
+    kinds = {"_ref": pa.int64(), "is_confirmed": pa.bool_(), "_start": pa.string(), "_end": pa.string(),
+             "_state": pa.string(), "_born": pa.int64()}
+    return pa.table({
+        name: columns[name] if name in columns else pa.nulls(length, kinds.get(name) or like.schema.field(name).type)
+        for name in names
+    })
+
+
 _STATE = ["_start", "_end", "_state", "_born"]
 _STATE_DDL = "_start string, _end string, _state string, _born bigint"
 
 
-def _segment(rows: pd.DataFrame, given: str | None, segment: int, s: Settings, c: Columns,
-             out: list[str]) -> Iterator[pd.DataFrame]:
-    """One segment's rows with local names, then one row describing its ends."""
-    rows = rows.sort_values([c.frame, c.id], kind="stable")
-    own = rows[~rows["_warm"]]
-    if own.empty:
-        return
+def _segment(rows: pa.Table, given: str | None, key: tuple, s: Settings, c: Columns, out: list[str]) -> pa.Table:
+    """One segment's rows with local names, and one row describing its ends.
+
+    Everything stays in Arrow columns, so a value never changes on the way.
+    """
+    rows = _in_order(rows, c)
+    warm = rows["_warm"]
+    own = rows.filter(pc.invert(warm))
+    if not own.num_rows:
+        return _table({}, rows, out, 0)
     tracker = Tracker.load(s, given)
     if given is None:
-        _run(tracker, rows[rows["_warm"]], c)
+        run_sorted(tracker, rows.filter(warm), c)
     start = tracker.signature()
     tracker.rename_inherited()
-    refs, confirmed = _run(tracker, own, c)
-    yield own.assign(_ref=refs, is_confirmed=confirmed, **dict.fromkeys(_STATE))[out]
+    refs, confirmed = run_sorted(tracker, own, c)
+    held = {name: own[name] for name in own.column_names} | {"_ref": pa.array(refs), "is_confirmed": pa.array(confirmed)}
     ends = {
-        c.camera: rows[c.camera].iloc[0], "_segment": segment, "_start": start,
-        "_end": tracker.signature(), "_state": tracker.dump(), "_born": tracker.next_ref,
+        c.camera: own[c.camera].slice(0, 1), "_segment": pa.array([key[1].as_py()], own.schema.field("_segment").type),
+        "_start": pa.array([start]), "_end": pa.array([tracker.signature()]), "_state": pa.array([tracker.dump()]),
+        "_born": pa.array([tracker.next_ref], pa.int64()),
     }
-    yield pd.DataFrame({name: [ends.get(name)] for name in out})
+    return pa.concat_tables([_table(held, rows, out, own.num_rows), _table(ends, rows, out, 1)])
 
 
 def track_objects(detections: DataFrame, settings: Settings = Settings(), columns: Columns = Columns(), *,
@@ -242,12 +270,12 @@ def _whole(rows: DataFrame, s: Settings, c: Columns) -> DataFrame:
     """All frames fit one segment: one run per camera."""
     schema = _with_fields(rows.schema, "track_id bigint, is_confirmed boolean")
 
-    def run(group: pd.DataFrame) -> pd.DataFrame:
-        group = group.sort_values([c.frame, c.id], kind="stable")
-        refs, confirmed = _run(Tracker(s), group, c)
-        return group.assign(track_id=refs + 1, is_confirmed=confirmed)
+    def run(group: pa.Table) -> pa.Table:
+        group = _in_order(group, c)
+        refs, confirmed = run_sorted(Tracker(s), group, c)
+        return group.append_column("track_id", pa.array(refs + 1)).append_column("is_confirmed", pa.array(confirmed))
 
-    return spread(rows, c.camera).groupBy(c.camera).applyInPandas(run, schema)
+    return spread(rows, c.camera).groupBy(c.camera).applyInArrow(run, schema)
 
 
 class _Segments:
@@ -301,11 +329,11 @@ class _Segments:
     def _first_round(self) -> DataFrame:
         c, s, names = self.c, self.s, self.out.names
 
-        def run(key: tuple, parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-            yield from _segment(pd.concat(parts), None, int(key[1]), s, c, names)
+        def run(key: tuple, rows: pa.Table) -> pa.Table:
+            return _segment(rows, None, key, s, c, names)
 
         keys = [c.camera, "_segment"]
-        runs = spread(self.warm, *keys).groupBy(*keys).applyInPandas(run, self.out)
+        runs = spread(self.warm, *keys).groupBy(*keys).applyInArrow(run, self.out)
         found = self._write(runs, 0)
         line = Window.partitionBy(c.camera).orderBy("_segment")
         before = self.spark.read.parquet(f"{self.path}/round=0").where(
@@ -331,21 +359,14 @@ class _Segments:
         c, s, names = self.c, self.s, self.out.names
         keys = [c.camera, "_segment"]
         wrong = cut_lineage(wrong)
-        rows = self.rows.join(wrong.select(*keys), keys, "left_semi").withColumn("_warm", F.lit(False))
-
-        # The real state rides along as one extra row per segment.
-        given = wrong.select(*keys, "_given").withColumn("_warm", F.lit(True))
-        both = rows.withColumn("_given", F.lit(None).cast("string")).unionByName(
-            given, allowMissingColumns=True
-        )
+        first = self.spark.read.schema(self.out).parquet(f"{self.path}/round=0").where(F.col("_end").isNull())
+        rows = first.select(*self.rows.columns).join(wrong.select(*keys), keys, "left_semi").withColumn("_warm", F.lit(False))
 
-        def run(key: tuple, parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-            group = pd.concat(parts)
-            state = group.loc[group["_warm"], "_given"].iloc[0]
-            own = group[~group["_warm"]].drop(columns=["_given"])
-            yield from _segment(own, state, int(key[1]), s, c, names)
+        def run(key: tuple, rows: pa.Table, given: pa.Table) -> pa.Table:
+            return _segment(rows, given["_given"][0].as_py(), key, s, c, names)
 
-        runs = spread(both, *keys).groupBy(*keys).applyInPandas(run, self.out)
+        states_of = spread(wrong.select(*keys, "_given"), *keys).groupBy(*keys)
+        runs = spread(rows, *keys).groupBy(*keys).cogroup(states_of).applyInArrow(run, self.out)
         repaired = self._write(runs, number).join(states.select(*keys, "_before"), keys)
         kept = states.join(wrong.select(*keys), keys, "left_anti")
         return cut_lineage(kept.unionByName(repaired))
@@ -413,14 +434,14 @@ def confirmed_only(tracked: DataFrame) -> DataFrame:
 
 def track_summary(tracked: DataFrame, *, camera: str = "camera_id", frame: str = "frame_id",
                   class_name: str = "class_name", ts: str | None = None) -> DataFrame:
-    """First and last frame, length and last seen class of each track."""
+    """First and last frame, length and last seen class of each track; of several in its last frame the last by name."""
     times = [F.min(ts).alias("first_ts"), F.max(ts).alias("last_ts")] if ts else []
     return tracked.where(F.col("track_id").isNotNull()).groupBy(camera, "track_id").agg(
         F.min(frame).alias("first_frame"),
         F.max(frame).alias("last_frame"),
         F.count(F.lit(1)).alias("observations"),
         F.bool_or("is_confirmed").alias("confirmed"),
-        F.max_by(class_name, frame).alias("class_name"),
+        F.max_by(class_name, F.struct(frame, class_name)).alias("class_name"),
         *times,
     )
 

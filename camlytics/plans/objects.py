@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from camlytics import fixtures
 from camlytics.fixtures import table
 from camlytics.operators import nms as suppression
 from camlytics.operators import similarity, stats, track
@@ -21,8 +22,8 @@ def nms(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def track_objects(spark: SparkSession, sf: str) -> DataFrame:
-    rows = views.det(spark, sf).where(F.col("confidence") >= 0.5)
-    return track.track_objects(rows.drop("value"))
+    """Objects in lanes that never meet, whose tracks SQL can tell too."""
+    return track.track_objects(fixtures.as_lanes(views.det(spark, sf)))
 
 
 def confirmed_tracks(spark: SparkSession, sf: str) -> DataFrame:
@@ -56,7 +57,11 @@ def track_lookup(spark: SparkSession, sf: str) -> DataFrame:
     path = scratch_path(spark, "tracks")
     tables.write_tracks(track.as_tracks_table(track_objects(spark, sf)), path)
     found = tables.find_tracks(spark, path, camera=3, start="2024-01-10", end="2024-01-15")
-    return found.drop("created_at")
+    return found.select(
+        "id", F.col("camera_id").cast("int").alias("camera_id"), "frame_id", "track_id", "class_id", "class_name",
+        *[F.col(n).cast("int").alias(n) for n in ("x1", "y1", "x2", "y2")],
+        F.col("timestamp").cast("timestamp_ntz").alias("timestamp"), F.col("day").cast("int").alias("day"),
+    )
 
 
 def similar_topk(spark: SparkSession, sf: str) -> DataFrame:
@@ -121,11 +126,31 @@ ended as (
 select event_id, ts, camera_id, frame_id, class_id, class_name, confidence, x, y, w, h
 from det where event_id in (select o.event_id from (select unnest(kept) as o from ended))"""
 
+
+def tracks_sql(body: str) -> str:
+    return "with recursive " + DET + "," + views.LANES + "\n" + body
+
+
 ORACLE = {
     "nms": _NMS,
-    "track_coverage": sql(DET, body="""
-select camera_id, count(*) as tracked, count(distinct frame_id) as frames, true as gapless
-from det where confidence >= 0.5 group by camera_id"""),
+    "track_objects": tracks_sql("select * from tracked"),
+    "confirmed_tracks": tracks_sql("select * from tracked where is_confirmed"),
+    "track_summary": tracks_sql("""
+select camera_id, track_id, min(frame_id) as first_frame, max(frame_id) as last_frame, count(*) as observations,
+  bool_or(is_confirmed) as confirmed, arg_max(class_name, frame_id) as class_name, min(ts) as first_ts, max(ts) as last_ts
+from tracked group by camera_id, track_id"""),
+    "track_counters": tracks_sql("""
+select count(distinct (camera_id, frame_id)) as total_frames_processed, count(*) as total_detections,
+  count(*) filter (where is_confirmed) as total_tracks_created from tracked"""),
+    "distinct_tracks": tracks_sql("""
+select camera_id, count(distinct track_id) as tracks from tracked where is_confirmed group by camera_id"""),
+    "track_coverage": tracks_sql("""
+select camera_id, count(*) as tracked, count(distinct frame_id) as frames, count(distinct track_id) = max(track_id) as gapless
+from tracked group by camera_id"""),
+    "track_lookup": tracks_sql("""
+select event_id as id, camera_id, frame_id, track_id, class_id, class_name, x as x1, y as y1, x + w as x2, y + h as y2,
+  ts as timestamp, cast(day(ts) as int) as day
+from tracked where is_confirmed and camera_id = 3 and ts >= timestamp '2024-01-10' and ts < timestamp '2024-01-15'"""),
     "similar_topk": sql(_MEANS, body=f"""
 select cast(label as bigint) as probe_id, vec_id, similarity, cast(rank as int) as rank
 from (select *, row_number() over (partition by label order by similarity desc, vec_id) as rank

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from camlytics import fixtures
 from camlytics.fixtures import table
 from camlytics.functions import boxes, text
-from camlytics.plans import views
+from camlytics.plans import objects, views
 from camlytics.plans.views import DET, sql
 from camlytics.schemas import ENGINE
 from camlytics.session import scratch_path
@@ -60,16 +60,23 @@ def stream_json_files(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def stream_rates(spark: SparkSession, sf: str) -> DataFrame:
-    """Daily rates; the days still open at the end of the stream are not emitted."""
+    """Daily rates of all days, the last one as far as it has come: each batch replaces the windows it changed."""
     path, checkpoint = scratch_path(spark, "rates"), scratch_path(spark, "checkpoint")
     frames = _events(spark, sf).select(
         "camera_id", F.col("ts").cast("timestamp").alias("ts"),
         boxes.above("confidence").cast("bigint").alias("total_detections"),
     )
     rates = state.rates(frames, DAY, delay="1 hour")
-    writer = rates.writeStream.outputMode("append").format("parquet").option("path", path)
+
+    def put(batch: DataFrame, number: int) -> None:
+        batch.withColumn("batch", F.lit(number)).write.mode("append").parquet(path)
+
+    writer = rates.writeStream.outputMode("update").foreachBatch(put)
     _finish(writer.option("checkpointLocation", checkpoint).trigger(**ONCE).start())
-    return spark.read.parquet(path).withColumn("window_start", F.col("window_start").cast("timestamp_ntz"))
+    written = spark.read.parquet(path)
+    newest = written.groupBy("window_start", "camera_id").agg(F.max("batch").alias("batch"))
+    rows = written.join(newest, ["window_start", "camera_id", "batch"]).drop("batch")
+    return rows.withColumn("window_start", F.col("window_start").cast("timestamp_ntz"))
 
 
 def stream_running_totals(spark: SparkSession, sf: str) -> DataFrame:
@@ -85,9 +92,9 @@ def stream_running_totals(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def stream_tracks(spark: SparkSession, sf: str) -> DataFrame:
-    """The tracker as a stream; a batch is bounded by the size of its files."""
+    """The tracker as a stream; a batch is bounded by the size of its files, and frames may go on in the next one."""
     path, checkpoint = scratch_path(spark, "tracks"), scratch_path(spark, "checkpoint")
-    rows = _events(spark, sf, maxBytesPerTrigger=str(256 << 20)).where(F.col("confidence") >= 0.5).drop("value")
+    rows = fixtures.as_lanes(_events(spark, sf, maxBytesPerTrigger=str(256 << 20)))
     writer = state.track_objects(rows).writeStream.outputMode("append").format("parquet").option("path", path)
     _finish(writer.option("checkpointLocation", checkpoint).trigger(**ONCE).start())
     return spark.read.parquet(path)
@@ -109,8 +116,8 @@ select camera_id, frame_id, strftime(ts, '%Y-%m-%dT%H:%M:%S.%f') as timestamp, c
 select window_start, camera_id, frames, detections, frames / 86400.0::double as fps,
   detections / 86400.0::double as detection_rate
 from (select date_trunc('day', ts) as window_start, camera_id, count(*) as frames,
-        count(*) filter (where confidence > 0.4) as detections from det group by 1, 2)
-where window_start + interval 1 day <= (select date_trunc('millisecond', max(ts)) - interval 1 hour from det)"""),
+        count(*) filter (where confidence > 0.4) as detections from det group by 1, 2)"""),
+    "stream_tracks": objects.tracks_sql("select *, false as late from tracked"),
     "stream_running_totals": sql(DET, body="""
 select camera_id, class_name, count(*) as detections from det group by all"""),
 }

@@ -45,6 +45,43 @@ seen as (
 )"""
 
 
+# Lanes that never meet: a track is a run of one lane's detections. The walk goes over a camera's frames
+# and says for each lane how often its track was hit, how long it was missed, and which of the lane's tracks it is.
+LANES = """
+lane_det as (
+  select event_id, ts, camera_id, frame_id, class_id, class_name, confidence,
+    cast(event_id % 8 * 1000 + y % 5 as int) as x, cast(event_id % 8 as int) as y, cast(100 as int) as w, cast(100 as int) as h
+  from det where confidence >= 0.5 and (event_id % 8 <> 7 or (frame_id // 40) % 2 = 0)
+),
+steps as (
+  select f.camera_id, f.n, l.lane, d.event_id
+  from (select camera_id, frame_id, row_number() over (partition by camera_id order by frame_id) as n
+        from (select distinct camera_id, frame_id from lane_det)) f
+  cross join (select unnest(range(8)) as lane) l
+  left join lane_det d on d.camera_id = f.camera_id and d.frame_id = f.frame_id and d.y = l.lane
+),
+walk as (
+  select camera_id, lane, cast(0 as bigint) as n, 0 as hits, 0 as missed, 0 as run, cast(null as bigint) as event_id
+  from (select distinct camera_id, lane from steps)
+  union all
+  select w.camera_id, w.lane, s.n,
+    case when s.event_id is not null then least(w.hits + 1, 3)
+      when w.hits = 3 and w.missed < 30 then 3 else 0 end,
+    case when s.event_id is not null then 0 else w.missed + 1 end,
+    case when s.event_id is not null and w.hits = 0 then w.run + 1 else w.run end,
+    s.event_id
+  from walk w join steps s on s.camera_id = w.camera_id and s.lane = w.lane and s.n = w.n + 1
+),
+born as (
+  select camera_id, lane, run, row_number() over (partition by camera_id order by min(n), min(event_id)) as track_id
+  from walk where event_id is not null group by camera_id, lane, run
+),
+tracked as (
+  select d.*, b.track_id, w.hits = 3 as is_confirmed
+  from walk w join born b using (camera_id, lane, run) join lane_det d on d.event_id = w.event_id
+)"""
+
+
 def sql(*views: str, body: str) -> str:
     return "with " + ",".join(views) + "\n" + body
 

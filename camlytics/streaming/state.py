@@ -3,15 +3,19 @@
 from __future__ import annotations
 
 from collections.abc import Iterable, Iterator
+from functools import reduce
+from operator import and_
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from camlytics.operators import windows
 from camlytics.operators.parse import class_or_unknown
-from camlytics.operators.track import Columns, Settings, Tracker, _run, _with_fields
+from camlytics.operators.track import Columns, Settings, Tracker, _with_fields, run_sorted
 
 
 def rates(frames: DataFrame, width: int = 5, *, ts: str = "ts", delay: str = "10 seconds") -> DataFrame:
@@ -42,35 +46,45 @@ def frame_totals(frames: DataFrame) -> DataFrame:
 
 
 def track_objects(detections: DataFrame, settings: Settings = Settings(), columns: Columns = Columns()) -> DataFrame:
-    """The tracker as a stream, with the same ids as the batch operator.
+    """The tracker as a stream, with the ids of the batch operator.
 
     State is the live tracks of each camera. A batch's rows are put in frame
-    order; rows of frames at or before the last one tracked come too late to be
-    tracked and are emitted without a track, marked ``late``. Bound the batch
-    with the source's rate option.
+    order. A frame may go on in the next batch, as when a file ends inside it:
+    its further detections join tracks that have none in it yet. Rows of
+    earlier frames come too late to be tracked and are emitted without a track,
+    marked ``late``. Rows without camera, frame, id or box never reach the
+    state, so they are not gathered anywhere. Bound the batch with the source's
+    rate option.
     """
     c = columns
-    schema = _with_fields(detections.schema, "track_id bigint, is_confirmed boolean, late boolean")
-    names = schema.names
+    needed = [c.camera, c.frame, c.id, *c.box]
+    out = _with_fields(detections.schema, "track_id bigint, is_confirmed boolean, late boolean")
+    # Whole numbers that may be NULL would come back as doubles; as text they stay what they are.
+    texts = [f.name for f in detections.schema if isinstance(f.dataType, T.IntegralType) and f.name not in needed]
+    kinds = {f.name: f.dataType for f in detections.schema}
+    passed = T.StructType([T.StructField(f.name, T.StringType() if f.name in texts else f.dataType) for f in out])
+    usable = reduce(and_, [F.col(n).isNotNull() for n in needed])
+    names = out.names
 
     def advance(key: tuple, batches: Iterable[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         rows = pd.concat(list(batches)).sort_values([c.frame, c.id], kind="stable")
         tracker = Tracker.load(settings, state.get[0] if state.exists else None)
-        usable = rows[[c.frame, c.id, *c.box]].notna().all(axis=1)
-        if pd.isna(key[0]):
-            usable &= False
-        late = pd.Series(False, index=rows.index)
-        if tracker.last_frame is not None:
-            late = usable & (rows[c.frame] <= tracker.last_frame)
-        fresh = rows[usable & ~late]
+        late = pd.Series(False, index=rows.index) if tracker.last_frame is None else rows[c.frame] < tracker.last_frame
+        fresh = rows[~late]
         if len(fresh):
-            refs, confirmed = _run(tracker, fresh, c)
+            used = [c.frame, c.id, *c.box, *([c.embedding] if c.embedding else [])]
+            refs, confirmed = run_sorted(tracker, pa.Table.from_pandas(fresh[used], preserve_index=False), c)
             yield fresh.assign(track_id=refs + 1, is_confirmed=confirmed, late=False)[names]
-        other = rows[~usable | late]
-        if len(other):
-            yield other.assign(track_id=None, is_confirmed=None, late=late[other.index])[names]
+        if late.any():
+            yield rows[late].assign(track_id=None, is_confirmed=None, late=True)[names]
         state.update((tracker.dump(),))
 
-    return detections.groupBy(c.camera).applyInPandasWithState(
-        advance, schema, "tracker string", "append", GroupStateTimeout.NoTimeout
+    as_text = detections.withColumns({n: F.col(n).cast("string") for n in texts}) if texts else detections
+    tracked = as_text.where(usable).groupBy(c.camera).applyInPandasWithState(
+        advance, passed, "tracker string", "append", GroupStateTimeout.NoTimeout
     )
+    tracked = tracked.withColumns({n: F.col(n).cast(kinds[n]) for n in texts}) if texts else tracked
+    rest = detections.where(~usable).withColumns({
+        "track_id": F.lit(None).cast("bigint"), "is_confirmed": F.lit(None).cast("boolean"), "late": F.lit(False),
+    })
+    return tracked.select(names).unionByName(rest)

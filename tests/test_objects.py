@@ -179,6 +179,33 @@ def test_rows_without_a_frame_are_kept(spark):
     assert len(got) == 4 and got[1, 9] == (None, None)
 
 
+@pytest.mark.parametrize("segment, warm", [(5000, None), (20, 3), (6, 0)])
+def test_values_stay_what_they_are(det, segment, warm):
+    """Ids and nullable numbers beyond 2^53 come back unchanged, repairs of segments included."""
+    big = F.lit(2**53 + 1)
+    rows = det.withColumn("event_id", F.col("event_id") * 2 + big).withColumn(
+        "other", F.when(F.col("event_id") % 3 == 0, F.col("event_id") + big)
+    )
+    settings = track.Settings(min_iou=0.05)
+    got = track.track_objects(rows, settings, segment_frames=segment, warm_up=warm)
+    assert got.select(rows.columns).exceptAll(rows).isEmpty() and rows.exceptAll(got.select(rows.columns)).isEmpty()
+    whole = tracked(track.track_objects(rows, settings))
+    assert tracked(got) == whole
+
+
+def test_frame_that_goes_on():
+    """More detections of the last frame join the tracks that have none in it yet."""
+    def box(x):
+        return [float(x), 0.0, float(x + 10), 10.0]
+
+    t = track.Tracker(track.Settings())
+    for f in range(3):
+        assert t.update(f, [10 * f, 10 * f + 1], np.array([box(0), box(100)]))[0] == [0, 1]
+    assert t.update(3, [30], np.array([box(0)]))[0] == [0]
+    again = track.Tracker.load(t.settings, t.dump())
+    assert again.update(3, [31, 32], np.array([box(100), box(0)]))[0] == [1, 2]
+
+
 def test_embedding_gate():
     same, other = [1.0, 0.0], [0.0, 1.0]
     for second, expected in ((same, [0]), (other, [1])):

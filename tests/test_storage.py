@@ -214,13 +214,32 @@ def test_topic_rows_of_the_stream(spark, tiny):
 
 
 def test_stream_tracks_equal_batch(spark, tiny):
-    batch = views.det(spark, tiny).where("confidence >= 0.5").drop("value")
+    batch = fixtures.as_lanes(views.det(spark, tiny))
     expected = {(r.event_id, r.track_id, r.is_confirmed) for r in track.track_objects(batch).collect()}
     got = streams.stream_tracks(spark, tiny)
     assert {(r.event_id, r.track_id, r.is_confirmed) for r in got.collect()} == expected
     assert got.where("late").isEmpty()
 
 
+def test_stream_of_many_files_equals_one(spark, tiny, tmp_path):
+    """Files cut inside frames, one per batch: nothing is late, nullable numbers stay."""
+    rows = fixtures.as_lanes(views.det(spark, tiny)).withColumn(
+        "other", F.when(F.col("event_id") % 3 == 0, F.col("event_id") + F.lit(2**53 + 1))
+    )
+    rows = rows.unionByName(rows.limit(5).withColumn("frame_id", F.lit(None).cast("int")))
+    parts = rows.orderBy("frame_id", "event_id").collect()
+    for at in range(0, len(parts), 101):
+        spark.createDataFrame(parts[at : at + 101], rows.schema).coalesce(1).write.parquet(f"{tmp_path}/in/part={at:05d}")
+        for f in (tmp_path / "in" / f"part={at:05d}").glob("*.parquet"):
+            os.utime(f, (at + 1, at + 1))
+    stream = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(f"{tmp_path}/in/*")
+    out = str(tmp_path / "out")
+    state.track_objects(stream).writeStream.option("checkpointLocation", f"{tmp_path}/c").trigger(**ONCE).start(out).awaitTermination()
+    got, batch = spark.read.parquet(out), track.track_objects(rows)
+    assert got.where("late").isEmpty() and got.count() == len(parts)
+    assert sorted(got.drop("late").select(batch.columns).collect(), key=repr) == sorted(batch.collect(), key=repr)
+
+
 def test_stream_tracks_over_several_batches(spark, tmp_path, tiny):
     """State carries tracks across batches; a frame that comes too late is kept and marked."""
     source = tmp_path / "in"
