@@ -45,7 +45,7 @@ def detection_key(camera, frame, spark_suffix: bool = True) -> Column:
 
 def camera_in_range(camera="camera_id", cameras=CAMERA_IDS) -> Column:
     """True for a known camera number, false for any other and for NULL."""
-    return F.coalesce(_c(camera).between(min(cameras), max(cameras)), F.lit(False))
+    return F.coalesce(_c(camera).isin(*cameras), F.lit(False))
 
 
 def camera_from_file(path) -> Column:
@@ -85,7 +85,8 @@ def iso_text(ts) -> Column:
 
 def with_date_parts(df: DataFrame, ts: Column | str) -> DataFrame:
     """Adds year, month, day and hour of ``ts``; unreadable times give NULLs."""
-    t = parsed_time(ts)
+    typed = isinstance(ts, str) and isinstance(df.schema[ts].dataType, (T.TimestampType, T.TimestampNTZType))
+    t = F.col(ts) if typed else parsed_time(ts)
     return df.withColumns(
         {"year": F.year(t), "month": F.month(t), "day": F.dayofmonth(t), "hour": F.hour(t)}
     )

@@ -73,6 +73,32 @@ def detection_messages(frames: DataFrame, *, spark_suffix: bool = True, **option
     )
 
 
+#: Where messages of frames without a camera go; a writer to topics takes no row without one.
+UNKNOWN_TOPIC = "camera-unknown-detections"
+
+
+def answer_messages(answers: DataFrame, *, spark_suffix: bool = True, frame_metadata: str | None = None,
+                    unknown_topic: str = UNKNOWN_TOPIC) -> DataFrame:
+    """Topic, key and value of each detector answer, from the answer's own columns.
+
+    A failed frame keeps its error and has neither detection time nor
+    thresholds. ``frame_metadata`` names a struct column that is passed through
+    as ``original_frame_metadata``.
+    """
+    fields = [
+        *[F.col(c) for c in ("camera_id", "frame_id", "timestamp", "detection_timestamp", "total_detections", "detection_classes")],
+        F.from_json("class_counts", "map<string, int>").alias("class_counts"),
+        *[F.col(c) for c in ("confidence_threshold", "nms_threshold", "processing_engine", "error")],
+    ]
+    if frame_metadata is not None:
+        fields.append(F.col(frame_metadata).alias("original_frame_metadata"))
+    return answers.select(
+        F.coalesce(text.detection_topic("camera_id"), F.lit(unknown_topic)).alias("topic"),
+        text.detection_key("camera_id", "frame_id", spark_suffix).alias("key"),
+        F.to_json(F.struct(F.struct(*fields).alias("metadata"), "detections")).alias("value"),
+    )
+
+
 def frame_messages(frames: DataFrame, *, source: str | None = None) -> DataFrame:
     """Topic, key and value of each frame message.
 

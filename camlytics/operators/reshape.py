@@ -68,11 +68,21 @@ def explode_detections(frames: DataFrame, *, keep_empty: bool = False,
     )
 
 
-def flattened_rows(frames: DataFrame) -> DataFrame:
-    """The flattened detections table: exploded, with ingestion time and date parts."""
-    slim = frames.withColumnRenamed("total_detections", "total_detections_in_frame")
-    extra = [c for c in ("detection_classes", "class_counts", "nms_threshold", "error") if c in slim.columns]
-    rows = explode_detections(slim.drop(*extra))
+# The columns that a flattened detection has from its frame.
+FRAME_COLUMNS = (
+    "camera_id", "frame_id", "timestamp", "detection_timestamp", "total_detections_in_frame", "confidence_threshold",
+    "processing_engine",
+)
+
+
+def flattened_rows(frames: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
+    """The flattened detections table: one row per detection, ingestion time and date parts.
+
+    Columns are those of the table, and ``keep``; other columns of the answers
+    are left out.
+    """
+    renamed = frames.withColumnRenamed("total_detections", "total_detections_in_frame")
+    rows = explode_detections(renamed.select(*FRAME_COLUMNS, *keep, "detections"))
     return text.with_date_parts(
         rows.withColumn("ingestion_timestamp", F.current_timestamp()), "detection_timestamp"
     )

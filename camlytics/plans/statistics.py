@@ -59,7 +59,7 @@ def camera_class_counts(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def camera_class_pivot(spark: SparkSession, sf: str) -> DataFrame:
-    return stats.camera_class_counts(views.det(spark, sf), pivot=["person", "car", "bus"])
+    return stats.camera_class_counts(views.det(spark, sf), pivot=["person", "car", "bus", "motorcycle", "truck"])
 
 
 def frame_class_counts(spark: SparkSession, sf: str) -> DataFrame:
@@ -323,7 +323,8 @@ select class_name, count(*) as detections from det group by class_name order by
 select camera_id, class_name, count(*) as detections from det group by camera_id, class_name"""),
     "camera_class_pivot": sql(DET, body="""
 select camera_id, count(*) filter (where class_name = 'person') as person,
-  count(*) filter (where class_name = 'car') as car, count(*) filter (where class_name = 'bus') as bus
+  count(*) filter (where class_name = 'car') as car, count(*) filter (where class_name = 'bus') as bus,
+  count(*) filter (where class_name = 'motorcycle') as motorcycle, count(*) filter (where class_name = 'truck') as truck
 from det group by camera_id"""),
     "frame_class_counts": sql(DET, body="""
 select camera_id, frame_id, class_name, count(*) as n from det group by all"""),

@@ -96,7 +96,7 @@ def single_camera(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _datasets(spark: SparkSession, sf: str) -> str:
-    base = scratch_path(spark, "surveillance")
+    base = scratch_path(spark, "base")
     answers = _answers(views.frm(spark, sf))
     tables.write_partitioned(reshape.nested_rows(answers), f"{base}/detections")
     tables.write_partitioned(reshape.flattened_rows(answers), f"{base}/detections_flattened")

@@ -36,6 +36,7 @@ BBOX = "struct<x int, y int, width int, height int, center_x int, center_y int>"
 
 DETECTION = f"struct<class_id int, class_name string, confidence double, bbox {BBOX}>"
 
+# Fields of the frame messages, the detection messages and the tracks table.
 FRAME_METADATA = (
     "struct<camId int, frameId int, timestamp string, frame_shape array<int>, encoding string>"
 )
@@ -59,10 +60,7 @@ TRACKS = (
     "timestamp timestamp, created_at timestamp"
 )
 
-SCORING_REQUEST = (
-    "frame_data string, frame_id int, timestamp string, camera_id int, metadata map<string,string>"
-)
-
+# The answer of the scoring service.
 SCORING_RESULT = (
     "camera_id int, frame_id int, timestamp string, processing_time_ms double, "
     "detections_count int, tracks_count int, tracks array<struct<track_id int, "

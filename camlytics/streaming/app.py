@@ -29,6 +29,7 @@ class Config:
     threshold: float = 0.4
     path: str | None = None
     checkpoint: str | None = None
+    keep_frame: bool = False
 
     @classmethod
     def from_env(cls, env=os.environ) -> Config:
@@ -42,10 +43,19 @@ class Config:
 
 
 def answers(messages: DataFrame, factory: detect.ScorerFactory, threshold: float = 0.4,
-            keep_frame: bool = False) -> DataFrame:
-    """Frame messages (value, topic) to one detector answer per message."""
-    frames = parse.parse_frames(messages).select("camera_id", "frame_id", "timestamp", "frame_data")
-    return detect.detect(frames, factory, confidence_threshold=threshold, keep_frame=keep_frame)
+            keep_frame: bool = False, frame_metadata: bool = False) -> DataFrame:
+    """Frame messages (value, topic) to one detector answer per message.
+
+    ``keep_frame`` keeps the image text, ``frame_metadata`` the message's own
+    metadata as ``original_frame_metadata``.
+    """
+    parsed = parse.parse_frames(messages)
+    columns = ["camera_id", "frame_id", "timestamp", "frame_data"]
+    if frame_metadata:
+        own = F.struct(F.col("payload_camera_id").alias("camId"), F.col("frame_id").alias("frameId"), "timestamp", "frame_shape", "encoding")
+        parsed = parsed.withColumn("original_frame_metadata", own)
+        columns.append("original_frame_metadata")
+    return detect.detect(parsed.select(*columns), factory, confidence_threshold=threshold, keep_frame=keep_frame)
 
 
 def published_detections(messages: DataFrame) -> DataFrame:
@@ -63,7 +73,7 @@ def run(spark: SparkSession, factory: detect.ScorerFactory, mode: str, config: C
         **options) -> StreamingQuery:
     """Read the camera topics, detect, and write in the given output mode."""
     stream = topics.read_stream(spark, topics.frame_options(config.servers, config.topics))
-    rows = answers(stream, factory, config.threshold)
+    rows = answers(stream, factory, config.threshold, keep_frame=config.keep_frame, frame_metadata=mode == "kafka")
     if mode == "kafka":
         options = {"servers": config.servers, "checkpoint": config.checkpoint} | options
     elif mode != "console":

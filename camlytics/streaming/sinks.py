@@ -35,8 +35,14 @@ def to_console(answers: DataFrame, *, trigger: dict | None = None) -> StreamingQ
     return writer.option("truncate", False).option("numRows", 20).start()
 
 
+def topic_rows(answers: DataFrame) -> DataFrame:
+    """Topic, key and value of each answer, with the frame's own metadata where the answers carry it."""
+    carried = "original_frame_metadata" if "original_frame_metadata" in answers.columns else None
+    return messages.answer_messages(answers, frame_metadata=carried)
+
+
 def to_topics(answers: DataFrame, *, servers: str, checkpoint: str, trigger: dict | None = None) -> StreamingQuery:
-    writer = _writer(messages.detection_messages(answers), "kafka", checkpoint, trigger)
+    writer = _writer(topic_rows(answers), "kafka", checkpoint, trigger)
     return writer.option("kafka.bootstrap.servers", servers).start()
 
 
@@ -50,10 +56,10 @@ def to_nested_table(answers: DataFrame, *, path: str, checkpoint: str, trigger:
     return _writer(rows, "parquet", checkpoint, trigger).partitionBy(*PARTITIONS).option("path", path).start()
 
 
-def to_flattened_table(answers: DataFrame, *, path: str, checkpoint: str,
-                       trigger: dict | None = TABLE_TRIGGER) -> StreamingQuery:
+def to_flattened_table(answers: DataFrame, *, path: str, checkpoint: str, trigger: dict | None = TABLE_TRIGGER,
+                       keep: tuple[str, ...] = ()) -> StreamingQuery:
     """As the nested table, one row per detection, under its own path and checkpoint."""
-    rows = gathered(reshape.flattened_rows(answers))
+    rows = gathered(reshape.flattened_rows(answers, keep))
     writer = _writer(rows, "parquet", f"{checkpoint}_flattened", trigger)
     return writer.partitionBy(*PARTITIONS).option("path", f"{path}_flattened").start()
 

@@ -61,7 +61,7 @@ def test_shared_folder_follows_the_session(spark):
 
 
 def test_schemas_parse():
-    for ddl in (schemas.FRAME_ENVELOPE, schemas.DETECTION_ANSWER, schemas.TRACKS, schemas.SCORING_REQUEST,
+    for ddl in (schemas.FRAME_ENVELOPE, schemas.DETECTION_ANSWER, schemas.TRACKS,
                 schemas.SCORING_RESULT):
         assert schemas.struct_of(ddl).fields
 
@@ -143,7 +143,7 @@ def test_partition_pruning(spark, tmp_path):
 
 
 def test_catalog(spark, tmp_path, rows):
-    base = tmp_path / "surveillance"
+    base = tmp_path / "base"
     df = spark.range(3).coalesce(1)
     df.write.parquet(str(base / "detections/year=2025/camera_id=1"))
     df.write.parquet(str(base / "detections/year=2025/camera_id=2"))
@@ -211,6 +211,9 @@ def test_topic_rows_of_the_stream(spark, tiny):
 
     sent = messages.detection_messages(answers(spark, tiny))
     assert sent.isStreaming and sent.columns == ["topic", "key", "value"]
+    sent = sinks.topic_rows(answers(spark, tiny).withColumns({"nms_threshold": F.lit(0.4), "error": F.lit(None).cast("string"),
+                            "detection_classes": F.array(F.lit("x")), "class_counts": F.lit("{}")}))
+    assert sent.isStreaming and sent.columns == ["topic", "key", "value"]
 
 
 def test_stream_tracks_equal_batch(spark, tiny):
