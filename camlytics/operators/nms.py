@@ -16,12 +16,15 @@ from operator import and_
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from camlytics.functions.boxes import above, iou
+from camlytics import schemas
+from camlytics.functions.boxes import above, best_class, iou, round_confidence, size_box
 from camlytics.session import cut_lineage, scratch_path
 
 DENSE_LIMIT = 2000
 # Boxes of a dense frame decided per round.
 ROUND = 1000
+# Below this overlap boxes of very different sizes compete and a grid would reach too many cells.
+LOW_OVERLAP = 0.1
 
 
 def keep_best(boxes: Column, overlap: float = 0.4) -> Column:
@@ -40,13 +43,53 @@ def keep_best(boxes: Column, overlap: float = 0.4) -> Column:
     )
 
 
+def decode(outputs: Column, width: Column, height: Column, *, threshold: float = 0.4, overlap: float = 0.4,
+           inclusive: bool = False) -> Column:
+    """Raw rows of a network's output to the detection records of one frame.
+
+    ``outputs`` is an array of arrays: center, width and height as shares of
+    the image, objectness, then one score per class. A row's class is its first
+    highest score; rows past the threshold become whole-pixel boxes, which are
+    suppressed by score, ties in the order of the rows. Works inside any
+    projection, so on streams too. A NULL array gives no detections.
+    """
+    names = F.array(*[F.lit(n) for n in schemas.CLASS_NAMES])
+
+    def pixels(share: Column, size: Column) -> Column:
+        return (share * size).cast("int")
+
+    def record(row: Column, at: Column) -> Column:
+        scores = F.slice(row, 6, F.greatest(F.size(row) - 5, F.lit(0)))
+        kind = best_class(scores)
+        w, h = pixels(row[2], width), pixels(row[3], height)
+        score = F.array_max(scores)
+        key = F.when(score.isNull() | F.isnan(score), F.lit(float("inf"))).otherwise(-score)
+        return F.struct(
+            key.alias("_s"), at.alias("_t"), kind.alias("class_id"),
+            F.coalesce(F.get(names, kind), F.lit("unknown")).alias("class_name"), score.alias("confidence"),
+            (pixels(row[0], width) - w / 2).cast("int").alias("x"), (pixels(row[1], height) - h / 2).cast("int").alias("y"),
+            w.alias("w"), h.alias("h"),
+        )
+
+    found = F.transform(F.coalesce(outputs, F.array().cast("array<array<double>>")), record)
+    passed = F.filter(found, lambda r: above(r["confidence"], threshold, inclusive))
+    kept = keep_best(F.array_sort(passed), overlap)
+    return F.transform(kept, lambda r: F.struct(
+        r["class_id"].alias("class_id"), r["class_name"].alias("class_name"),
+        round_confidence(r["confidence"]).alias("confidence"), size_box(r["x"], r["y"], r["w"], r["h"]).alias("bbox"),
+    ))
+
+
 def suppress(detections: DataFrame, *, threshold: float = 0.4, overlap: float = 0.4,
              keys: tuple[str, ...] = ("camera_id", "frame_id"), tie: str = "event_id",
              box: tuple[str, str, str, str] = ("x", "y", "w", "h"), score: str = "confidence",
              inclusive: bool = False, dense_limit: int | None = DENSE_LIMIT) -> DataFrame:
     """Best boxes of each frame, regardless of class.
 
-    Boxes are taken by score, ties to the lower ``tie``. Columns other than the
+    Boxes are taken by score, NaN and NULL scores last, ties to the lower
+    ``tie``, which may be of any type that can be ordered. Below an ``overlap``
+    of LOW_OVERLAP kept boxes hardly touch, so a frame keeps few and needs no
+    grid. Columns other than the
     keys travel inside the frame's array, so there is one shuffle on the frame
     key. ``dense_limit=None`` skips the search for dense frames, for inputs whose
     detector bounds the boxes of a frame.
@@ -59,7 +102,7 @@ def suppress(detections: DataFrame, *, threshold: float = 0.4, overlap: float =
 
 
 def _suppress(rows: DataFrame, overlap, keys, tie, box, score, dense_limit) -> DataFrame:
-    if dense_limit is None:
+    if dense_limit is None or overlap < LOW_OVERLAP:
         return _by_array(rows, overlap, keys, tie, box, score)
     sizes = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
     dense = sizes.where(F.col("_n") > dense_limit).select(*keys)
@@ -73,11 +116,17 @@ def _suppress(rows: DataFrame, overlap, keys, tie, box, score, dense_limit) -> D
     return ordinary.unionByName(crowded)
 
 
+def _worst_last(score: str) -> Column:
+    """The score as a key that sorts the best first; what is no number comes last."""
+    s = F.col(score).cast("double")
+    return F.when(s.isNull() | F.isnan(s), F.lit(float("inf"))).otherwise(-s)
+
+
 def _by_array(rows: DataFrame, overlap: float, keys, tie, box, score) -> DataFrame:
     rest = [c for c in rows.columns if c not in keys]
     x, y, w, h = box
     entry = F.struct(
-        (-F.col(score)).alias("_s"),
+        _worst_last(score).alias("_s"),
         F.col(tie).alias("_t"),
         F.col(x).alias("x"),
         F.col(y).alias("y"),
@@ -126,15 +175,15 @@ def _reach(center: Column, size: Column, level: Column, base: float) -> Column:
 def _by_grid(rows: DataFrame, overlap: float, keys, tie, box, score, limit: int) -> DataFrame:
     if overlap >= 1:
         return rows
-    base = 1 / max(overlap, 1e-6)
+    base = 1 / overlap
     x, y, w, h = box
     # A box without area overlaps nothing.
     area = F.coalesce((F.col(w) > 0) & (F.col(h) > 0) & F.col(x).isNotNull() & F.col(y).isNotNull(), F.lit(False))
     flat, solid = rows.where(~area), rows.where(area)
     cells = [*keys, "_lx", "_ix", "_ly", "_iy"]
-    rank = F.struct(F.col(score).alias("s"), (-F.col(tie)).alias("t"))
+    rank = F.struct(_worst_last(score).alias("s"), F.col(tie).alias("t"))
     # Of equal boxes only the best can stay; this step is combined before its shuffle.
-    best = solid.groupBy(*keys, *box).agg(F.max(rank).alias("_rank"))
+    best = solid.groupBy(*keys, *box).agg(F.min(rank).alias("_rank"))
     left = best.select(
         *keys,
         *box,
@@ -156,11 +205,11 @@ def _by_grid(rows: DataFrame, overlap: float, keys, tie, box, score, limit: int)
         last = sizes.isEmpty()
         # The best boxes depend on no box after them, so the greedy rule can
         # finish them now. Spark keeps this many per task before the shuffle.
-        ranked = Window.partitionBy(*keys).orderBy(F.desc("_rank"))
+        ranked = Window.partitionBy(*keys).orderBy("_rank")
         top = left if last else left.withColumn("_n", F.row_number().over(ranked)).where(
             F.col("_n") <= min(ROUND, limit)
         )
-        named = top.select(*left.columns, F.col("_rank.s").alias("_score"), (-F.col("_rank.t")).alias(tie))
+        named = top.select(*left.columns, (-F.col("_rank.s")).alias("_score"), F.col("_rank.t").alias(tie))
         chosen = _by_array(named, overlap, keys, tie, box, "_score")
         where = f"{path}/round={number}"
         chosen.write.parquet(where)

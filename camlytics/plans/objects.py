@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from camlytics import fixtures
 from camlytics.fixtures import table
 from camlytics.operators import nms as suppression
-from camlytics.operators import similarity, stats, track
+from camlytics.operators import reshape, similarity, stats, track
 from camlytics.plans import views
 from camlytics.plans.views import DET, sql
 from camlytics.session import scratch_path
@@ -21,6 +21,22 @@ def nms(spark: SparkSession, sf: str) -> DataFrame:
     return suppression.suppress(views.det(spark, sf).drop("value"))
 
 
+def decode_outputs(spark: SparkSession, sf: str) -> DataFrame:
+    """Frames of raw network rows to suppressed detections, in one projection per frame."""
+    side = F.lit(1024.0)
+    scores = F.transform(
+        F.sequence(F.lit(0), F.lit(8)),
+        lambda i: F.when(i == F.col("class_id"), F.col("confidence")).otherwise(F.col("confidence") / 2),
+    )
+    box = [(F.col("x") + F.col("w") / 2) / side, (F.col("y") + F.col("h") / 2) / side, F.col("w") / side, F.col("h") / side]
+    row = F.concat(F.array(*box, F.lit(1.0)), scores)
+    frames = reshape.regroup_to_frames(views.det(spark, sf), order=["event_id"], record=row)
+    found = frames.select("camera_id", "frame_id", suppression.decode(F.col("detections"), F.lit(1024), F.lit(1024)).alias("detections"))
+    return reshape.explode_detections(found).select(
+        "camera_id", "frame_id", "class_id", "class_name", "confidence", "bbox_x", "bbox_y", "bbox_width", "bbox_height",
+    )
+
+
 def track_objects(spark: SparkSession, sf: str) -> DataFrame:
     """Objects in lanes that never meet, whose tracks SQL can tell too."""
     return track.track_objects(fixtures.as_lanes(views.det(spark, sf)))
@@ -82,7 +98,7 @@ def label_similarity(spark: SparkSession, sf: str) -> DataFrame:
 QUERIES = {
     f.__name__: f
     for f in (
-        nms, track_objects, confirmed_tracks, track_summary, track_counters, distinct_tracks, track_coverage,
+        nms, decode_outputs, track_objects, confirmed_tracks, track_summary, track_counters, distinct_tracks, track_coverage,
         track_lookup,
         similar_topk, label_similarity,
     )
@@ -99,10 +115,9 @@ means as (
 
 # Boxes of each frame, best first, taken one at a time.
 _NMS = """
-with recursive """ + DET + """,
 boxes as (
   select *, row_number() over (partition by camera_id, frame_id order by confidence desc, event_id) as rn
-  from det where confidence > 0.4
+  from shaped where confidence > 0.4
 ),
 walk as (
   select camera_id, frame_id, cast(0 as bigint) as rn,
@@ -123,16 +138,27 @@ walk as (
 ended as (
   select kept from walk qualify row_number() over (partition by camera_id, frame_id order by rn desc) = 1
 )
-select event_id, ts, camera_id, frame_id, class_id, class_name, confidence, x, y, w, h
-from det where event_id in (select o.event_id from (select unnest(kept) as o from ended))"""
+from shaped where event_id in (select o.event_id from (select unnest(kept) as o from ended))"""
 
 
 def tracks_sql(body: str) -> str:
     return "with recursive " + DET + "," + views.LANES + "\n" + body
 
 
+def nms_sql(columns: str, shaped: str = "select * from det") -> str:
+    walk, end = _NMS.rsplit("from shaped where event_id in", 1)
+    return f"with recursive {DET}, shaped as ({shaped}),{walk}select {columns} from shaped where event_id in{end}"
+
+
+# What whole pixels make of half ones: a center and a corner are both cut towards zero.
+_CUT = """select * replace (cast(trunc(trunc(x + w / 2.0) - w / 2.0) as int) as x, cast(trunc(trunc(y + h / 2.0) - h / 2.0) as int) as y)
+  from det"""
+
 ORACLE = {
-    "nms": _NMS,
+    "nms": nms_sql("event_id, ts, camera_id, frame_id, class_id, class_name, confidence, x, y, w, h"),
+    "decode_outputs": nms_sql(
+        "camera_id, frame_id, class_id, class_name, confidence, x as bbox_x, y as bbox_y, w as bbox_width, h as bbox_height", _CUT
+    ),
     "track_objects": tracks_sql("select * from tracked"),
     "confirmed_tracks": tracks_sql("select * from tracked where is_confirmed"),
     "track_summary": tracks_sql("""

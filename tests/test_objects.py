@@ -222,6 +222,22 @@ def test_summary(spark):
     assert (row.first_frame, row.last_frame, row.observations, row.confirmed, row.class_name) == (0, 4, 5, True, "car")
 
 
+@pytest.mark.parametrize("overlap", [0.0, 0.05, 0.3, 0.9, 1.0])
+def test_same_boxes_for_any_limit(spark, overlap):
+    """NaN scores, text as tie and any overlap give the same boxes in one array and on the grid."""
+    draw = np.random.default_rng(5)
+    rows = [
+        (1, 1, f"t{i:03d}", float("nan") if i % 17 == 0 else round(float(draw.uniform(0.3, 1)), 1),
+         int(draw.integers(0, 200)), int(draw.integers(0, 200)), int(draw.integers(0, 60)), int(draw.integers(1, 60)))
+        for i in range(150)
+    ]
+    df = spark.createDataFrame(rows, "camera_id int, frame_id int, tag string, confidence double, x int, y int, w int, h int")
+    kept = [
+        {r.tag for r in nms.suppress(df, overlap=overlap, tie="tag", dense_limit=limit).collect()} for limit in (None, 10, 2000)
+    ]
+    assert kept[0] == kept[1] == kept[2] and kept[0]
+
+
 # Similarity ----------------------------------------------------------------
 
 @pytest.mark.parametrize("probe_bytes", [1 << 20, 2000])
