@@ -237,9 +237,21 @@ def _limited(df, keys, order, n, newest, rows_per_block):
 
 
 def latest(df: DataFrame, keys: list[str], order: list[str], columns: list[str] | None = None) -> DataFrame:
-    """The newest row of each key, kept as a mergeable aggregate."""
+    """The newest row of each key.
+
+    The highest value of the first order column is found by a hash aggregate of
+    two numbers per key; only the rows that have it, mostly one per key, go
+    through the aggregate that carries whole rows. A key whose order column is
+    always NULL keeps its highest row by the other columns.
+    """
     columns = columns or [c for c in df.columns if c not in keys]
-    newest = F.max_by(F.struct(*columns), F.struct(*order) if len(order) > 1 else F.col(order[0]))
-    return df.groupBy(*keys).agg(newest.alias("_r")).select(
+    tops = df.groupBy(*keys).agg(F.max(order[0]).alias("_top")).select(
+        *[F.col(k).alias(f"_k_{k}") for k in keys], "_top"
+    )
+    match = F.col(order[0]).eqNullSafe(F.col("_top"))
+    for k in keys:
+        match = match & F.col(k).eqNullSafe(F.col(f"_k_{k}"))
+    newest = F.max_by(F.struct(*columns), F.struct(*order))
+    return df.join(tops, match, "left_semi").groupBy(*keys).agg(newest.alias("_r")).select(
         *keys, *[F.col("_r")[c].alias(c) for c in columns]
     )

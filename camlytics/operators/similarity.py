@@ -19,6 +19,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 PROBE_BYTES = 32 * 1024 * 1024
+# Scores that a task works on at a time, and bytes of stored vectors in a block.
+WORK = 1 << 20
+STORED_BYTES = 64 * 1024 * 1024
 DIGITS = 9
 
 
@@ -71,7 +74,8 @@ class _Keeper:
         self.similarity = np.empty((len(probes), 0))
         self.ids = np.empty((len(probes), 0), dtype=np.int64)
 
-    def add(self, ids: np.ndarray, vectors: np.ndarray, step: int = 2048) -> None:
+    def add(self, ids: np.ndarray, vectors: np.ndarray) -> None:
+        step = max(1, min(2048, WORK // max(1, len(self.probes))))
         for at in range(0, len(ids), step):
             scores = np.round(self.probes @ _unit(vectors[at : at + step]).T, DIGITS)
             best, who = _best(scores, ids[at : at + step], self.k)
@@ -87,12 +91,13 @@ class _Keeper:
 
 def top_k(probes: DataFrame, stored: DataFrame, k: int, *, probe_id: str = "probe_id",
           vec_id: str = "vec_id", vector: str = "embedding", min_similarity: float | None = None,
-          probe_bytes: int = PROBE_BYTES, stored_rows: int = 200_000) -> DataFrame:
+          probe_bytes: int = PROBE_BYTES, stored_bytes: int = STORED_BYTES) -> DataFrame:
     """The k most similar stored vectors of each probe, best first, ties to the lower id.
 
     Ids are whole numbers. Similarities are rounded to nine digits before they
     are ranked, so equal vectors tie in every plan. ``probe_bytes`` bounds what
-    is broadcast; ``stored_rows`` is the block size beyond it.
+    is broadcast, and a block of probes beyond it; ``stored_bytes`` bounds a
+    block of stored vectors.
     """
     probes = probes.select(F.col(probe_id).cast("bigint").alias("probe_id"), F.col(vector).alias("v"))
     stored = stored.select(F.col(vec_id).cast("bigint").alias("vec_id"), F.col(vector).alias("v"))
@@ -103,7 +108,7 @@ def top_k(probes: DataFrame, stored: DataFrame, k: int, *, probe_id: str = "prob
     if count * width * 8 <= probe_bytes:
         found = _against_broadcast(probes, stored, k, width)
     else:
-        found = _against_blocks(probes, stored, k, width, count, probe_bytes, stored_rows)
+        found = _against_blocks(probes, stored, k, width, count, probe_bytes, stored_bytes)
     if min_similarity is not None:
         found = found.where(F.col("similarity") >= min_similarity)
     return _ranked(found, k)
@@ -143,9 +148,9 @@ def _table_matrix(table: pa.Table, width: int) -> np.ndarray:
     return np.concatenate(parts) if parts else np.zeros((0, width))
 
 
-def _against_blocks(probes, stored, k, width, count, probe_bytes, stored_rows):
+def _against_blocks(probes, stored, k, width, count, probe_bytes, stored_bytes):
     probe_blocks = math.ceil(count * width * 8 / probe_bytes)
-    stored_blocks = max(1, math.ceil(stored.count() / stored_rows))
+    stored_blocks = max(1, math.ceil(stored.count() * width * 8 / stored_bytes))
 
     def block(column: str, blocks: int) -> Column:
         return F.pmod(F.xxhash64(column), F.lit(blocks)).cast("int")

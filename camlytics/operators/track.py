@@ -436,14 +436,19 @@ def track_summary(tracked: DataFrame, *, camera: str = "camera_id", frame: str =
                   class_name: str = "class_name", ts: str | None = None) -> DataFrame:
     """First and last frame, length and last seen class of each track; of several in its last frame the last by name."""
     times = [F.min(ts).alias("first_ts"), F.max(ts).alias("last_ts")] if ts else []
-    return tracked.where(F.col("track_id").isNotNull()).groupBy(camera, "track_id").agg(
+    rows = tracked.where(F.col("track_id").isNotNull())
+    totals = rows.groupBy(camera, "track_id").agg(
         F.min(frame).alias("first_frame"),
         F.max(frame).alias("last_frame"),
         F.count(F.lit(1)).alias("observations"),
         F.bool_or("is_confirmed").alias("confirmed"),
-        F.max_by(class_name, F.struct(frame, class_name)).alias("class_name"),
         *times,
     )
+    # Names are text, which no hash aggregate carries: only the last frames' rows go through one that does.
+    last = rows.select(camera, "track_id", F.col(frame).alias("last_frame"), class_name).join(
+        totals.select(camera, "track_id", "last_frame"), [camera, "track_id", "last_frame"], "left_semi"
+    ).groupBy(camera, "track_id").agg(F.max(class_name).alias("class_name"))
+    return totals.join(last, [camera, "track_id"])
 
 
 def as_tracks_table(tracked: DataFrame, c: Columns = Columns(), ts: str = "ts") -> DataFrame:

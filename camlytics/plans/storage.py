@@ -104,20 +104,29 @@ def _datasets(spark: SparkSession, sf: str) -> str:
 
 
 def dataset_stats(spark: SparkSession, sf: str) -> DataFrame:
-    return catalog.dataset_stats(spark, _datasets(spark, sf))
+    """Per dataset whether every partition has its files; how many and how large they are is Spark's choice."""
+    base = _datasets(spark, sf)
+    folders = catalog.dataset_listing(spark, base).where("partition <> ''").groupBy("dataset").agg(F.count(F.lit(1)).alias("partitions"))
+    return catalog.dataset_stats(spark, base).join(folders, "dataset").select(
+        "dataset", "partitions", (F.col("parquet_files") >= F.col("partitions")).alias("covered"), (F.col("bytes") > 0).alias("stored"),
+    )
 
 
 def dataset_listing(spark: SparkSession, sf: str) -> DataFrame:
-    return catalog.dataset_listing(spark, _datasets(spark, sf))
+    """The partition folders of each dataset, and whether they hold anything."""
+    found = catalog.dataset_listing(spark, _datasets(spark, sf)).where("partition <> ''")
+    return found.select("dataset", "partition", (F.col("files") > 0).alias("has_files"), (F.col("bytes") > 0).alias("has_bytes"))
 
 
 def dataset_partitions(spark: SparkSession, sf: str) -> DataFrame:
     """Which partitions each dataset has."""
-    return dataset_listing(spark, sf).where(F.col("files") > 0).select("dataset", "partition")
+    found = catalog.dataset_listing(spark, _datasets(spark, sf))
+    return found.where(F.col("files") > 0).select("dataset", "partition")
 
 
 def recent_files(spark: SparkSession, sf: str) -> DataFrame:
-    return catalog.recent_files(spark, f"{_datasets(spark, sf)}/")
+    """Where the last file by path lies."""
+    return catalog.recent_files(spark, f"{_datasets(spark, sf)}/", 1).select("dataset", "partition")
 
 
 QUERIES = {
@@ -133,6 +142,13 @@ dated as (select *, min(ts) over (partition by camera_id, frame_id) as t from de
 _DATE_PARTS = "cast(year(t) as int) as year, cast(month(t) as int) as month, cast(day(t) as int) as day"
 _COLUMNS = "event_id, ts, camera_id, frame_id, class_id, class_name, confidence, x, y, w, h"
 
+_FOLDERS = """
+folders as (
+  select distinct d.dataset, 'year=' || year(t) || '/month=' || month(t) || '/day=' || day(t) || '/camera_id=' || camera_id
+    as partition
+  from (select camera_id, min(ts) as t from det group by camera_id, frame_id),
+    (select unnest(['detections', 'detections_flattened']) as dataset) d)"""
+
 ORACLE = {
     "partitioned_roundtrip": sql(DET, _DATED, body=f"""
 select camera_id, frame_id, {FLAT_SQL}, {_DATE_PARTS} from dated"""),
@@ -152,9 +168,10 @@ select camera_id as metadata_camera_id, frame_id as metadata_frame_id, class_cou
 from classes_by_frame join (select camera_id, frame_id, count(*) as n from det group by all) using (camera_id, frame_id)"""),
     "topic_union": sql(DET, body=f"select {_COLUMNS}, 'camera-' || camera_id || '-frames' as topic from det"),
     "single_camera": sql(DET, body=f"select {_COLUMNS} from det where camera_id = 3"),
-    "dataset_partitions": sql(DET, body="""
-select distinct d.dataset, 'year=' || year(t) || '/month=' || month(t) || '/day=' || day(t) || '/camera_id=' || camera_id
-  as partition
-from (select camera_id, min(ts) as t from det group by camera_id, frame_id),
-  (select unnest(['detections', 'detections_flattened']) as dataset) d"""),
+    "dataset_partitions": sql(DET, _FOLDERS, body="select dataset, partition from folders"),
+    "dataset_listing": sql(DET, _FOLDERS, body="select *, true as has_files, true as has_bytes from folders"),
+    "dataset_stats": sql(DET, _FOLDERS, body="""
+select dataset, count(*) as partitions, true as covered, true as stored from folders group by dataset"""),
+    "recent_files": sql(DET, _FOLDERS, body="""
+select dataset, partition from folders order by dataset || '/' || partition || '/' desc limit 1"""),
 }

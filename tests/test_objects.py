@@ -252,7 +252,7 @@ def test_all_pairs_top_k_equals_brute_force(spark, probe_bytes):
     scores = np.round(unit @ unit.T, 9)
     expected = {(p, r + 1): int(v) for p in range(60)
                 for r, v in enumerate(sorted(range(60), key=lambda j: (-scores[p, j], j))[:4])}
-    got = similarity.top_k(df, df, 4, probe_id="vec_id", probe_bytes=probe_bytes, stored_rows=17)
+    got = similarity.top_k(df, df, 4, probe_id="vec_id", probe_bytes=probe_bytes, stored_bytes=17 * 8 * len(df.first()["embedding"]))
     assert {(r.probe_id, r["rank"]): r.vec_id for r in got.collect()} == expected
 
 

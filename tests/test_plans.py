@@ -79,3 +79,24 @@ def test_present_keys_are_distinct_before_the_join(spark, tiny):
 def test_one_json_parse_per_answer(spark, tiny):
     plan = plan_of(parsing.parse_detection_answer(spark, tiny))
     assert plan.count("from_json(StructField(metadata") <= 1
+
+
+def test_latest_rows_are_found_by_hash(spark, tiny):
+    """All rows go through hash aggregates; what sorts comes after the join with the winners."""
+    plan = plan_of(QUERIES["latest_per_camera"](spark, tiny))
+    assert "LeftSemi" in plan and "SortAggregate" not in plan[plan.index("LeftSemi"):]
+
+
+def test_similarity_work_is_bounded():
+    import tracemalloc
+
+    import numpy as np
+
+    from camlytics.operators import similarity
+
+    keeper = similarity._Keeper(np.random.default_rng(0).normal(size=(8192, 8)), 5)
+    tracemalloc.start()
+    keeper.add(np.arange(4096), np.random.default_rng(1).normal(size=(4096, 8)))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 128 << 20
