@@ -11,18 +11,12 @@ from __future__ import annotations
 import math
 from dataclasses import dataclass
 
-import numpy as np
-from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from camlytics.functions import text
+from camlytics.session import scratch_path
 
 ROWS_PER_BLOCK = 1_000_000
-CUTS = 512
-_SKETCHES, _SHARES = 64, 256
-_STRIDE = 1 << 32
 
 
 @dataclass
@@ -33,104 +27,23 @@ class Blocked:
     many: bool
 
 
-def _sort_number(df: DataFrame, column: str) -> Column:
-    """An order-preserving double for a numeric or time column."""
-    kind = df.schema[column].dataType
-    if isinstance(kind, T.TimestampNTZType | T.TimestampType):
-        return text.micros(df, column).cast("double")
-    if isinstance(kind, T.DateType):
-        return F.unix_date(F.col(column)).cast("double")
-    if isinstance(kind, T.NumericType):
-        return F.col(column).cast("double")
-    raise TypeError(f"{column}: order columns must be numbers or times, not {kind.simpleString()}")
-
-
 def in_blocks(df: DataFrame, order: list[str], rows_per_block: int = ROWS_PER_BLOCK) -> Blocked:
     """Cut ``df`` along ``order`` into blocks of about ``rows_per_block`` rows.
 
-    One aggregate finds the row count and up to ``CUTS`` quantiles of the first
-    order column; intervals between quantiles are cut further by value. When
-    single values hold more rows than an interval, their rows are cut along the
-    second order column. Only these bounded statistics reach the driver.
-    """
-    first = _sort_number(df, order[0])
-    rows, lowest, highest, cuts = _quantiles(df, first)
-    if rows <= rows_per_block or not cuts:
-        return Blocked(df.withColumn("_block", F.lit(0).cast("bigint")), False)
-
-    wanted = math.ceil(rows / rows_per_block)
-    if wanted < CUTS:
-        cuts = [cuts[int(i * CUTS / wanted) - 1] for i in range(1, wanted)]
-    fine = max(1, math.ceil(wanted / CUTS))
-    distinct = sorted(set(cuts))
-    splits = [-math.inf, *distinct, math.inf]
-    keyed = Bucketizer(
-        splits=splits, inputCol="_first", outputCol="_bucket", handleInvalid="keep"
-    ).transform(df.withColumn("_first", first))
-    # NULLs sort first and form the lowest block.
-    bucket = F.when(F.col("_first").isNull(), F.lit(-1)).otherwise(F.col("_bucket")).cast("bigint")
-
-    sub: Column = F.lit(0).cast("bigint")
-    if fine > 1:
-        edges = F.array(*[F.lit(float(c)) for c in (lowest, *distinct, highest)])
-        position = F.col("_bucket").cast("int")
-        low = F.try_element_at(edges, position + 1)
-        high = F.try_element_at(edges, position + 2)
-        share = F.try_divide(F.col("_first") - low, high - low)
-        sub = F.coalesce(F.floor(share * fine), F.lit(0)).cast("bigint") + fine
-    heavy = sorted({c for c in distinct if cuts.count(c) > 1})
-    if heavy and len(order) > 1:
-        second = _sort_number(df, order[1])
-        spans = (
-            df.select(first.alias("v"), second.alias("s"))
-            .where(F.col("v").isin(heavy))
-            .groupBy("v")
-            .agg(F.min("s"), F.max("s"), F.count(F.lit(1)))
-            .collect()
-        )
-        keyed = keyed.withColumn("_second", second)
-        for value, low, high, count in spans:
-            if low is None or high <= low:
-                continue
-            parts = max(1, math.ceil(count / rows_per_block))
-            share = (F.col("_second") - low) / (high - low)
-            inside = F.least(F.floor(share * parts), F.lit(parts - 1)).cast("bigint")
-            # Rows at the cut value come before the rest of their bucket.
-            inside = F.coalesce(inside, F.lit(-1).cast("bigint")) - F.lit(2 * parts)
-            sub = F.when(F.col("_first") == value, inside).otherwise(sub)
-    block = bucket * F.lit(_STRIDE) + sub
-    return Blocked(
-        keyed.withColumn("_block", block).drop("_first", "_bucket", "_second"), True
-    )
-
-
-def _quantiles(df: DataFrame, value: Column) -> tuple[int, float, float, list[float]]:
-    """Rows, lowest, highest and approximate quantiles.
-
-    Several sketches are built side by side, so that no single task has to merge
-    the sketches of all the others.
+    Spark deals the rows by ranges of all order columns, whatever their types,
+    so outliers and heavy values of the first column do not unbalance the
+    blocks. They are written once with their block's number: the ranges come
+    from a sample, and totals and rows must see the same ones.
     """
-    shares = [(i + 0.5) / _SHARES for i in range(_SHARES)]
-    sketches = (
-        df.select(value.alias("v"), (F.spark_partition_id() % _SKETCHES).alias("g"))
-        .groupBy("g")
-        .agg(
-            F.count(F.lit(1)), F.count("v"), F.min("v"), F.max("v"),
-            F.percentile_approx("v", shares, 4 * _SHARES),
-        )
-        .collect()
-    )
-    rows = sum(s[1] for s in sketches)
-    known = [s for s in sketches if s[2]]
-    if not known:
-        return rows, math.nan, math.nan, []
-    values = np.concatenate([np.asarray(s[5], dtype=float) for s in known])
-    weights = np.concatenate([np.full(_SHARES, s[2] / _SHARES) for s in known])
-    order = np.argsort(values, kind="stable")
-    upto = np.cumsum(weights[order])
-    at = np.searchsorted(upto, upto[-1] * np.arange(1, CUTS) / CUTS)
-    cuts = values[order][np.minimum(at, len(values) - 1)].tolist()
-    return rows, min(s[3] for s in known), max(s[4] for s in known), cuts
+    number = math.ceil(df.count() / rows_per_block)
+    if number <= 1:
+        return Blocked(df.withColumn("_block", F.lit(0)), False)
+    spark = df.sparkSession
+    ranges = [F.col(c).asc_nulls_first() for c in order]
+    path = scratch_path(spark, "blocks")
+    placed = df.repartitionByRange(number, *ranges).withColumn("_block", F.spark_partition_id())
+    placed.write.parquet(path)
+    return Blocked(spark.read.schema(placed.schema).parquet(path), True)
 
 
 def running_sums(df: DataFrame, keys: list[str], order: list[str], sums: dict[str, Column],
