@@ -83,14 +83,20 @@ def camera_class_counts(detections: DataFrame, *, pivot: list[str] | None = None
     return rows.groupBy("camera_id", "class_name").agg(F.count(F.lit(1)).alias("detections"))
 
 
-def last_seen(frames: DataFrame, detection_messages: DataFrame, ts: str = "ts") -> DataFrame:
+def last_seen(frames: DataFrame, detection_messages: DataFrame | None = None, ts: str = "ts",
+              has_message: Column | None = None) -> DataFrame:
     """Last frame time and last detection message time of each camera.
 
-    Any detection message moves the second, also one without detections.
+    Any detection message moves the second, also one without detections. Where
+    the frames themselves tell which have a message, ``has_message`` says so and
+    one pass over them does.
     """
-    both = frames.select("camera_id", F.col(ts).alias("f"), F.lit(None).alias("d")).unionByName(
-        detection_messages.select("camera_id", F.lit(None).alias("f"), F.col(ts).alias("d"))
-    )
+    if detection_messages is None:
+        both = frames.select("camera_id", F.col(ts).alias("f"), F.when(has_message, F.col(ts)).alias("d"))
+    else:
+        both = frames.select("camera_id", F.col(ts).alias("f"), F.lit(None).alias("d")).unionByName(
+            detection_messages.select("camera_id", F.lit(None).alias("f"), F.col(ts).alias("d"))
+        )
     return both.groupBy("camera_id").agg(
         F.max("f").alias("last_frame_time"), F.max("d").alias("last_detection_time")
     )
@@ -125,19 +131,21 @@ def alive(last: str, as_of: Column, seconds: int) -> Column:
     return F.when(recent, "active").otherwise("inactive")
 
 
-def camera_status(frames: DataFrame, detection_messages: DataFrame, as_of: Column, *,
+def camera_status(frames: DataFrame, detection_messages: DataFrame | None, as_of: Column, *,
                   cameras=CAMERA_IDS, frame_seconds: int = 10, detection_seconds: int = 30,
                   ts: str = "ts") -> DataFrame:
-    """Totals and liveness of every known camera at the time ``as_of``."""
-    totals = frames.groupBy("camera_id").agg(
-        F.count(F.lit(1)).alias("total_frames"), F.max(ts).alias("last_frame_time")
-    )
-    detected = detection_messages.groupBy("camera_id").agg(
-        _detections().alias("total_detections"), F.max(ts).alias("last_detection_time")
-    )
-    status = zero_filled(
-        totals.join(detected, "camera_id", "full"), cameras
-    )
+    """Totals and liveness of every known camera at the time ``as_of``.
+
+    Without ``detection_messages`` every frame is one: one pass counts both.
+    """
+    counted = [F.count(F.lit(1)).alias("total_frames"), F.max(ts).alias("last_frame_time")]
+    found = [_detections().alias("total_detections"), F.max(ts).alias("last_detection_time")]
+    if detection_messages is None:
+        totals = frames.groupBy("camera_id").agg(*counted, *found)
+    else:
+        detected = detection_messages.groupBy("camera_id").agg(*found)
+        totals = frames.groupBy("camera_id").agg(*counted).join(detected, "camera_id", "full")
+    status = zero_filled(totals, cameras)
     return status.select(
         "camera_id",
         "total_frames",

@@ -72,7 +72,7 @@ def detected_messages(spark: SparkSession, sf: str, threshold: float = 0.9) -> D
 
 
 def last_seen(spark: SparkSession, sf: str) -> DataFrame:
-    return stats.last_seen(views.frame_counts(spark, sf), detected_messages(spark, sf))
+    return stats.last_seen(views.seen_counts(spark, sf, 0.9), has_message=F.col("total_detections") > 0)
 
 
 def cameras_seen(spark: SparkSession, sf: str) -> DataFrame:
@@ -85,7 +85,7 @@ def camera_list(spark: SparkSession, sf: str) -> DataFrame:
 
 def camera_status(spark: SparkSession, sf: str) -> DataFrame:
     return stats.camera_status(
-        views.frame_counts(spark, sf), views.seen_counts(spark, sf), _as_of(), cameras=range(1, 9),
+        views.seen_counts(spark, sf), None, _as_of(), cameras=range(1, 9),
         frame_seconds=HOUR, detection_seconds=2 * HOUR,
     )
 
