@@ -7,9 +7,9 @@ their distance from its projections, which is the order of estimated success;
 how many it visits is fitted once on a bounded sample. Candidates of all
 tables are ranked by their exact cosine.
 
-Buckets are cut into blocks of about ``BLOCK`` rows, and so are the queries
-that visit one, so no bucket is too large for a task. A task returns only the
-best k of each query in its block.
+Rows lie in blocks of about ``BLOCK``: small buckets together, large ones cut
+into pieces, so no bucket is too large for a task. A task gets one block and a
+group of the queries that visit it, and returns only each query's best k.
 """
 
 from __future__ import annotations
@@ -26,7 +26,8 @@ from camlytics.llm.common import mix, stored
 TABLES = 2
 HASHES = 4
 WIDTH = 1.5
-BLOCK = 256
+#: Rows of a block, of a piece of a large bucket, queries of a group, and of a step inside a task.
+BLOCK, PIECE, ASKED, STEP = 2048, 512, 4096, 256
 #: Rows and queries of the sample that the number of visited cells is fitted on, and the share of neighbours wanted there.
 SAMPLE, SAMPLE_QUERIES, WANTED = 2000, 300, 0.96
 REACH = 3
@@ -142,54 +143,75 @@ def fitted_cells(rows: DataFrame, k: int, seed: int = 0) -> int:
 
 
 def _best(left: pa.Table, right: pa.Table, k: int) -> pa.Table:
-    """The k nearest rows of a block for each query of another, by exact cosine, ties to the smaller id."""
+    """The k nearest rows of a block, among those in the buckets it visits, for each query; ties to the smaller id."""
     out: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
     if left.num_rows and right.num_rows:
         dim = left.column("dim")[0].as_py()
         ids = left.column("vec_id").to_numpy()
-        asked = right.column("query_id").to_numpy()
-        stored_, queries = _matrix(left.column("vector"), dim), _matrix(right.column("vector"), dim)
-        norms, lengths = np.sqrt((stored_ * stored_).sum(1)), np.sqrt((queries * queries).sum(1))
-        rough = (queries @ stored_.T) / lengths[:, None] / norms
-        rough[asked[:, None] == ids[None]] = -np.inf
-        for i in range(len(asked)):
-            row = rough[i]
-            edge = np.partition(row, -k)[-k] if len(row) > k else -np.inf
-            # Everything level with the k-th, so that ties are settled by exact numbers.
-            near = np.flatnonzero((row >= edge - 1e-9) & (row > -np.inf))
-            score = (stored_[near] * queries[i]).sum(1) / (lengths[i] * norms[near])
-            order = np.lexsort((ids[near], -score))[:k]
-            out.append((np.full(len(order), asked[i]), ids[near][order], score[order]))
-    columns = [np.concatenate(c) if out else np.zeros(0) for c in (zip(*out) if out else ((), (), ()))]
+        buckets, bucket = np.unique(left.column("bucket").to_numpy(), return_inverse=True)
+        held = _matrix(left.column("vector"), dim)
+        norms = np.sqrt((held * held).sum(1))
+        for at in range(0, right.num_rows, STEP):
+            part = right.slice(at, STEP)
+            asked, queries = part.column("query_id").to_numpy(), _matrix(part.column("vector"), dim)
+            lengths = np.sqrt((queries * queries).sum(1))
+            rough = (queries @ held.T) / lengths[:, None] / norms
+            for i, visits in enumerate(part.column("visits")):
+                there = np.isin(buckets, visits.values.to_numpy())[bucket] & (ids != asked[i])
+                row = rough[i, there]
+                # Everything level with the k-th, so that ties are settled by exact numbers.
+                edge = np.partition(row, -k)[-k] if len(row) > k else -np.inf
+                near = np.flatnonzero(there)[row >= edge - 1e-9]
+                score = (held[near] * queries[i]).sum(1) / (lengths[i] * norms[near])
+                order = np.lexsort((ids[near], -score))[:k]
+                out.append((np.full(len(order), asked[i]), ids[near][order], score[order]))
+    columns = [np.concatenate(c) for c in zip(*out)] if out else [np.zeros(0)] * 3
     return pa.table({
         "query_id": pa.array(columns[0].astype(np.int64)), "vec_id": pa.array(columns[1].astype(np.int64)),
         "score": pa.array(columns[2].astype(np.float64)),
     })
 
 
-def _meet(index: DataFrame, probes: DataFrame, k: int) -> DataFrame:
-    """Rows and queries of the same (dim, slot, bucket), in blocks: each query's best k per block."""
+def _meet(index: DataFrame, queries: DataFrame, visits: DataFrame, k: int) -> DataFrame:
+    """Each query's best k per block of rows.
+
+    ``index`` has vec_id, vector, dim, slot, bucket; ``queries`` query_id,
+    vector, dim; ``visits`` query_id, dim, slot, bucket. Buckets, the large
+    ones in pieces, are put together to blocks of about BLOCK rows.
+    """
     key = ["dim", "slot", "bucket"]
-    rows = index.groupBy(*key).agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks"))
-    asks = probes.groupBy(*key).agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("ask_blocks"))
-    both = rows.join(asks, key)
-
-    def numbered(df: DataFrame, own: str, other: str, column: str) -> DataFrame:
-        """Each row lies in one block of its side and meets every block of the other side."""
-        mine, theirs = ("block", "ask_block") if own == "blocks" else ("ask_block", "block")
-        return df.join(both, key).select(
-            *[F.col(c).alias(c) for c in df.columns], F.pmod(F.xxhash64(F.lit(1), column), F.col(own)).cast("int").alias(mine),
-            F.explode(F.sequence(F.lit(0), F.col(other) - 1)).alias(theirs),
-        )
+    per_slot = Window.partitionBy("dim", "slot")
+    buckets = index.groupBy(*key).agg(F.count(F.lit(1)).alias("_n")).select(
+        *key, F.ceil(F.col("_n") / PIECE).cast("int").alias("pieces"),
+        F.ceil(F.sum("_n").over(per_slot) / BLOCK).cast("int").alias("blocks"),
+    )
+    asked = queries.groupBy("dim").agg(F.ceil(F.count(F.lit(1)) / ASKED).cast("int").alias("groups"))
+
+    def block(piece: Column) -> Column:
+        return F.pmod(F.xxhash64("bucket", piece), F.col("blocks")).cast("int").alias("block")
 
-    blocks = [*key, "block", "ask_block"]
-    left = numbered(index, "blocks", "ask_blocks", "vec_id").groupBy(*blocks)
-    right = numbered(probes, "ask_blocks", "blocks", "query_id").groupBy(*blocks)
+    def group(column: str) -> Column:
+        return F.pmod(F.xxhash64(F.lit(2), column), F.col("groups")).cast("int").alias("group")
+
+    own = F.pmod(F.xxhash64(F.lit(1), "vec_id"), F.col("pieces")).cast("int")
+    left = index.join(buckets, key).join(asked, "dim").select(
+        "dim", "slot", block(own), F.explode(F.sequence(F.lit(0), F.col("groups") - 1)).alias("group"),
+        "vec_id", F.col("vector").alias("vector"), "bucket",
+    )
+    met = visits.join(buckets, key).withColumn("piece", F.explode(F.sequence(F.lit(0), F.col("pieces") - 1)))
+    calls = met.select("query_id", "dim", "slot", "bucket", block(F.col("piece"))).groupBy("query_id", "dim", "slot", "block").agg(
+        F.collect_set("bucket").alias("visits")  # at most the cells that a query visits
+    )
+    vectors = queries.select(F.col("query_id").alias("query_id"), F.col("vector").alias("vector"))
+    right = calls.join(vectors, "query_id").join(asked, "dim").select(
+        F.col("dim").alias("dim"), "slot", "block", group("query_id"), "query_id", "vector", "visits"
+    )
+    where = ["dim", "slot", "block", "group"]
 
     def best(a: pa.Table, b: pa.Table) -> pa.Table:
         return _best(a, b, k)
 
-    return left.cogroup(right).applyInArrow(best, "query_id bigint, vec_id bigint, score double")
+    return left.groupBy(*where).cogroup(right.groupBy(*where)).applyInArrow(best, "query_id bigint, vec_id bigint, score double")
 
 
 def _ranked(found: DataFrame, k: int) -> DataFrame:
@@ -215,7 +237,7 @@ def search(vectors: DataFrame, is_query: Column, k: int = 5, cells: int | None =
         hashed = df.withColumn("_at", _buckets(F.col("vector"), number, seed))
         return hashed.select(*df.columns, F.inline("_at"))
 
-    found = stored(_meet(placed(rows, 1), placed(queries, cells), k), "nearest")
+    found = stored(_meet(placed(rows, 1), queries, placed(queries, cells).drop("vector"), k), "nearest")
     sizes = rows.groupBy("dim").agg((F.count(F.lit(1)) - 1).alias("others"))
     counted = found.groupBy("query_id").agg(F.count_distinct("vec_id").alias("n"))
     short = stored(
@@ -225,5 +247,5 @@ def search(vectors: DataFrame, is_query: Column, k: int = 5, cells: int | None =
     )
     if not short.isEmpty():
         alone = {"slot": F.lit(-1), "bucket": F.lit(0).cast("bigint")}
-        found = found.unionByName(_meet(rows.withColumns(alone), short.withColumns(alone), k))
+        found = found.unionByName(_meet(rows.withColumns(alone), short, short.drop("vector").withColumns(alone), k))
     return _ranked(found, k)
