@@ -14,7 +14,6 @@ from pyspark.sql import functions as F
 from camlytics.session import scratch_path
 
 WORD = r"[^\x20\x09-\x0D]+"
-UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -37,12 +36,25 @@ def packed(df: DataFrame) -> Column:
     return F.struct(*[df[f"`{c}`"].alias(c) for c in df.columns])
 
 
-def partitions(spark: SparkSession) -> int:
-    return int(spark.conf.get("spark.sql.shuffle.partitions"))
+def most_counted(counted: DataFrame, most: int, count: str = "n") -> DataFrame:
+    """The rows with the highest counts, at most ``most``.
+
+    A histogram over counts, 32 steps per doubling, gives the count to cut at;
+    no task and not the driver holds more than its few rows. Rows of the step
+    that would go beyond ``most`` are all left out.
+    """
+    step = F.floor(F.log2(count) * 32)
+    held, edge = 0, None
+    for row in sorted(counted.groupBy(step.alias("step")).count().collect(), key=lambda r: -r["step"]):
+        held += row["count"]
+        if held > most:
+            break
+        edge = row["step"]
+    return counted.where(step >= edge if edge is not None else F.lit(False))
 
 
-def lower_ascii(text: Column) -> Column:
-    return F.translate(text, UPPER, LOWER)
+def partitions(spark: SparkSession) -> int:
+    return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
 def id_remainder(doc_id: str | Column, by: int) -> Column:

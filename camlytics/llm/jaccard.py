@@ -11,12 +11,12 @@ takes one difference per rare token and, per partition, one less than its
 tokens; the prefix is extended until that is more than a quarter.
 
 Texts of one signature are first linked in a star around the smallest, which
-joins almost every group at a cost linear in its size. Only pairs of different
+joins almost every group at a cost linear in its size. Only members of different
 components that still share a signature are then compared, so a large group of
 near copies never becomes all its pairs. Every link is decided on the whole
 sets; a parity bitmap spares most of the failing comparisons.
 
-Equal texts (after lower-casing) are one node, named by a 64-bit hash.
+Equal texts are one node, named by a 64-bit hash.
 """
 
 from __future__ import annotations
@@ -28,17 +28,23 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from camlytics.llm.common import WORD, Words, lower_ascii, mix, packed, slices, stored, words_of
+from camlytics.llm.common import WORD, Words, mix, most_counted, packed, partitions, slices, stored, words_of
 from camlytics.llm.links import components
 
 SHINGLE = 5
-#: Words and tokens whose classes the executors get: at most so many.
-COMMON_WORDS = 8192
+#: A word is common from this share of all words on, so at most 100,000 words are; a token is heavy in more
+#: texts than HEAVY, and at most HEAVY_TOKENS are. The executors get both sets.
+COMMON_SHARE = 1e-5
 HEAVY, HEAVY_TOKENS = 32, 1 << 18
 #: Sets below SMALL are joined by plain prefixes, sets from LARGE on by classes; sizes between take part in both.
 LARGE, SMALL = 32, 43
 PARTITION_TOKENS = 8
+#: Bits of the smallest parity bitmap; larger sets get at least a bit per token.
 BITS = 1024
+#: Members of a signature that one task compares with each other, about.
+MEMBERS = 1024
+#: Pairs that a task holds before it hands them on, and the part of the signatures that the second step looks at.
+PAIRS, PART = 200_000, 4
 _SINGLE, _SHORT = np.uint64(0xA24BAED4963EE407), np.uint64(0x9FB21C651E98DF25)
 _FIRST, _SECOND = np.uint64(0xD6E8FEB86659FD93), np.uint64(0xC2B2AE3D27D4EB4F)
 _STEP = np.uint64(0x9E3779B97F4A7C15)
@@ -139,13 +145,27 @@ def _signed(values: np.ndarray) -> pa.Array:
     return pa.array(values.view(np.int64))
 
 
+def _parity(tokens: np.ndarray) -> np.ndarray:
+    """Bitmap of which token hashes, modulo its size, come an odd number of times."""
+    size = max(BITS, 1 << max(0, len(tokens) - 1).bit_length())
+    odd = np.bincount((tokens & np.uint64(size - 1)).astype(np.int64), minlength=size) & 1
+    return np.packbits(odd.astype(np.uint8), bitorder="little").view(np.int64)
+
+
+def _lists(arrays: list[np.ndarray]) -> pa.Array:
+    at = np.concatenate([[0], np.cumsum([len(a) for a in arrays])])
+    return pa.ListArray.from_arrays(pa.array(at, pa.int32()), pa.array(np.concatenate(arrays) if arrays else [], pa.int64()))
+
+
 def _surveyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Set sizes of the texts, and counts of the words of each batch."""
+    """Set sizes and bitmaps of the texts, and counts of the words of each batch."""
     for batch in batches:
-        ids, nodes, sizes, found = batch.column(0), batch.column(1), [], []
+        ids, nodes, sizes, bits, found = batch.column(0), batch.column(1), [], [], []
         for part in slices(batch.column(2)):
             words = words_of(part)
-            sizes += [len(t) for t, _ in _shingles(words)]
+            for tokens, _ in _shingles(words):
+                sizes.append(len(tokens))
+                bits.append(_parity(tokens))
             found.append(np.unique(words.hashes, return_counts=True))
         words, inverse = np.unique(np.concatenate([f[0] for f in found]) if found else np.zeros(0, np.uint64), return_inverse=True)
         counts = np.bincount(inverse, weights=np.concatenate([f[1] for f in found]) if found else None, minlength=len(words))
@@ -154,6 +174,7 @@ def _surveyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             "doc_id": pa.concat_arrays([ids, pa.nulls(w, ids.type)]), "node": pa.concat_arrays([nodes, pa.nulls(w, nodes.type)]),
             "n": pa.concat_arrays([pa.array(sizes, pa.int64()), pa.array(counts.astype(np.int64))]),
             "word": pa.concat_arrays([pa.nulls(d, pa.int64()), _signed(words)]),
+            "bits": pa.concat_arrays([_lists(bits), pa.nulls(w, pa.list_(pa.int64()))]),
         })
 
 
@@ -211,30 +232,13 @@ def _indexed(common, heavy):
     return emit
 
 
-_SET = "struct<n: int, bits: array<bigint>, tokens: array<bigint>>"
-
-
 def _whole_sets(texts: pa.Array) -> pa.Array:
-    """Size, parity bitmap and tokens of each text."""
-    sizes, bits, tokens = [], [], []
-    for part in slices(texts):
-        for t, _ in _shingles(words_of(part)):
-            parity = np.bincount((t & np.uint64(BITS - 1)).astype(np.int64), minlength=BITS) & 1
-            bits.append(np.packbits(parity.astype(np.uint8)).view(np.int64))
-            tokens.append(t.view(np.int64))
-            sizes.append(len(t))
-
-    def lists(arrays: list[np.ndarray]) -> pa.Array:
-        at = np.concatenate([[0], np.cumsum([len(a) for a in arrays])])
-        return pa.ListArray.from_arrays(pa.array(at, pa.int32()), pa.array(np.concatenate(arrays) if arrays else [], pa.int64()))
+    """The tokens of each text."""
+    return _lists([t.view(np.int64) for part in slices(texts) for t, _ in _shingles(words_of(part))])
 
-    return pa.StructArray.from_arrays([pa.array(sizes, pa.int32()), lists(bits), lists(tokens)], names=["n", "bits", "tokens"])
 
-
-def _top(counted: DataFrame, column: str, most: int) -> np.ndarray:
-    """The ``most`` values with the highest counts, ties to the smaller value."""
-    rows = counted.orderBy(F.desc("n"), column).limit(most).select(column).toPandas()
-    return rows[column].to_numpy(dtype=np.int64).view(np.uint64)
+def _hashes(rows: DataFrame, column: str) -> np.ndarray:
+    return rows.select(column).toPandas()[column].to_numpy(dtype=np.int64).view(np.uint64)
 
 
 def _fits(a: str, b: str) -> Column:
@@ -264,41 +268,180 @@ def _texts_of(base: DataFrame, wanted: DataFrame) -> DataFrame:
     return marked.select("node", "body").distinct().join(wanted, "node", "left_semi")
 
 
-def _near(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+def _distance(a: str, b: str) -> Column:
+    """Bits in which two bitmaps differ; one of twice the size is folded, which keeps parity."""
+
+    def folded(x: str, other: str) -> Column:
+        half = F.floor(F.size(x) / 2).cast("int")
+        down = F.zip_with(F.slice(x, 1, half), F.slice(x, half + 1, half), lambda p, q: p.bitwiseXOR(q))
+        return F.when(F.size(x) > F.size(other), down).otherwise(F.col(x))
+
+    apart = F.zip_with(folded(a, b), folded(b, a), lambda x, y: F.bit_count(x.bitwiseXOR(y)))
+    return F.aggregate(apart, F.lit(0), lambda s, x: s + x)
+
+
+def _near(pairs: DataFrame, profiles: DataFrame) -> DataFrame:
     """Pairs (a, b) that their sizes and bitmaps do not rule out, with the bitmaps' ``distance``."""
-    slim = sets.select("node", "n", "bits")
-    both = pairs.select("a", "b").join(slim.toDF("a", "na", "bits_a"), "a").join(slim.toDF("b", "nb", "bits_b"), "b")
-    apart = F.aggregate(F.zip_with("bits_a", "bits_b", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda s, x: s + x)
+    sized = pairs.select("a", "b").join(profiles.toDF("a", "na", "bits_a"), "a").join(profiles.toDF("b", "nb", "bits_b"), "b")
     total = F.col("na") + F.col("nb")
     most = total - 2 * F.ceil(3 * total / 7)
-    return both.withColumn("distance", apart).where(_fits("na", "nb") & (F.col("distance") <= most)).select("a", "b", "distance")
+    measured = sized.where(_fits("na", "nb")).withColumn("distance", _distance("bits_a", "bits_b"))
+    return measured.where(F.col("distance") <= most).select("a", "b", "distance")
+
+
+def _apart(pairs: DataFrame, roots: DataFrame) -> DataFrame:
+    """Pairs (a, b) of different components."""
+    both = pairs.join(roots.toDF("a", "ra"), "a", "left").join(roots.toDF("b", "rb"), "b", "left")
+    return both.where(F.coalesce("ra", "a") != F.coalesce("rb", "b")).select("a", "b")
+
+
+def _folded(bits: np.ndarray, width: int) -> np.ndarray:
+    while bits.shape[1] > width:
+        half = bits.shape[1] // 2
+        bits = bits[:, :half] ^ bits[:, half:]
+    return bits
+
+
+def _compared(block: pa.RecordBatch, every: bool) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs (outsider, member) of different roots that sizes and bitmaps allow: all, or each outsider's nearest."""
+    role, node, root = (block.column(c).to_numpy() for c in ("role", "node", "root"))
+    n = block.column("n").to_numpy().astype(np.int64)
+    out, member = np.flatnonzero(role == 1), np.flatnonzero(role == 0)
+    lists = block.column("bits")
+    words, at = lists.values.to_numpy(), lists.offsets.to_numpy()
+    width = np.diff(at)
+    lo, hi = [], []
+    for w in np.unique(width[out]):
+        mine = out[width[out] == w]
+        sets = []
+        for v in np.unique(width[member]):
+            if w // 2 <= v <= 2 * w:
+                theirs = member[width[member] == v]
+                sets.append((theirs, words[at[theirs][:, None] + np.arange(v)].view(np.uint64)))
+        for start in range(0, len(mine), 64):
+            part = mine[start : start + 64]
+            own = words[at[part][:, None] + np.arange(w)].view(np.uint64)
+            best, who = np.full(len(part), np.iinfo(np.int64).max), np.full(len(part), -1)
+            for theirs, bits in sets:
+                size = min(own.shape[1], bits.shape[1])
+                apart = np.bitwise_count(_folded(own, size)[:, None] ^ _folded(bits, size)[None]).sum(2, dtype=np.int64)
+                total = n[part][:, None] + n[theirs][None]
+                fits = 4 * np.minimum(n[part][:, None], n[theirs][None]) >= 3 * np.maximum(n[part][:, None], n[theirs][None])
+                fits &= (root[part][:, None] != root[theirs][None]) & (apart <= total - 2 * (-(-3 * total // 7)))
+                if every:
+                    i, j = np.nonzero(fits)
+                    lo.append(node[part[i]])
+                    hi.append(node[theirs[j]])
+                    continue
+                apart = np.where(fits, apart, np.iinfo(np.int64).max)
+                j = apart.argmin(axis=1)
+                closer = apart[np.arange(len(part)), j] < best
+                best, who = np.where(closer, apart[np.arange(len(part)), j], best), np.where(closer, theirs[j], who)
+            if not every:
+                found = who >= 0
+                lo.append(node[part[found]])
+                hi.append(node[who[found]])
+    if not lo:
+        return np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64)
+    a, b = np.concatenate(lo), np.concatenate(hi)
+    return np.minimum(a, b), np.maximum(a, b)
+
+
+def _scanned(every: bool):
+    """Compares the members of each block; the rows of a block follow each other. A task gives a pair once."""
+
+    def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: pa.RecordBatch | None = None
+        found = [np.zeros((0, 2), dtype=np.int64)]
+
+        def compare(rows: pa.RecordBatch, edges: np.ndarray) -> None:
+            found.extend(np.stack(_compared(rows.slice(lo, hi - lo), every), 1) for lo, hi in zip(edges, edges[1:]))
+            found[:] = [np.unique(np.concatenate(found), axis=0)]
+
+        def pairs() -> pa.RecordBatch:
+            out = pa.record_batch({"a": pa.array(found[0][:, 0]), "b": pa.array(found[0][:, 1])})
+            found[:] = [found[0][:0]]
+            return out
+
+        for batch in batches:
+            rows = batch if held is None else pa.concat_batches([held, batch])
+            keys = [rows.column(c).to_numpy() for c in ("sig", "outside", "inside")]
+            new = np.zeros(rows.num_rows, dtype=bool)
+            for k in keys:
+                new[1:] |= k[1:] != k[:-1]
+            edges = np.concatenate([[0], np.flatnonzero(new)])
+            compare(rows, edges)
+            held = rows.slice(int(edges[-1]))
+            if len(found[0]) > PAIRS:
+                yield pairs()
+        if held is not None:
+            compare(held, np.array([0, held.num_rows]))
+        yield pairs()
+
+    return emit
 
 
-def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+def _open(rows: DataFrame, roots: DataFrame, profiles: DataFrame, every: bool) -> DataFrame:
+    """Pairs (a, b) of different components that share a signature and may be similar.
+
+    Every such pair has a member outside the signature's largest component, so
+    only those meet the others: blocks of at most about MEMBERS outsiders with
+    blocks of members. No pair becomes a row before its bitmaps have been compared.
+    """
+    placed = rows.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    sizes = placed.groupBy("sig", "root").agg(F.count(F.lit(1)).alias("c"))
+    split = sizes.groupBy("sig").agg(
+        F.max_by("root", "c").alias("largest"), F.max("c").alias("top"), F.sum("c").alias("all"), F.count(F.lit(1)).alias("roots")
+    ).where("roots > 1").select(
+        "sig", "largest", F.ceil((F.col("all") - F.col("top")) / MEMBERS).cast("int").alias("outsides"),
+        F.ceil(F.col("all") / MEMBERS).cast("int").alias("insides"),
+    )
+    known = placed.join(split, "sig").join(profiles.select("node", "bits"), "node")
+
+    def part(seed: int, number: str) -> Column:
+        return F.pmod(F.xxhash64(F.lit(seed), "node"), F.col(number)).cast("int")
+
+    def each(number: str) -> Column:
+        return F.explode(F.sequence(F.lit(0), F.col(number) - 1))
+
+    columns = ("node", "root", "n", "bits")
+    outside = known.where("root <> largest").select(
+        "sig", part(1, "outsides").alias("outside"), each("insides").alias("inside"), F.lit(1).alias("role"), *columns
+    )
+    inside = known.select("sig", each("outsides").alias("outside"), part(2, "insides").alias("inside"), F.lit(0).alias("role"), *columns)
+    key = ["sig", "outside", "inside"]
+    dealt = outside.unionByName(inside).repartition(partitions(rows.sparkSession), *key).sortWithinPartitions(*key)
+    return dealt.mapInArrow(_scanned(every), "a long, b long")
+
+
+def _verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     """Pairs (a, b) of similarity 0.75 or more, decided on the whole sets."""
-    held = sets.select("node", "tokens")
+    wanted = stored(pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct(), "wanted")
+    bodies = _texts_of(texts, wanted).select("node", "body")
+    held = stored(bodies.select("node", F.arrow_udf(_whole_sets, "array<bigint>")("body").alias("tokens")), "sets")
     both = pairs.select("a", "b").join(held.toDF("a", "ta"), "a").join(held.toDF("b", "tb"), "b")
     same = F.size(F.array_intersect("ta", "tb"))
     union = F.size("ta") + F.size("tb") - same
     return both.where(100 * same >= 75 * union).select("a", "b")
 
 
-def _prepared(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
-    body = lower_ascii(F.col(text))
-    return docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.xxhash64(body).alias("node"), body.alias("body"))
-
-
 def link_table(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> tuple[DataFrame, DataFrame]:
     """(doc_id, node, n) per row, and (node, root) for the nodes that have links."""
     spark = docs.sparkSession
-    base = _prepared(docs, doc_id, text)
-    surveyed = stored(base.mapInArrow(_surveyed, "doc_id long, node long, n long, word long"), "survey")
-    common = spark.sparkContext.broadcast(
-        _Known(_top(surveyed.where("word is not null").groupBy("word").agg(F.sum("n").alias("n")), "word", COMMON_WORDS))
+    base = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.xxhash64(text).alias("node"), F.col(text).alias("body"))
+    surveyed = stored(base.mapInArrow(_surveyed, "doc_id long, node long, n long, word long, bits array<bigint>"), "survey")
+    profiles = stored(
+        surveyed.where("word is null and n > 0").select("node", F.col("n").cast("int").alias("n"), "bits").dropDuplicates(["node"]), "profiles"
     )
+    found_words = surveyed.where("word is not null")
+    total = found_words.agg(F.sum("n")).first()[0] or 0
+    counted_words = found_words.groupBy("word").agg(F.sum("n").alias("n"))
+    # At most 1 / COMMON_SHARE words can have that share.
+    common = spark.sparkContext.broadcast(_Known(_hashes(counted_words.where(F.col("n") >= COMMON_SHARE * total), "word")))
     texts = base.where(F.col("body").isNotNull()).select("node", "body")
     counted = texts.mapInArrow(_prefix_tokens(common), "token long").groupBy("token").agg(F.count(F.lit(1)).alias("n"))
-    heavy = spark.sparkContext.broadcast(_Known(_top(counted.where(F.col("n") > HEAVY), "token", HEAVY_TOKENS)))
+    often = stored(counted.where(F.col("n") > HEAVY), "often")
+    heavy = spark.sparkContext.broadcast(_Known(_hashes(most_counted(often, HEAVY_TOKENS), "token")))
     group = Window.partitionBy("sig", "salt")
     found = texts.mapInArrow(_indexed(common, heavy), "sig long, salt int, node long, n int")
     index = stored(
@@ -309,32 +452,23 @@ def link_table(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> t
     # Signatures of two tokens: a mergeable minimum over the salts, then a join.
     two = index.where("salt > 0").select("sig", "node", "n")
     hubs = two.groupBy("sig").agg(F.min("node").alias("hub"), F.max("node").alias("last")).where("hub <> last").drop("last")
-    shared = index.where("salt = 0").select("sig", "node", "n", "hub").unionByName(two.join(hubs, "sig"))
+    shared = stored(index.where("salt = 0").select("sig", "node", "n", "hub").unionByName(two.join(hubs, "sig")), "shared")
     stars = stored(shared.where("node <> hub").select(F.col("hub").alias("a"), F.col("node").alias("b")).distinct(), "stars")
-    wanted = stars.select(F.col("a").alias("node")).unionByName(stars.select(F.col("b").alias("node"))).distinct()
-    sets = stored(
-        _texts_of(texts, stored(wanted, "wanted")).select("node", F.col("body")).withColumn("_set", F.arrow_udf(_whole_sets, _SET)("body")).select("node", "_set.*"),
-        "sets",
-    )
-    # Each node with the hub that looks nearest; the rest is left to the second step.
-    likely = stored(_near(stars, sets).groupBy("b").agg(F.min(F.struct("distance", "a")).alias("_to")).select("_to.a", "b"), "likely")
-    first = stored(_verified(likely, sets), "first")
-    roots = components(first)
-    placed = shared.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node")).drop("hub")
-    placed = stored(placed, "placed")
-    sizes = placed.groupBy("sig", "root").agg(F.count(F.lit(1)).alias("c"))
-    split = sizes.groupBy("sig").agg(F.max(F.struct("c", "root"))["root"].alias("largest"), F.count(F.lit(1)).alias("roots")).where("roots > 1")
-    apart = placed.join(split.select("sig", "largest"), "sig")
-    # Every pair of two components has a member outside the signature's largest.
-    some = apart.where("root <> largest").select("sig", F.col("node").alias("a"), F.col("n").alias("na"), F.col("root").alias("ra"))
-    others = apart.select("sig", F.col("node").alias("b"), F.col("n").alias("nb"), F.col("root").alias("rb"), "largest")
-    open_ = (
-        some.join(others, "sig").where((F.col("ra") != F.col("rb")) & ((F.col("rb") == F.col("largest")) | (F.col("a") < F.col("b"))) & _fits("na", "nb"))
-        .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-    )
-    tried = likely.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    second = _verified(_near(open_.join(tried, ["a", "b"], "left_anti"), sets), sets)
-    return surveyed.where("word is null").select("doc_id", "node", "n"), components(first.unionByName(second))
+    # Links are sought in three steps, and each step leaves out what earlier ones have joined: of each node the
+    # hub that looks nearest; of each node outside a signature's largest component the nearest other member, in one
+    # of PART signatures, and the other hubs; at last, over all signatures, every pair of different components that
+    # sizes and bitmaps allow.
+    near = stored(_near(stars, profiles), "near")
+    likely = near.groupBy("b").agg(F.min_by("a", "distance").alias("a")).select("a", "b")
+    links = stored(_verified(stored(likely, "likely"), texts), "first")
+    rest = shared.where("node <> hub").select("sig", "node", "n")
+    roots = components(links)
+    hubs_left = _apart(near.select("a", "b"), roots)
+    nearest = _open(rest.where(F.pmod("sig", F.lit(PART)) == 0), roots, profiles, False).unionByName(hubs_left).distinct()
+    links = links.unionByName(stored(_verified(stored(nearest, "nearest"), texts), "second"))
+    roots = components(links)
+    links = links.unionByName(_verified(stored(_open(rest, roots, profiles, True).distinct(), "open"), texts))
+    return surveyed.where("word is null").select("doc_id", "node", "n"), components(links)
 
 
 def join(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -374,7 +508,7 @@ def representatives(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     )
     whole = docs.select(
         packed(docs).alias("row"), docs[doc_id].cast("long").alias("_id"),
-        F.xxhash64(lower_ascii(docs[text])).alias("_node"),
+        F.xxhash64(docs[text]).alias("_node"),
         F.coalesce(docs[text].rlike(WORD), F.lit(False)).alias("_words"),
     )
     same = whole.where("_words").join(kept.toDF("_kid", "_knode"), (F.col("_node") == F.col("_knode")) & F.col("_id").eqNullSafe(F.col("_kid")))

@@ -44,11 +44,12 @@ def near_copies(seed=0, groups=12):
     return texts
 
 
-@pytest.mark.parametrize("heavy, common", [(32, 8192), (2, 8192), (2, 50), (1, 0)])
+@pytest.mark.parametrize("heavy, common", [(32, 1e-5), (2, 1e-5), (2, 4e-3), (1, 1.0)])
 def test_near_copies_with_any_classes(spark, monkeypatch, heavy, common):
     monkeypatch.setattr(jaccard, "HEAVY", heavy)
-    monkeypatch.setattr(jaccard, "COMMON_WORDS", max(common, 1))
-    texts = near_copies(heavy + common)
+    monkeypatch.setattr(jaccard, "COMMON_SHARE", common)
+    monkeypatch.setattr(jaccard, "MEMBERS", 1024 if heavy == 32 else 8)
+    texts = near_copies(heavy)
     check(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(5))
 
 
