@@ -238,7 +238,7 @@ def _whole_sets(texts: pa.Array) -> pa.Array:
 
 
 def _hashes(rows: DataFrame, column: str) -> np.ndarray:
-    return rows.select(column).toPandas()[column].to_numpy(dtype=np.int64).view(np.uint64)
+    return rows.select(column).toArrow()[column].to_numpy().astype(np.int64).view(np.uint64)
 
 
 def _fits(a: str, b: str) -> Column:

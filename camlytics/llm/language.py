@@ -15,12 +15,12 @@ from collections.abc import Iterator
 from typing import NamedTuple
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from camlytics.llm.common import id_remainder, mix, packed
+from camlytics.llm.common import id_remainder, mix, packed, slices
 
 ORDER = 4
 PIECE = 500
@@ -261,26 +261,28 @@ def fit(docs: DataFrame, train: Column | None = None, pieces: int = TRAIN_PIECES
 
     sampled = labelled.mapInArrow(count, "lang string, gram long, n long, piece string")
     # Bounded by the sample: counts of about ``pieces`` pieces and the kept pieces of each language.
-    got = sampled.groupBy("lang", "gram", "piece").agg(F.sum("n").alias("n")).toPandas()
-    counted, kept = got[got["piece"].isna()], got[got["piece"].notna()].sort_values(["lang", "piece"])
-    languages = sorted(counted["lang"].unique().tolist())
+    got = sampled.groupBy("lang", "gram", "piece").agg(F.sum("n").alias("n")).toArrow()
+    counted, kept = got.filter(pc.is_null(got["piece"])), got.filter(pc.is_valid(got["piece"])).sort_by([("lang", "ascending"), ("piece", "ascending")])
+    languages = sorted(pc.unique(counted["lang"]).to_pylist())
     if not languages:
         return None
     counts = {}
-    for name, rows in counted.groupby("lang"):
-        order = np.argsort(rows["gram"].to_numpy().astype(np.uint64))
-        counts[name] = (rows["gram"].to_numpy().astype(np.uint64)[order], rows["n"].to_numpy().astype(np.int64)[order])
+    for name in languages:
+        rows = counted.filter(pc.equal(counted["lang"], name))
+        grams = rows["gram"].to_numpy().astype(np.int64).view(np.uint64)
+        order = np.argsort(grams)
+        counts[name] = (grams[order], rows["n"].to_numpy()[order])
     return _calibrated(Model(languages, *_kneser_ney(languages, counts), 1.0, np.zeros((len(languages), 2))), kept)
 
 
-def _calibrated(model: Model, kept: pd.DataFrame) -> Model:
-    kept = kept[kept["lang"].isin(model.languages)]
-    sums, lengths = _scores(model, kept["piece"].tolist())
+def _calibrated(model: Model, kept: pa.Table) -> Model:
+    kept = kept.filter(pc.is_in(kept["lang"], pa.array(model.languages)))
+    sums, lengths = _scores(model, kept["piece"].to_pylist())
     ok = lengths > 0
     if ok.sum() < 10:
         return model._replace(sharpness=10.0, limit=np.tile([np.inf, 0.0], (len(model.languages), 1)))
     entropy = -sums[ok] / lengths[ok][:, None]
-    truth = np.searchsorted(model.languages, kept["lang"].to_numpy()[ok])
+    truth = np.searchsorted(model.languages, np.array(kept["lang"].to_pylist(), dtype=str)[ok])
     grid = 2.0 ** np.arange(-1, 8)
     fitted = [np.log(np.maximum(_softmax(entropy, s)[np.arange(len(truth)), truth], 1e-9)).mean() for s in grid]
     limit = np.empty((len(model.languages), 2))
@@ -294,7 +296,9 @@ def _calibrated(model: Model, kept: pd.DataFrame) -> Model:
 
 
 def _predict(model: Model, texts: pa.Array) -> pa.StructArray:
-    sums, lengths = _scores(model, texts.to_pylist())
+    parts = [_scores(model, part.to_pylist()) for part in slices(texts)]
+    sums = np.concatenate([p[0] for p in parts] or [np.zeros((0, len(model.languages)))])
+    lengths = np.concatenate([p[1] for p in parts] or [np.zeros(0, dtype=np.int64)])
     known = lengths > 0
     entropy = -sums / np.maximum(lengths, 1)[:, None]
     best = entropy.argmin(axis=1)
