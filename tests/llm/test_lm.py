@@ -66,18 +66,19 @@ def _vocabulary(seed=0):
 def test_each_id_is_scored_once_with_the_ids_before_it():
     v, draw = _vocabulary(), np.random.default_rng(1)
     ids = draw.integers(0, 3000, 500)
-    first = np.array([0, 0, 1, 24, 25, 400, 500])
+    first = np.array([0, 0, 1, 16, 17, 400, 500])
     rows, held, number = attention.windows(ids, first, v.inputs)
     scored = held[:, attention.CONTEXT :].ravel()
-    assert scored[scored >= 0].tolist() == ids.tolist() and number.tolist() == [0, 1, 1, 1, 16, 5]
+    assert scored[scored >= 0].tolist() == ids.tolist() and number.tolist() == [-(-n // attention.SCORED) for n in np.diff(first).tolist()]
     p = attention.split(attention.start(v, 3))
-    base = attention.log_probability(p, v, rows[3:4], held[3:4])
+    at = int(number[:4].sum())
+    base = attention.log_probability(p, v, rows[at : at + 1], held[at : at + 1])
     # Later ids do not matter for an earlier one.
-    cut = held[3:4].copy()
+    cut = held[at : at + 1].copy()
     cut[:, attention.CONTEXT + 10 :] = -1
-    changed = rows[3:4].copy()
+    changed = rows[at : at + 1].copy()
     changed[:, attention.CONTEXT + 10 :] = 7
-    a = attention.log_probability(p, v, rows[3:4], cut)
+    a = attention.log_probability(p, v, rows[at : at + 1], cut)
     assert a == pytest.approx(attention.log_probability(p, v, changed, cut), abs=1e-5) and a[0] > base[0]
 
 
