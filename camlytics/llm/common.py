@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from contextlib import contextmanager
 from typing import NamedTuple
 
 import numpy as np
@@ -53,6 +54,18 @@ def most_counted(counted: DataFrame, most: int, count: str = "n") -> DataFrame:
     return counted.where(step >= edge if edge is not None else F.lit(False))
 
 
+@contextmanager
+def text_batches(spark: SparkSession, rows: int = 1000) -> Iterator[None]:
+    """Jobs inside hand texts to Python in batches of at most ``rows``; the session's own limit comes back afterwards."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    spark.conf.set(key, str(rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from camlytics.llm.common import WORD, Words, mix, most_counted, packed, partitions, slices, stored, words_of
+from camlytics.llm.common import WORD, Words, mix, most_counted, packed, partitions, slices, stored, text_batches, words_of
 from camlytics.llm.links import components
 
 SHINGLE = 5
@@ -45,6 +45,8 @@ BITS = 1024
 MEMBERS = 1024
 #: Pairs that a task holds before it hands them on, and the part of the signatures that the second step looks at.
 PAIRS, PART = 200_000, 4
+#: Distinct words that a task holds before it hands their counts on.
+WORDS = 500_000
 _SINGLE, _SHORT = np.uint64(0xA24BAED4963EE407), np.uint64(0x9FB21C651E98DF25)
 _FIRST, _SECOND = np.uint64(0xD6E8FEB86659FD93), np.uint64(0xC2B2AE3D27D4EB4F)
 _STEP = np.uint64(0x9E3779B97F4A7C15)
@@ -157,25 +159,36 @@ def _lists(arrays: list[np.ndarray]) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(at, pa.int32()), pa.array(np.concatenate(arrays) if arrays else [], pa.int64()))
 
 
+def _merged(found: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+    words, inverse = np.unique(np.concatenate([f[0] for f in found]), return_inverse=True)
+    return words, np.bincount(inverse, weights=np.concatenate([f[1] for f in found]), minlength=len(words)).astype(np.int64)
+
+
 def _surveyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Set sizes and bitmaps of the texts, and counts of the words of each batch."""
+    """Set sizes and bitmaps of the texts, and counts of the words of a task, at most about WORDS at a time."""
+    none = (np.zeros(0, dtype=np.uint64), np.zeros(0, dtype=np.int64))
+    found = [none]
+
+    def counted(words: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
+        empty, nothing = pa.nulls(len(words), pa.int64()), pa.nulls(len(words), pa.list_(pa.int64()))
+        return pa.record_batch({"doc_id": empty, "node": empty, "n": pa.array(n), "word": _signed(words), "bits": nothing})
+
     for batch in batches:
-        ids, nodes, sizes, bits, found = batch.column(0), batch.column(1), [], [], []
+        sizes, bits = [], []
         for part in slices(batch.column(2)):
             words = words_of(part)
             for tokens, _ in _shingles(words):
                 sizes.append(len(tokens))
                 bits.append(_parity(tokens))
-            found.append(np.unique(words.hashes, return_counts=True))
-        words, inverse = np.unique(np.concatenate([f[0] for f in found]) if found else np.zeros(0, np.uint64), return_inverse=True)
-        counts = np.bincount(inverse, weights=np.concatenate([f[1] for f in found]) if found else None, minlength=len(words))
-        d, w = len(sizes), len(words)
+            found = [_merged([*found, np.unique(words.hashes, return_counts=True)])]
+            if len(found[0][0]) > WORDS:
+                yield counted(*found[0])
+                found = [none]
         yield pa.record_batch({
-            "doc_id": pa.concat_arrays([ids, pa.nulls(w, ids.type)]), "node": pa.concat_arrays([nodes, pa.nulls(w, nodes.type)]),
-            "n": pa.concat_arrays([pa.array(sizes, pa.int64()), pa.array(counts.astype(np.int64))]),
-            "word": pa.concat_arrays([pa.nulls(d, pa.int64()), _signed(words)]),
-            "bits": pa.concat_arrays([_lists(bits), pa.nulls(w, pa.list_(pa.int64()))]),
+            "doc_id": batch.column(0), "node": batch.column(1), "n": pa.array(sizes, pa.int64()),
+            "word": pa.nulls(len(sizes), pa.int64()), "bits": _lists(bits),
         })
+    yield counted(*found[0])
 
 
 def _new_texts(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, Words]]:
@@ -426,7 +439,12 @@ def _verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
 
 
 def link_table(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> tuple[DataFrame, DataFrame]:
-    """(doc_id, node, n) per row, and (node, root) for the nodes that have links."""
+    """(doc_id, node, n) per row, and (node, root) for the nodes that have links; both are written tables."""
+    with text_batches(docs.sparkSession):
+        return _link_table(docs, doc_id, text)
+
+
+def _link_table(docs: DataFrame, doc_id: str, text: str) -> tuple[DataFrame, DataFrame]:
     spark = docs.sparkSession
     base = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.xxhash64(text).alias("node"), F.col(text).alias("body"))
     surveyed = stored(base.mapInArrow(_surveyed, "doc_id long, node long, n long, word long, bits array<bigint>"), "survey")
