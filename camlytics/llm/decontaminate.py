@@ -1,10 +1,11 @@
 """Benchmark items inside training texts, found also when edited.
 
-The n-grams of each item are counted over the whole corpus and its rarest half
-become seeds. A text that holds a seed is aligned with the item around it by
-Smith-Waterman over words; the score, as a share of a perfect copy's, says
-whether the item leaks. Rarity is relative to the item's own n-grams, so an
-item that very many documents hold keeps its seeds.
+Every n-gram of an item is a seed, however common it is. A text that holds a
+seed is aligned with the item around it by Smith-Waterman over words; the
+score, as a share of a perfect copy's, says whether the item leaks. Places
+whose words alone rule out that score are not aligned, which loses nothing. A
+copy is seen where one n-gram is left whole: four words in a row, two or three
+for items of 5 to 8 words, the whole of a shorter item.
 
 Items go to the executors in blocks of at most ``ITEM_BYTES`` of text; a larger
 benchmark takes one pass over the documents per block.
@@ -58,6 +59,11 @@ def _grams(words: np.ndarray, n: int) -> np.ndarray:
     return mix(out + np.uint64(n))
 
 
+def _gram(size: int) -> int:
+    """Length of the n-grams of an item; from 5 words on, one edited word leaves one whole."""
+    return size if size <= GRAM else min(GRAM, (size - 1) // 2)
+
+
 class Items(NamedTuple):
     ids: list
     words: list[np.ndarray]
@@ -67,13 +73,13 @@ class Items(NamedTuple):
     quick: np.ndarray  # by the top 16 bits: whether a gram may be there
 
 
-def _items(rows: list[tuple], seeds: np.ndarray | None = None) -> Items:
+def _items(rows: list[tuple]) -> Items:
     held = _words(pa.array([r[1] for r in rows], pa.string()))
     words = [held.hashes[a:b] for a, b in zip(held.first, held.first[1:])]
     spots: dict[int, list[tuple[int, int]]] = defaultdict(list)
     sizes = set()
     for i, w in enumerate(words):
-        n = min(GRAM, len(w))
+        n = _gram(len(w))
         if n:
             sizes.add(n)
             for at, g in enumerate(_grams(w, n).tolist()):
@@ -84,23 +90,6 @@ def _items(rows: list[tuple], seeds: np.ndarray | None = None) -> Items:
     return Items([r[0] for r in rows], words, tuple(sorted(sizes)), grams, [spots[g] for g in grams.tolist()], quick)
 
 
-def _seeds(items: Items, counts: dict[int, int]) -> Items:
-    """Keep the rarest half of each item's n-grams, ties to the earlier place."""
-    by_item: dict[int, list[tuple[int, int, int]]] = defaultdict(list)
-    for g, spots in enumerate(items.spots):
-        for item, at in spots:
-            by_item[item].append((counts.get(g, 0), at, g))
-    kept: dict[int, list[tuple[int, int]]] = defaultdict(list)
-    for item, found in by_item.items():
-        for _, at, g in sorted(found)[: math.ceil(len(found) / 2)]:
-            kept[g].append((item, at))
-    order = sorted(kept)
-    grams = items.grams[order]
-    quick = np.zeros(1 << 16, dtype=bool)
-    quick[(grams >> np.uint64(48)).astype(np.int64)] = True
-    return items._replace(grams=grams, spots=[kept[g] for g in order], quick=quick)
-
-
 def _hits(items: Items, words: Words) -> tuple[np.ndarray, np.ndarray]:
     """Places (word numbers in the batch) of the items' n-grams, and which n-gram; none spans two texts."""
     places, which = [], []
@@ -158,6 +147,13 @@ def _matches(items: Items, words: Words, threshold: float) -> dict[int, list[tup
             else:
                 merged.append((lo, hi))
         perfect = MATCH * len(items.words[item])
+        # No alignment matches more of the item's words than the window holds.
+        merged = [
+            (lo, hi) for lo, hi in merged
+            if MATCH * np.isin(items.words[item], words.hashes[lo:hi]).sum() >= threshold * perfect
+        ]
+        if not merged:
+            continue
         score, begin, end = max(
             ((s, -(lo + b), lo + e) for lo, hi in merged for s, b, e in [align(items.words[item], words.hashes[lo:hi])])
         )
@@ -172,21 +168,7 @@ def _blocks(benchmark: DataFrame, item_id: str, text: str) -> int:
     return max(1, math.ceil((held or 0) / ITEM_BYTES))
 
 
-def _counter(shared):
-    """Counts the items' n-grams in the texts of a task."""
-
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(len(shared.value.grams), dtype=np.int64)
-        for batch in batches:
-            for part in slices(batch.column(0)):
-                np.add.at(total, _hits(shared.value, _words(part))[1], 1)
-        at = np.flatnonzero(total)
-        yield pa.record_batch({"gram": pa.array(at.astype(np.int32)), "n": pa.array(total[at])})
-
-    return count
-
-
-def _matcher(seeds, kind: str, threshold: float):
+def _matcher(shared, kind: str, threshold: float):
     """Function from texts to the items in each."""
     names = ("item_id", "score", "begin", "end")
 
@@ -194,9 +176,9 @@ def _matcher(seeds, kind: str, threshold: float):
     def match(texts: pa.Array) -> pa.Array:
         out: list[list[dict]] = []
         for part in slices(texts):
-            got = _matches(seeds.value, _words(part), threshold)
+            got = _matches(shared.value, _words(part), threshold)
             out += [[dict(zip(names, m)) for m in sorted(got.get(i, ()))] for i in range(len(part))]
-        item = pa.array(seeds.value.ids[:1]).type
+        item = pa.array(shared.value.ids[:1]).type
         return pa.array(out, pa.list_(pa.struct(list(zip(names, (item, pa.float64(), pa.int32(), pa.int32()))))))
 
     return match
@@ -224,13 +206,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame, threshold: float = THRESHOLD, t
         items = _items(rows)
         if not len(items.grams):
             continue
-        shared = spark.sparkContext.broadcast(items)
-
-        # One row per n-gram of the block's items.
-        counted = docs.select(F.col(text)).mapInArrow(_counter(shared), "gram int, n long").groupBy("gram").agg(F.sum("n").alias("n"))
-        seeds = spark.sparkContext.broadcast(_seeds(items, {r["gram"]: r["n"] for r in counted.collect()}))
-
-        found.append(_matcher(seeds, kind, threshold)(F.col(text)))
+        found.append(_matcher(spark.sparkContext.broadcast(items), kind, threshold)(F.col(text)))
     return docs.select("*", (F.concat(*found) if found else F.array().cast(kind)).alias("_leaks"))
 
 

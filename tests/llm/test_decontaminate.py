@@ -83,6 +83,33 @@ def test_item_that_very_many_texts_hold(spark):
     assert found.count() == 300
 
 
+def test_edited_copies_are_found(spark):
+    draw = random.Random(3)
+    items = [(i, " ".join(f"i{i}n{j}" for j in range(size))) for i, size in enumerate([5, 6, 7, 8, 10, 30, 40, 40])]
+    docs, expected = [], set()
+
+    def plant(item, gone):
+        copy = [f"edit{len(docs)}n{j}" if j in gone else w for j, w in enumerate(items[item][1].split())]
+        expected.add((len(docs), item))
+        docs.append((len(docs), " ".join([f"a{draw.randrange(9999)}" for _ in range(20)] + copy + ["tail"] * 20)))
+
+    for item in range(5):  # each word of a short item in turn; hundreds of equal copies of one edit
+        for at in range(len(items[item][1].split())):
+            plant(item, {at})
+    for _ in range(300):
+        plant(4, {4})
+    plant(5, {4, 10, 16, 22})
+    for item in (6, 7):  # 15 to 30 % of the words, four in a row left
+        for _ in range(20):
+            for edits in (6, 9, 12):
+                keep = draw.randrange(37)
+                plant(item, set(draw.sample([j for j in range(40) if not keep <= j < keep + 4], edits)))
+    found = decontaminate.report(
+        spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
+    )
+    assert {(r.doc_id, r.item_id) for r in found.collect()} == expected and found.count() == len(expected)
+
+
 def test_odd_rows(spark):
     items = spark.createDataFrame(
         [(1, "the cat sat on the mat and looked"), (2, None), (None, "the cat sat on the mat"), (3, ""), (4, "one"), (4, "one"), (5, "x" * 50_000)],
