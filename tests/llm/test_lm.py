@@ -82,6 +82,26 @@ def test_each_id_is_scored_once_with_the_ids_before_it():
     assert a == pytest.approx(attention.log_probability(p, v, changed, cut), abs=1e-5) and a[0] > base[0]
 
 
+def test_the_first_scored_id_sees_eight_ids():
+    v = _vocabulary()
+    p = attention.split(attention.start(v, 5))
+    rows = np.random.default_rng(6).integers(0, attention.INPUTS, (1, attention.WINDOW)).astype(np.int32)
+    ids = np.full(rows.shape, -1)
+    ids[:, attention.CONTEXT] = 100
+    base = attention.log_probability(p, v, rows, ids)
+    for back in range(1, 9):
+        other = rows.copy()
+        other[:, attention.CONTEXT - back] = (other[:, attention.CONTEXT - back] + 1) % attention.INPUTS
+        assert attention.CONTEXT >= back and attention.log_probability(p, v, other, ids) != base
+    assert p["q"].shape[1] >= 16 and p["out"].shape[1] >= 64
+
+
+def test_training_with_the_fixed_values_lowers_the_loss(documents):
+    trained = [r.score for r in lm.score(documents, PATH).collect() if r.held_out]
+    fresh = [r.score for r in lm.score(documents, PATH, every=10**9).collect() if r.held_out]
+    assert sum(trained) > sum(fresh)
+
+
 def test_probabilities_of_a_place_sum_to_one():
     v = _vocabulary()
     p = attention.split(attention.start(v, 5))
