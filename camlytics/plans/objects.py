@@ -60,7 +60,10 @@ def distinct_tracks(spark: SparkSession, sf: str) -> DataFrame:
 
 def track_coverage(spark: SparkSession, sf: str) -> DataFrame:
     """Per camera: detections that have a track, frames, and whether track ids have no gap."""
-    rows = track_objects(spark, sf)
+    return _coverage(track_objects(spark, sf))
+
+
+def _coverage(rows: DataFrame) -> DataFrame:
     return rows.groupBy("camera_id").agg(
         F.count("track_id").alias("tracked"),
         F.countDistinct("frame_id").alias("frames"),
@@ -70,8 +73,12 @@ def track_coverage(spark: SparkSession, sf: str) -> DataFrame:
 
 def track_lookup(spark: SparkSession, sf: str) -> DataFrame:
     """Tracks written by date and camera, then those of one camera within five days."""
+    return _lookup(spark, track_objects(spark, sf))
+
+
+def _lookup(spark: SparkSession, rows: DataFrame) -> DataFrame:
     path = scratch_path(spark, "tracks")
-    tables.write_tracks(track.as_tracks_table(track_objects(spark, sf)), path)
+    tables.write_tracks(track.as_tracks_table(rows), path)
     found = tables.find_tracks(spark, path, camera=3, start="2024-01-10", end="2024-01-15")
     return found.select(
         "id", F.col("camera_id").cast("int").alias("camera_id"), "frame_id", "track_id", "class_id", "class_name",
@@ -80,6 +87,37 @@ def track_lookup(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+# The same on all detections with their own boxes, which compete for tracks; a plain loop in the tests tells the tracks.
+
+
+def track_objects_boxes(spark: SparkSession, sf: str) -> DataFrame:
+    return track.track_objects(views.det(spark, sf))
+
+
+def confirmed_tracks_boxes(spark: SparkSession, sf: str) -> DataFrame:
+    return track.confirmed_only(track_objects_boxes(spark, sf))
+
+
+def track_summary_boxes(spark: SparkSession, sf: str) -> DataFrame:
+    return track.track_summary(track_objects_boxes(spark, sf), ts="ts")
+
+
+def track_counters_boxes(spark: SparkSession, sf: str) -> DataFrame:
+    return stats.service_counters(stats.frame_service_counts(track_objects_boxes(spark, sf)))
+
+
+def distinct_tracks_boxes(spark: SparkSession, sf: str) -> DataFrame:
+    return stats.distinct_tracks(track_objects_boxes(spark, sf))
+
+
+def track_coverage_boxes(spark: SparkSession, sf: str) -> DataFrame:
+    return _coverage(track_objects_boxes(spark, sf))
+
+
+def track_lookup_boxes(spark: SparkSession, sf: str) -> DataFrame:
+    return _lookup(spark, track_objects_boxes(spark, sf))
+
+
 def similar_topk(spark: SparkSession, sf: str) -> DataFrame:
     """The stored vectors closest to each label's mean vector."""
     stored = table(spark, sf, "embeddings")
@@ -100,6 +138,8 @@ QUERIES = {
     for f in (
         nms, decode_outputs, track_objects, confirmed_tracks, track_summary, track_counters, distinct_tracks, track_coverage,
         track_lookup,
+        track_objects_boxes, confirmed_tracks_boxes, track_summary_boxes, track_counters_boxes, distinct_tracks_boxes,
+        track_coverage_boxes, track_lookup_boxes,
         similar_topk, label_similarity,
     )
 }

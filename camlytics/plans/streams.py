@@ -94,8 +94,16 @@ def stream_running_totals(spark: SparkSession, sf: str) -> DataFrame:
 
 def stream_tracks(spark: SparkSession, sf: str) -> DataFrame:
     """The tracker as a stream; a batch is bounded by the size of its files, and frames may go on in the next one."""
+    return _stream_tracks(spark, fixtures.as_lanes(_events(spark, sf, maxBytesPerTrigger=str(256 << 20))))
+
+
+def stream_tracks_boxes(spark: SparkSession, sf: str) -> DataFrame:
+    """``stream_tracks`` on all detections with their own boxes."""
+    return _stream_tracks(spark, _events(spark, sf, maxBytesPerTrigger=str(256 << 20)))
+
+
+def _stream_tracks(spark: SparkSession, rows: DataFrame) -> DataFrame:
     path, checkpoint = scratch_path(spark, "tracks"), scratch_path(spark, "checkpoint")
-    rows = fixtures.as_lanes(_events(spark, sf, maxBytesPerTrigger=str(256 << 20)))
     writer = state.track_objects(rows).writeStream.outputMode("append").format("parquet").option("path", path)
     _finish(writer.option("checkpointLocation", checkpoint).trigger(**ONCE).start())
     return spark.read.parquet(path)
@@ -200,7 +208,7 @@ job as (
 
 QUERIES = {
     f.__name__: f
-    for f in (stream_detect, stream_detect_nested, stream_publish, stream_read_back, stream_flatten, stream_json_files, stream_rates, stream_running_totals, stream_tracks)
+    for f in (stream_detect, stream_detect_nested, stream_publish, stream_read_back, stream_flatten, stream_json_files, stream_rates, stream_running_totals, stream_tracks, stream_tracks_boxes)
 }
 
 ORACLE = {
