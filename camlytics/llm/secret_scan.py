@@ -4,9 +4,10 @@ Everything is a Spark expression. Matches and the gaps between them, both from
 the same pattern, give the positions. A candidate run of key characters is
 judged by its class (hexadecimal, letters and digits, base 64): a window of
 ``WINDOW`` characters slides over it, one count goes up and one down at each
-step, and the sum of c * log2(c) follows from these two counts alone. A run
-whose best window reaches the class's threshold is reported unless the
-allow-list knows it.
+step, and the sum of c * log2(c) follows from these two counts alone. A run is
+reported whole where a window without any allowed text reaches the threshold of
+its class (``held``); ``_random`` is the narrower rule that dismisses runs with
+allowed text anywhere, and runs without a digit or without a letter.
 """
 
 from __future__ import annotations
@@ -27,6 +28,11 @@ RUN = r"[A-Za-z0-9+/_=-]{20,}"
 ALPHABET = "0123456789abcdefABCDEFghijklmnopqrstuvwxyzGHIJKLMNOPQRSTUVWXYZ+/_-="
 #: Class, what its runs consist of, bits per character that a window must reach.
 CLASSES = (("hexadecimal", r"^[0-9A-Fa-f]+$", 3.0), ("alphanumeric", r"^[0-9A-Za-z]+$", 3.6), ("base64", "", 3.7))
+#: The same for ``held``, narrowest first: words make runs of one case, paths and names runs without digits.
+PART_CLASSES = (
+    ("digits", r"^[0-9]+$", 3.2), ("hexadecimal", r"^[0-9A-Fa-f]+$", 3.0),
+    ("one case", r"^([a-z+/_=-]+|[A-Z+/_=-]+)$", 3.9), ("alphanumeric", r"^[0-9A-Za-z]+$", 3.6), ("base64", "", 3.7),
+)
 #: Runs that look random and are none: identifiers, placeholders, counting sequences.
 ALLOWED = (
     r"^[0-9A-Fa-f]{8}(-[0-9A-Fa-f]{4}){3}-[0-9A-Fa-f]{12}$",
@@ -106,11 +112,24 @@ def window_entropy(run: Column, window: int = WINDOW) -> Column:
     return F.when(F.length(run) >= window, best)
 
 
-def _random(run: Column) -> Column:
-    """Whether a candidate run is taken for a secret."""
-    threshold = F.lit(CLASSES[-1][2])
-    for _, pattern, bits in reversed(CLASSES[:-1]):
+def _threshold(run: Column, classes) -> Column:
+    threshold = F.lit(classes[-1][2])
+    for _, pattern, bits in reversed(classes[:-1]):
         threshold = F.when(run.rlike(pattern), bits).otherwise(threshold)
+    return threshold
+
+
+def held(run: Column) -> Column:
+    """Whether a candidate run holds a secret: some part between its allowed texts looks random."""
+    parts = F.split(run, "|".join(f"(?:{p})" for p in ALLOWED), -1)
+    return F.exists(parts, lambda part: F.when(
+        F.length(part) >= WINDOW, window_entropy(part) >= _threshold(part, PART_CLASSES)
+    ).otherwise(False))
+
+
+def _random(run: Column) -> Column:
+    """Whether a candidate run is taken for a secret, by the narrower rule."""
+    threshold = _threshold(run, CLASSES)
     known = F.lit(False)
     for pattern in ALLOWED:
         known = known | run.rlike(pattern)
@@ -125,11 +144,11 @@ def _listed(spans: Column) -> Column:
     )
 
 
-def find(docs: DataFrame, text: str = "text") -> DataFrame:
+def find(docs: DataFrame, text: str = "text", judge=_random) -> DataFrame:
     """Add arrays of spans ``_assign``, ``_access``, ``_hex`` and ``_entropy`` to the rows.
 
     Positions count code points, ends are exclusive. A null text is empty and
-    an empty text has no span.
+    an empty text has no span. ``judge`` says which candidate runs are secrets.
     """
     body = F.coalesce(F.col(text), F.lit(""))
     return docs.select(
@@ -137,17 +156,17 @@ def find(docs: DataFrame, text: str = "text") -> DataFrame:
         _spans(body, ASSIGN, 0, lambda m: F.length(F.regexp_extract(m, ASSIGN, 2)) >= 6).alias("_assign"),
         _spans(body, ACCESS, 1).alias("_access"),
         _spans(body, HEX, 2).alias("_hex"),
-        _spans(body, RUN, 3, _random).alias("_entropy"),
+        _spans(body, RUN, 3, judge).alias("_entropy"),
     )
 
 
-def scan(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+def scan(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", judge=_random) -> DataFrame:
     """doc_id, n_assign, n_access, n_hex, base_sha256, spans, n_entropy for each row.
 
     Spans of different kinds may overlap. Repeated rows and null ids are kept,
     other columns are not read, an empty table gives no rows.
     """
-    found = find(docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")))
+    found = find(docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")), judge=judge)
     base = F.concat("_assign", "_access", "_hex")
     return found.select(
         "doc_id",
