@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from camlytics.llm import chat, decontaminate, jaccard, language, lm, mixing, nearest, periodic, secret_scan, shard, token_file, tokens
+from camlytics.llm import chat, decontaminate, jaccard, language, lm, mixing, nearest, periodic, repair, secret_scan, shard, token_file, tokens
 from camlytics.llm.common import table
 
 TOKENIZER, SUBWORDS = "word_bpe_49k.json", "piece_bpe_32k.model"
@@ -56,6 +56,11 @@ def op10_language_id(spark: SparkSession, sf: str) -> DataFrame:
     return language.language_of(table(spark, sf, "documents"))
 
 
+def op11_conversation_repair(spark: SparkSession, sf: str) -> DataFrame:
+    conversations = table(spark, sf, "conversations")
+    return repair.audit(repair.damaged(conversations), among=conversations)
+
+
 def op12_token_file(spark: SparkSession, sf: str) -> DataFrame:
     import public_tokenizers
 
@@ -70,7 +75,7 @@ QUERIES = {
     f.__name__: f
     for f in (
         op1_decontamination, op2_sharding, op3_secret_scan, op4_lm_scoring, op5_token_counts, op6_mixing, op7_nearest, op8_chat,
-        op9_ngram_jaccard, op10_language_id, op12_token_file, op13_periodic_runs,
+        op9_ngram_jaccard, op10_language_id, op11_conversation_repair, op12_token_file, op13_periodic_runs,
     )
 }
 ORACLE: dict[str, str] = {"op6_mixing": mixing.ORACLE, "op8_chat": chat.ORACLE, "op9_ngram_jaccard": jaccard.ORACLE}
