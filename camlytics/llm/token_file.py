@@ -20,27 +20,26 @@ from __future__ import annotations
 
 import json
 import os
-import re
 import struct
+import sys
+import types
 import zlib
 from collections.abc import Iterator
-from itertools import chain
 from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from camlytics.llm.common import partitions, slices
+from camlytics.llm.common import SPACE, TO_LOWER, hash_spans, partitions, slices, text_bytes
 from camlytics.session import scratch_path
 
 END = 1
 BLOCK = 1 << 20
-#: A pair must occur, and be replaced, so often.
-LEAST = 4
+#: A pair must occur, and be replaced, so often; a rule takes the room of four symbols.
+LEAST = 8
 MAGIC = b"RPG1"
 _HEADER = "<4sIIII"
 
@@ -48,53 +47,101 @@ _HEADER = "<4sIIII"
 # --- ids of texts --------------------------------------------------------------
 
 BATCH_BYTES = 8 << 20
-KNOWN_PIECES, KNOWN_UNITS = 500_000, 1_000_000
+KNOWN = 2_000_000
 LINE = 512
 
 # Fixed value: how the published file word_bpe_49k.json cuts lower-cased text.
 SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
-#: Pieces of these characters, "<" left out as it may begin a special string, are cut here the same way.
-SIMPLE = re.compile("[\x21-\x3b\x3d-\x7eÀ-ÖØ-öø-ÿ]+")
-UNITS = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^a-z0-9ß-öø-ÿ\n]+|\n")
 
-_LOADED: dict[str, _Encoder] = {}
-
-
-class _Memory:
-    """Ids of strings met before, end to end."""
-
-    def __init__(self):
-        # A line break stands between strings and has no ids.
-        self.slots: dict[str, int] = {"\n": 0}
-        self.ids = np.zeros(0, dtype=np.uint32)
-        self.ends = np.zeros(2, dtype=np.int64)
-
-    def add(self, strings: list[str], ids: np.ndarray, counts: np.ndarray) -> None:
-        self.slots.update(zip(strings, range(len(self.slots), len(self.slots) + len(strings))))
-        self.ids = np.concatenate([self.ids, ids])
-        self.ends = np.concatenate([self.ends, self.ends[-1] + np.cumsum(counts)])
-
-    def find(self, strings: list[str]) -> np.ndarray:
-        return np.fromiter(map(self.slots.__getitem__, strings), dtype=np.int32, count=len(strings))
-
-    def gather(self, slots: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """The ids of these strings end to end, and how many each has."""
-        starts = self.ends[slots]
-        sizes = self.ends[slots + 1] - starts
-        upto = np.cumsum(sizes)
-        at = np.repeat(starts - upto + sizes, sizes)
-        at += np.arange(len(at))
-        return self.ids[at], sizes
+_LETTER, _DIGIT, _SIGN, _OTHER = range(1, 5)
+#: Kinds of bytes. Of letters beyond ASCII only the ones from U+00C0 to U+00FF are cut here; "<" may begin a special string.
+_KIND = np.full(256, _OTHER, dtype=np.uint8)
+_KIND[0x21:0x7F] = _SIGN
+_KIND[ord("0") : ord("9") + 1] = _DIGIT
+_KIND[ord("a") : ord("z") + 1] = _KIND[ord("A") : ord("Z") + 1] = _LETTER
+_KIND[ord("<")] = _OTHER
+_KIND[SPACE] = 0
+
+
+def _worker() -> dict:
+    """What a Python worker remembers from task to task: the package travels with each task, so its own globals do not last."""
+    module = sys.modules.setdefault("_worker_memory", types.ModuleType("_worker_memory"))
+    return module.__dict__.setdefault("encoders", {})
+
+
+def _prepared(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Bytes with lower-case letters, and the kind of each."""
+    lower, kind = TO_LOWER[data], _KIND[data]
+    lead = np.flatnonzero(data[:-1] == 0xC3)
+    second = data[lead + 1]
+    letter = (second != 0x97) & (second != 0xB7)
+    lead, second = lead[letter], second[letter]
+    kind[lead] = kind[lead + 1] = _LETTER
+    upper = second <= 0x9E
+    lower[lead[upper] + 1] += 0x20
+    return lower, kind
+
+
+def _pieces_of(kind: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where the runs without white space start and end; ``at`` are the ends of texts."""
+    inside = kind != 0
+    begins, stops = inside.copy(), inside.copy()
+    begins[1:] &= ~inside[:-1]
+    stops[:-1] &= ~inside[1:]
+    starts, ends = at[:-1][np.diff(at) > 0], at[1:][np.diff(at) > 0] - 1
+    begins[starts] = inside[starts]
+    stops[ends] = inside[ends]
+    return np.flatnonzero(begins), np.flatnonzero(stops) + 1
+
+
+def _units(data: np.ndarray, at: np.ndarray, alike: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Bytes, where the units in them start and end, and which of them are one word to the library.
+
+    A unit is a run of letters, a digit, a run of signs or one of the endings
+    that ``SPLIT`` names; a piece with any other character is one unit, as is
+    every piece where the file does not cut ``alike``.
+    """
+    lower, kind = _prepared(data)
+    begins, stops = _pieces_of(kind, at)
+    if not len(begins):
+        return data, begins, stops, np.zeros(0, dtype=bool)
+    whole = np.unique(np.searchsorted(begins, np.flatnonzero(kind == _OTHER), side="right") - 1) if alike else np.arange(len(begins))
+    raw = np.zeros(len(data), dtype=bool)
+    sizes = stops[whole] - begins[whole]
+    raw[np.repeat(begins[whole] - np.cumsum(sizes) + sizes, sizes) + np.arange(sizes.sum())] = True
+    first = (kind != 0) & ~raw
+    first[1:] &= (kind[1:] != kind[:-1]) | (kind[1:] == _DIGIT)
+    first[begins] = True
+    starts = np.flatnonzero(first)
+    ends = np.minimum(np.append(starts[1:], len(data)), stops[np.searchsorted(begins, starts, side="right") - 1])
+    # A lone apostrophe takes the ending that follows it.
+    mark = np.flatnonzero((data[starts] == ord("'")) & (ends - starts == 1) & ~raw[starts])
+    mark = mark[mark + 1 < len(starts)]
+    mark = mark[(starts[mark + 1] == ends[mark]) & (kind[ends[mark]] == _LETTER)]
+    opens = np.zeros(len(data) + 1, dtype=bool)
+    opens[begins] = True
+    mark = mark[~opens[ends[mark]]]
+    one = lower[ends[mark]]
+    two = np.where(ends[mark + 1] - starts[mark + 1] > 1, lower[np.minimum(ends[mark] + 1, len(data) - 1)], 0)
+    pair = ((one == ord("r")) | (one == ord("v"))) & (two == ord("e")) | (one == ord("l")) & (two == ord("l"))
+    single = (one == ord("s")) | (one == ord("t")) | (one == ord("m")) | (one == ord("d"))
+    taken = np.where(single, 1, np.where(pair, 2, 0))
+    ends[mark] += taken
+    starts[mark + 1] += taken
+    left = starts < ends
+    starts = starts[left]
+    return np.where(raw, data, lower), starts, ends[left], ~raw[starts]
 
 
 class _Encoder:
-    """Ids of pieces between white space, remembered by one Python worker.
+    """Ids of units of text, remembered by one Python worker under 64-bit hashes.
 
     No token of this kind of tokenizer, no normalisation and no special string
-    reaches across white space. Where the file cuts as ``SPLIT`` says, simple
-    pieces are cut further here, into words, digits and signs, of which there
-    are far fewer. What is new goes through the library many strings at a time,
-    parted by a special string, at which it cuts texts before all else; pieces
+    reaches across white space. Where the file cuts as ``SPLIT`` says, most
+    pieces are cut further here, into units, of which there are far fewer. What
+    is new goes through the library many units at a time: single words parted
+    by spaces, since the last id of a word tells that it is the last, others by
+    a special string, at which the library cuts texts before all else; units
     that hold a special string themselves go one by one.
     """
 
@@ -112,62 +159,88 @@ class _Encoder:
         said = json.loads(self.library.to_str())
         steps = (said["pre_tokenizer"] or {}).get("pretokenizers", [{}])
         lowers = {"type": "Lowercase"} in (said["normalizer"] or {}).get("normalizers", [])
-        self.units_alike = lowers and steps[0].get("pattern") == {"Regex": SPLIT} and self.cut is not None
-        self.pieces, self.units = _Memory(), _Memory()
-
-    def _encoded(self, strings: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of the strings end to end, and how many each has."""
-        if not strings:
-            return np.zeros(0, dtype=np.uint32), np.zeros(0, dtype=np.int64)
-        if self.cut is None or any(s in strings[0] for s in self.strings):
-            lines, mark = strings, None
-        else:
-            mark, between = self.cut
-            lines = [between.join(strings[at : at + LINE]) for at in range(0, len(strings), LINE)]
-        found = [np.array(e.ids, dtype=np.uint32) for e in self.library.encode_batch_fast(lines, add_special_tokens=False)]
-        if mark is None:
-            return np.concatenate([np.zeros(0, np.uint32), *found]), np.array([len(ids) for ids in found], dtype=np.int64)
+        suffix = said["model"].get("end_of_word_suffix")
+        self.alike = lowers and steps[0].get("pattern") == {"Regex": SPLIT} and bool(suffix)
+        vocabulary = self.library.get_vocab(with_added_tokens=False)
+        self.ends_word = np.zeros(max(vocabulary.values(), default=0) + 1, dtype=bool)
+        self.ends_word[[i for t, i in vocabulary.items() if suffix and t.endswith(suffix)]] = True
+        self.forget()
+
+    def forget(self) -> None:
+        self.hashes = np.zeros(0, dtype=np.uint64)  # sorted, with the slot of each
+        self.slots = np.zeros(0, dtype=np.int64)
+        self.ids = np.zeros(0, dtype=np.uint32)
+        self.ends = np.zeros(1, dtype=np.int64)
+
+    def _through(self, lines: list[str]) -> list[np.ndarray]:
+        return [np.array(e.ids, dtype=np.uint32) for e in self.library.encode_batch_fast(lines, add_special_tokens=False)]
+
+    def _lines(self, strings: list[str], between: str) -> list[np.ndarray]:
+        return self._through([between.join(strings[at : at + LINE]) for at in range(0, len(strings), LINE)])
+
+    def _encoded(self, strings: list[str], kind: str) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of the strings end to end, and how many each has: strings of one word, of several, or with special strings."""
+        if kind == "word":
+            ids = np.concatenate(self._lines(strings, " "))
+            return ids, np.diff(np.flatnonzero(self.ends_word[ids]), prepend=-1)
+        if kind == "special" or self.cut is None:
+            found = self._through(strings)
+            return np.concatenate(found), np.array([len(ids) for ids in found], dtype=np.int64)
+        mark, between = self.cut
+        found = self._lines(strings, between)
         counts = [np.diff(np.concatenate([[-1], np.flatnonzero(ids == mark), [len(ids)]])) - 1 for ids in found]
         ids = np.concatenate(found)
         return ids[ids != mark], np.concatenate(counts)
 
-    def learn(self, strings: list[str]) -> None:
-        """Remember these strings, each of them named once."""
-        if len(self.pieces.slots) > KNOWN_PIECES:
-            self.pieces = _Memory()
-        if len(self.units.slots) > KNOWN_UNITS:
-            self.units = _Memory()
-        slots = self.pieces.slots
-        new = [s for s in strings if s not in slots]
-        simple = [s for s in new if SIMPLE.fullmatch(s)] if self.units_alike else []
-        if simple:
-            units = UNITS.findall("\n".join(simple).lower())
-            unknown = [u for u in dict.fromkeys(units) if u not in self.units.slots and u != "\n"]
-            self.units.add(unknown, *self._encoded(unknown))
-            # The break between two strings counts as a unit without ids.
-            ids, sizes = self.units.gather(self.units.find(units))
-            ends = np.cumsum(sizes)[np.flatnonzero(np.array(units, dtype=object) == "\n")]
-            self.pieces.add(simple, ids, np.diff(np.append(ends, len(ids)), prepend=0))
-        rest = [s for s in new if s not in slots]
-        special = [s for s in rest if any(t in s for t in self.strings)]
-        plain = [s for s in rest if s not in set(special)]
-        for some in (special, plain):
-            if some:
-                self.pieces.add(some, *self._encoded(some))
+    def _learn(self, hashes: np.ndarray, strings: list[str], word: np.ndarray) -> None:
+        """Remember new units; their hashes are sorted."""
+        special = np.array(["<" in s and any(t in s for t in self.strings) for s in strings], dtype=bool)
+        slots = np.empty(len(strings), dtype=np.int64)
+        for kind, some in (("word", word), ("special", special), ("several", ~word & ~special)):
+            some = np.flatnonzero(some)
+            if len(some):
+                ids, counts = self._encoded([strings[k] for k in some], kind)
+                slots[some] = len(self.ends) - 1 + np.arange(len(some))
+                self.ids = np.concatenate([self.ids, ids])
+                self.ends = np.concatenate([self.ends, self.ends[-1] + np.cumsum(counts)])
+        at = np.searchsorted(self.hashes, hashes)
+        self.hashes, self.slots = np.insert(self.hashes, at, hashes), np.insert(self.slots, at, slots)
+
+    def encode(self, data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of the texts that end at ``at``, end to end, and where each text's ids end."""
+        if len(self.hashes) > KNOWN:
+            self.forget()
+        text, starts, ends, word = _units(data, at, self.alike)
+        hashes, first, inverse = np.unique(hash_spans(text, starts, ends), return_index=True, return_inverse=True)
+        place = np.searchsorted(self.hashes, hashes)
+        new = np.ones(len(hashes), dtype=bool)
+        inside = place < len(self.hashes)
+        new[inside] = self.hashes[place[inside]] != hashes[inside]
+        if new.any():
+            held = text.tobytes()
+            spans = zip(starts[first[new]].tolist(), ends[first[new]].tolist())
+            self._learn(hashes[new], [held[a:b].decode() for a, b in spans], word[first[new]])
+            place = np.searchsorted(self.hashes, hashes)
+        slots = self.slots[place][inverse]
+        begin = self.ends[slots]
+        sizes = self.ends[slots + 1] - begin
+        upto = np.concatenate([[0], np.cumsum(sizes)])
+        places = np.repeat(begin - upto[:-1], sizes)
+        places += np.arange(len(places))
+        return self.ids[places], upto[np.searchsorted(starts, at[1:])]
 
 
 def encode(texts: pa.Array, path: str, end: int | None = END) -> tuple[np.ndarray, np.ndarray]:
-    """Ids of all texts end to end, each followed by ``end`` if given, and where each text ends; null counts as empty."""
-    if path not in _LOADED:
-        _LOADED[path] = _Encoder(path)
-    encoder = _LOADED[path]
-    lists = pc.ascii_split_whitespace(texts.cast(pa.large_string()).fill_null(""))
-    flat, at = lists.flatten().dictionary_encode(), lists.offsets.to_numpy()
-    pieces = flat.dictionary.to_numpy(zero_copy_only=False).tolist()
-    encoder.learn(pieces)
-    slots = encoder.pieces.find(pieces)[flat.indices.to_numpy()] if pieces else np.zeros(0, dtype=np.int32)
-    ids, sizes = encoder.pieces.gather(slots)
-    ends = np.concatenate([[0], np.cumsum(sizes)])[at[1:] - at[0]]
+    """Ids of all texts end to end, each followed by ``end`` if given, and where each text ends; null counts as empty.
+
+    ``path`` names a tokenizer that drops white space. Units are told apart by
+    64-bit hashes: among the units of a worker, at most two million and a
+    batch's, two would share one by chance once in ten million workers.
+    """
+    encoders = _worker()
+    if path not in encoders:
+        encoders[path] = _Encoder(path)
+    ids, ends = encoders[path].encode(*text_bytes(texts))
     if end is None:
         return ids, ends
     return np.insert(ids, ends, end), ends + np.arange(1, len(ends) + 1)
@@ -184,53 +257,49 @@ class Grammar(NamedTuple):
     symbols: np.ndarray
 
 
-def _chosen(rank: np.ndarray, none: int) -> np.ndarray:
-    """Places whose pair is replaced: no two of them touch.
+def _chosen(at: np.ndarray, rank: np.ndarray) -> np.ndarray:
+    """Which of the frequent pairs, at places ``at`` in order, are replaced: no two of these touch.
 
     Of touching pairs the one of better rank goes first; in a row of equal
     pairs, as within ``aaaa``, every second one.
     """
-    place = np.arange(len(rank))
-    begins = np.ones(len(rank), dtype=bool)
-    begins[1:] = rank[1:] != rank[:-1]
-    ends = np.append(begins[1:], True)
-    first = np.maximum.accumulate(np.where(begins, place, 0))
-    before, after = np.append(none, rank[:-1]), np.append(rank[1:], none)
-    free = (~begins | (rank < before)) & (~ends | (rank < after))
-    return np.flatnonzero((rank < none) & ((place - first) % 2 == 0) & free)
+    none = np.iinfo(rank.dtype).max
+    touch = at[1:] == at[:-1] + 1
+    before, after = np.append(none, np.where(touch, rank[:-1], none)), np.append(np.where(touch, rank[1:], none), none)
+    begins = before != rank
+    number = np.arange(len(at))
+    first = np.maximum.accumulate(np.where(begins, number, 0))
+    return ((number - first) % 2 == 0) & (~begins | (rank < before)) & ((after == rank) | (rank < after))
 
 
-def _ranked(symbols: np.ndarray, open_at: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray]:
-    """The frequent pairs by falling count, then by symbols; and each place's pair among them, or their number.
+def _frequent(symbols: np.ndarray, open_at: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The frequent pairs by falling count, then by symbols; their places in order, and the rank of the pair at each.
 
     Only pairs at the open places are counted. Pair and place share one word,
     so that one sort brings equal pairs and their places together.
     """
-    rank = np.zeros(len(symbols) - 1, dtype=np.int64)
     bits = max(int(symbols.max()).bit_length(), 1)
     places = max(len(symbols).bit_length(), 1)
     if 2 * bits + places > 64:
         raise ValueError("too many symbols for one block")
     shift = np.uint64(places)
-    packed = (symbols[open_at] << np.uint64(bits) | symbols[open_at + 1]) << shift | open_at.astype(np.uint64)
+    packed = (symbols[open_at].astype(np.uint64) << np.uint64(bits) | symbols[open_at + 1]) << shift | open_at.astype(np.uint64)
     packed.sort()
     pairs = packed >> shift
-    edges = np.flatnonzero(np.append(True, pairs[1:] != pairs[:-1]))
-    counts = np.diff(np.append(edges, len(pairs)))
-    often = counts >= least
-    keys, counts, edges = pairs[edges[often]], counts[often], edges[often]
-    order = np.argsort(-counts, kind="stable")
-    rank[:] = len(keys)
-    _, nth = _ragged(counts[order])
-    at = (packed[np.repeat(edges[order], counts[order]) + nth] & np.uint64((1 << places) - 1)).astype(np.int64)
-    rank[at] = np.repeat(np.arange(len(keys)), counts[order])
-    keys = keys[order]
-    return np.stack([keys >> np.uint64(bits), keys & np.uint64((1 << bits) - 1)]).astype(np.int64), rank
-
-
-def _ragged(counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    group = np.repeat(np.arange(len(counts)), counts)
-    return group, np.arange(len(group)) - np.repeat(np.cumsum(counts) - counts, counts)
+    edges = np.flatnonzero(pairs[1:] != pairs[:-1]) + 1
+    edges = np.concatenate([[0], edges, [len(pairs)]])
+    counts = np.diff(edges)
+    often = np.flatnonzero(counts >= least)
+    order = often[np.argsort(-counts[often], kind="stable")]
+    rank_of = np.empty(len(edges), dtype=np.int32)
+    rank_of[order] = np.arange(len(order), dtype=np.int32)
+    held = np.repeat(counts >= least, counts)
+    at = (packed[held] & np.uint64((1 << places) - 1)).astype(np.int64)
+    rank = np.full(len(symbols), -1, dtype=np.int32)
+    rank[at] = np.repeat(rank_of[often], counts[often])
+    at = np.flatnonzero(rank >= 0)
+    keys = pairs[edges[order]]
+    return np.stack([keys >> np.uint64(bits), keys & np.uint64((1 << bits) - 1)]).astype(np.int64), at, rank[at]
 
 
 def compress(ids: np.ndarray, least: int = LEAST) -> Grammar:
@@ -240,35 +309,35 @@ def compress(ids: np.ndarray, least: int = LEAST) -> Grammar:
     symbols are made: later rounds count only pairs that were frequent or that
     hold a new symbol. Equal ids give equal grammars.
     """
-    symbols = ids.astype(np.uint64)
+    symbols = ids.astype(np.uint32)
     base = int(symbols.max(initial=0)) + 1
     left, right, lengths = [], [], np.zeros(0, dtype=np.int64)
-    is_open = np.ones(len(symbols), dtype=bool)
+    open_at = np.arange(len(symbols) - 1)
     made = 0
-    while True:
-        open_at = np.flatnonzero(is_open[:-1])
-        if not len(open_at):
+    while len(open_at):
+        rules, at, rank = _frequent(symbols, open_at, least)
+        if not len(at):
             break
-        rules, rank = _ranked(symbols, open_at, least)
-        none = rules.shape[1]
-        at = _chosen(rank, none)
-        kept = np.bincount(rank[at], minlength=none) >= least
-        if not kept.any():
+        chosen = _chosen(at, rank)
+        kept = np.bincount(rank[chosen], minlength=rules.shape[1]) >= least
+        chosen &= kept[rank]
+        if not chosen.any():
             break
-        at = at[kept[rank[at]]]
         rules = rules[:, kept]
         sizes = np.ones(rules.shape, dtype=np.int64)
         sizes[rules >= base] = lengths[rules[rules >= base] - base]
         left.append(rules[0])
         right.append(rules[1])
         lengths = np.concatenate([lengths, sizes.sum(axis=0)])
-        symbols[at] = (base + made + (np.cumsum(kept) - 1)[rank[at]]).astype(np.uint64)
-        is_open = np.append(rank < none, False)
+        made_at = at[chosen]
+        symbols[made_at] = (base + made + np.cumsum(kept) - 1)[rank[chosen]]
+        is_open = np.zeros(len(symbols), dtype=bool)
         is_open[at] = True
-        is_open[at[at > 0] - 1] = True
+        is_open[made_at[made_at > 0] - 1] = True
         stays = np.ones(len(symbols), dtype=bool)
-        stays[at + 1] = False
+        stays[made_at + 1] = False
         symbols, is_open = symbols[stays], is_open[stays]
+        open_at = np.flatnonzero(is_open[:-1])
         made += rules.shape[1]
     empty = np.zeros(0, dtype=np.int64)
     return Grammar(
@@ -293,15 +362,20 @@ def _expanded(grammar: Grammar, symbols: np.ndarray) -> np.ndarray:
 
 def decompress(grammar: Grammar, low: int = 0, high: int | None = None) -> np.ndarray:
     """The ids from place ``low`` up to ``high``, expanding only the symbols that cover them."""
-    rule = grammar.symbols >= grammar.base
-    sizes = np.ones(len(grammar.symbols), dtype=np.int64)
-    sizes[rule] = grammar.lengths[grammar.symbols[rule] - np.uint32(grammar.base)]
+    sizes = np.concatenate([np.ones(grammar.base, dtype=np.int64), grammar.lengths])[grammar.symbols]
     ends = np.cumsum(sizes)
     high = int(ends[-1]) if high is None and len(ends) else high or 0
     if high <= low:
         return np.zeros(0, dtype=np.uint32)
     first, last = int(np.searchsorted(ends, low, side="right")), int(np.searchsorted(ends, high)) + 1
     skipped = low - (int(ends[first]) - int(sizes[first]))
+    if 2 * (last - first) > len(ends):
+        # Most of the block: open each rule once and copy what it stands for.
+        ids = np.concatenate([np.arange(grammar.base, dtype=np.uint32), _expanded(grammar, np.arange(len(grammar.left), dtype=np.uint32) + np.uint32(grammar.base))])
+        begin = np.concatenate([np.arange(grammar.base), grammar.base + np.cumsum(grammar.lengths, dtype=np.int64) - grammar.lengths])
+        places = np.repeat(begin[grammar.symbols[first:last]] - (ends[first:last] - sizes[first:last]), sizes[first:last])
+        places += np.arange(len(places)) + int(ends[first] - sizes[first])
+        return ids[places][skipped : skipped + high - low]
     return _expanded(grammar, grammar.symbols[first:last])[skipped : skipped + high - low]
 
 
@@ -458,15 +532,8 @@ def _blocks(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def _ids_of(ids: np.ndarray) -> bytes:
-    return ids.astype("<u4").tobytes()
-
-
-def _crc_of(ids: np.ndarray) -> int:
-    return zlib.crc32(_ids_of(ids))
-
-
-_VALUES = {"ids": (T.BinaryType(), pa.binary(), _ids_of), "ids_crc32": (T.LongType(), pa.int64(), _crc_of)}
+#: What is told of a document's ids: type, Arrow type and function of their bytes.
+_VALUES = {"ids": (T.BinaryType(), pa.binary(), bytes), "ids_crc32": (T.LongType(), pa.int64(), zlib.crc32)}
 
 
 def _pieces(blocks: DataFrame, places: str, value: str) -> DataFrame:
@@ -487,11 +554,12 @@ def _pieces(blocks: DataFrame, places: str, value: str) -> DataFrame:
                 ends = np.cumsum(counts)
                 grammar = unpack(held["payload"].as_py())
                 # All ids at once where most are asked for, else only what covers each document.
+                spans = zip((ends[at] - counts[at]).tolist(), ends[at].tolist())
                 if counts[at].sum() * 2 > ends[-1]:
-                    ids = decompress(grammar)
-                    values = [of(ids[ends[k] - counts[k] : ends[k]]) for k in at]
+                    ids = memoryview(decompress(grammar).astype("<u4").tobytes())
+                    values = [of(ids[4 * low : 4 * high]) for low, high in spans]
                 else:
-                    values = [of(decompress(grammar, int(ends[k] - counts[k]), int(ends[k]))) for k in at]
+                    values = [of(decompress(grammar, low, high).astype("<u4").tobytes()) for low, high in spans]
                 yield pa.RecordBatch.from_arrays([
                     pa.array(np.full(len(at), held["part"].as_py()), pa.int32()),
                     pa.array(held["first_document"].as_py() + at, pa.int64()),
