@@ -40,6 +40,10 @@ class Settings:
     min_iou: float = 0.3
     advance_on_empty: bool = False
 
+    def tracker(self, state: str | None = None) -> Tracker:
+        """A tracker that goes on from a saved state, if there is one."""
+        return Tracker.load(self, state)
+
 
 @dataclass
 class _Track:
@@ -49,6 +53,7 @@ class _Track:
     missed: int
     box: list
     embedding: list | None = None
+    gap = 0  # updates between the last two detections
 
 
 @dataclass
@@ -59,6 +64,7 @@ class Tracker:
     tracks: list[_Track] = field(default_factory=list)
     next_ref: int = 0
     last_frame: int | None = None
+    kind = _Track
 
     def _confirmed(self, track: _Track) -> bool:
         return track.hits >= self.settings.n_init
@@ -105,15 +111,23 @@ class Tracker:
         for d, track in enumerate(owner):
             embedding = None if embeddings is None else embeddings[d]
             if track is None:
-                track = owner[d] = _Track(self.next_ref, 0, 0, 0, [])
+                track = owner[d] = self.kind(self.next_ref, 0, 0, 0, [])
                 self.next_ref += 1
                 self.tracks.append(track)
-            track.head, track.missed = int(ids[d]), 0
-            track.hits = min(track.hits + 1, self.settings.n_init)
-            track.box = [float(v) for v in boxes[d]]
-            track.embedding = None if embedding is None else [float(v) for v in embedding]
+            self._observe(track, int(ids[d]), boxes[d], embedding)
+        self._observed(owner)
         return [t.ref for t in owner], [self._confirmed(t) for t in owner]
 
+    def _observe(self, track: _Track, name: int, box, embedding) -> None:
+        """The track has this detection now."""
+        track.gap, track.head, track.missed = track.missed, name, 0
+        track.hits = min(track.hits + 1, self.settings.n_init)
+        track.box = [float(v) for v in box]
+        track.embedding = None if embedding is None else [float(v) for v in embedding]
+
+    def _observed(self, tracks: list[_Track]) -> None:
+        """All detections of an update have their track."""
+
     def _pairs(self, boxes: np.ndarray, embeddings):
         if not self.tracks or not len(boxes):
             return
@@ -145,15 +159,18 @@ class Tracker:
         return json.dumps([last, [[t.head, t.hits, t.missed] for t in self.tracks]])
 
     def dump(self) -> str:
-        rows = [[t.ref, t.head, t.hits, t.missed, t.box, t.embedding] for t in self.tracks]
+        rows = [self._saved(t) for t in self.tracks]
         return json.dumps({"next": self.next_ref, "last": self.last_frame, "tracks": rows})
 
+    def _saved(self, t: _Track) -> list:
+        return [t.ref, t.head, t.hits, t.missed, t.box, t.embedding]
+
     @classmethod
     def load(cls, settings: Settings, state: str | None) -> Tracker:
         if not state:
             return cls(settings)
         saved = json.loads(state)
-        return cls(settings, [_Track(*row) for row in saved["tracks"]], saved["next"], saved["last"])
+        return cls(settings, [cls.kind(*row) for row in saved["tracks"]], saved["next"], saved["last"])
 
     def rename_inherited(self) -> None:
         """Names for a new segment: inherited tracks -1, -2, ..., new ones from 0."""
@@ -221,7 +238,7 @@ def _segment(rows: pa.Table, given: str | None, key: tuple, s: Settings, c: Colu
     own = rows.filter(pc.invert(warm))
     if not own.num_rows:
         return _table({}, rows, out, 0)
-    tracker = Tracker.load(s, given)
+    tracker = s.tracker(given)
     if given is None:
         run_sorted(tracker, rows.filter(warm), c)
     start = tracker.signature()
@@ -240,7 +257,7 @@ def track_objects(detections: DataFrame, settings: Settings = Settings(), column
                   segment_frames: int = 5000, warm_up: int | None = None) -> DataFrame:
     """Detections with ``track_id`` (from 1 within each camera) and ``is_confirmed``.
 
-    Rows without camera, frame or box belong to no track and keep NULLs.
+    Settings of ``operators.motion`` track by motion and appearance. Rows without camera, frame or box belong to no track and keep NULLs.
     """
     c = columns
     warm_up = 20 * settings.max_age if warm_up is None else warm_up
@@ -272,7 +289,7 @@ def _whole(rows: DataFrame, s: Settings, c: Columns) -> DataFrame:
 
     def run(group: pa.Table) -> pa.Table:
         group = _in_order(group, c)
-        refs, confirmed = run_sorted(Tracker(s), group, c)
+        refs, confirmed = run_sorted(s.tracker(), group, c)
         return group.append_column("track_id", pa.array(refs + 1)).append_column("is_confirmed", pa.array(confirmed))
 
     return spread(rows, c.camera).groupBy(c.camera).applyInArrow(run, schema)

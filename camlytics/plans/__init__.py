@@ -1,8 +1,8 @@
 """The registered queries and the SQL that checks them."""
 
-from camlytics.plans import objects, parsing, statistics, storage, streams
+from camlytics.plans import moving, objects, parsing, statistics, storage, streams
 
-MODULES = (parsing, statistics, objects, storage, streams)
+MODULES = (parsing, statistics, objects, storage, streams, moving)
 
 
 def queries() -> dict:

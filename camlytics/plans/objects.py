@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from camlytics import fixtures
 from camlytics.fixtures import table
 from camlytics.operators import nms as suppression
-from camlytics.operators import reshape, similarity, stats, track
+from camlytics.operators import motion, reshape, similarity, stats, track
 from camlytics.plans import views
 from camlytics.plans.views import DET, sql
 from camlytics.session import scratch_path
@@ -118,6 +118,28 @@ def track_lookup_boxes(spark: SparkSession, sf: str) -> DataFrame:
     return _lookup(spark, track_objects_boxes(spark, sf))
 
 
+# By motion and appearance; the loop in the tests tells these tracks too.
+
+
+def track_motion(spark: SparkSession, sf: str) -> DataFrame:
+    """All detections, tracked by where each object should be next."""
+    return track.track_objects(views.det(spark, sf), motion.Motion())
+
+
+def track_appearance(spark: SparkSession, sf: str) -> DataFrame:
+    """All detections with the embedding of their user, tracked by motion and look."""
+    looks = table(spark, sf, "events").select("event_id", "user_id").join(
+        table(spark, sf, "embeddings").select(F.col("vec_id").alias("user_id"), "embedding"), "user_id"
+    ).drop("user_id")
+    rows = views.det(spark, sf).join(looks, "event_id", "left")
+    return track.track_objects(rows, motion.Motion(), track.Columns(embedding="embedding"))
+
+
+def track_segments(spark: SparkSession, sf: str) -> DataFrame:
+    """``track_objects_boxes`` in short segments: guessed starts, repairs and joined names, with the same ids."""
+    return track.track_objects(views.det(spark, sf), segment_frames=50, warm_up=30)
+
+
 def similar_topk(spark: SparkSession, sf: str) -> DataFrame:
     """The stored vectors closest to each label's mean vector."""
     stored = table(spark, sf, "embeddings")
@@ -139,7 +161,7 @@ QUERIES = {
         nms, decode_outputs, track_objects, confirmed_tracks, track_summary, track_counters, distinct_tracks, track_coverage,
         track_lookup,
         track_objects_boxes, confirmed_tracks_boxes, track_summary_boxes, track_counters_boxes, distinct_tracks_boxes,
-        track_coverage_boxes, track_lookup_boxes,
+        track_coverage_boxes, track_lookup_boxes, track_motion, track_appearance, track_segments,
         similar_topk, label_similarity,
     )
 }

@@ -15,7 +15,7 @@ from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from camlytics.operators import windows
 from camlytics.operators.parse import class_or_unknown
-from camlytics.operators.track import Columns, Settings, Tracker, _with_fields, run_sorted
+from camlytics.operators.track import Columns, Settings, _with_fields, run_sorted
 
 
 def rates(frames: DataFrame, width: int = 5, *, ts: str = "ts", delay: str = "10 seconds") -> DataFrame:
@@ -68,7 +68,7 @@ def track_objects(detections: DataFrame, settings: Settings = Settings(), column
 
     def advance(key: tuple, batches: Iterable[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         rows = pd.concat(list(batches)).sort_values([c.frame, c.id], kind="stable")
-        tracker = Tracker.load(settings, state.get[0] if state.exists else None)
+        tracker = settings.tracker(state.get[0] if state.exists else None)
         late = pd.Series(False, index=rows.index) if tracker.last_frame is None else rows[c.frame] < tracker.last_frame
         fresh = rows[~late]
         if len(fresh):
