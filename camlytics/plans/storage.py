@@ -129,11 +129,30 @@ def recent_files(spark: SparkSession, sf: str) -> DataFrame:
     return catalog.recent_files(spark, f"{_datasets(spark, sf)}/", 1).select("dataset", "partition")
 
 
+# The operators' own numbers and paths, which Spark chooses; tests compare them with a walk over the folder.
+
+
+def dataset_files(spark: SparkSession, sf: str) -> DataFrame:
+    """Parquet files and bytes of each dataset."""
+    return catalog.dataset_stats(spark, _datasets(spark, sf))
+
+
+def partition_files(spark: SparkSession, sf: str) -> DataFrame:
+    """Files and bytes of each partition folder of each dataset."""
+    return catalog.dataset_listing(spark, _datasets(spark, sf))
+
+
+def last_ten_files(spark: SparkSession, sf: str) -> DataFrame:
+    """The last ten Parquet files by path, of all datasets."""
+    return catalog.recent_files(spark, _datasets(spark, sf)).select("dataset", "partition", "path", "length")
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         partitioned_roundtrip, pruned_scan, nested_roundtrip, append_to_day, converted_documents, topic_union,
         single_camera, dataset_stats, dataset_listing, dataset_partitions, recent_files,
+        dataset_files, partition_files, last_ten_files,
     )
 }
 

@@ -4,12 +4,16 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from camlytics import schemas
 from camlytics.operators import reshape
 from camlytics.sources import files
 
 # The partition columns of every detections table.
 PARTITIONS = ("year", "month", "day", "camera_id")
+#: Bytes of a row group of a tracks table: its first and last frame tell whether a lookup reads it.
+LOOKUP_BYTES = 1 << 20
 
 
 def gathered(rows: DataFrame, partitions: tuple[str, ...] = PARTITIONS) -> DataFrame:
@@ -46,7 +50,8 @@ def write_tracks(tracks: DataFrame, path: str, mode: str = "append") -> None:
     placed = tracks.withColumns(
         {"year": F.year("timestamp"), "month": F.month("timestamp"), "day": F.dayofmonth("timestamp")}
     )
-    gathered(placed).sortWithinPartitions(*PARTITIONS, "frame_id").write.mode(mode).partitionBy(*PARTITIONS).parquet(path)
+    writer = gathered(placed).sortWithinPartitions(*PARTITIONS, "frame_id").write.mode(mode)
+    writer.option("parquet.block.size", LOOKUP_BYTES).partitionBy(*PARTITIONS).parquet(path)
 
 
 def find_tracks(spark: SparkSession, path: str, *, camera: int | None = None, frame: int | None = None,
@@ -67,6 +72,50 @@ def find_tracks(spark: SparkSession, path: str, *, camera: int | None = None, fr
     return rows
 
 
+class TracksOnce:
+    """A ``foreachBatch`` function that writes each batch of a stream of tracks exactly once.
+
+    A batch has a folder of its own under its number and is written there as a
+    whole; afterwards its number goes to the table of committed batches. A batch
+    that comes again after a crash replaces what it had written, or, if it had
+    been committed, is left out. Readers see committed batches only. ``query``
+    names the stream: several may write to one path.
+    """
+
+    def __init__(self, path: str, query: str = "tracks"):
+        self.path, self.query = path, query
+
+    def _committed(self, spark: SparkSession) -> DataFrame:
+        folder = f"{self.path}/_committed"
+        at = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        schema = "query string, batch bigint, rows bigint"
+        if not at.getFileSystem(spark._jsc.hadoopConfiguration()).exists(at):
+            return spark.createDataFrame([], schema)
+        # A commit that was repeated counts once.
+        return spark.read.schema(schema).parquet(f"{folder}/query=*/batch=*").distinct()
+
+    def __call__(self, batch: DataFrame, number: int) -> None:
+        spark = batch.sparkSession
+        mine = f"query={self.query}/batch={int(number)}"
+        if not self._committed(spark).where((F.col("query") == self.query) & (F.col("batch") == int(number))).isEmpty():
+            return
+        write_tracks(batch, f"{self.path}/data/{mine}", "overwrite")
+        held = spark.read.schema("id bigint").parquet(f"{self.path}/data/{mine}")
+        record = held.agg(F.lit(self.query).alias("query"), F.lit(int(number)).cast("bigint").alias("batch"), F.count(F.lit(1)).alias("rows"))
+        record.write.mode("overwrite").parquet(f"{self.path}/_committed/{mine}")
+
+    def read(self, spark: SparkSession, ddl: str = schemas.TRACKS) -> DataFrame:
+        """Tracks of all committed batches."""
+        schema = schemas.struct_of(ddl)
+        placed = T.StructType([
+            *schema, *[T.StructField(p, T.IntegerType()) for p in ("year", "month", "day")],
+            T.StructField("query", T.StringType()), T.StructField("batch", T.LongType()),
+        ])
+        rows = spark.read.schema(placed).option("basePath", f"{self.path}/data").parquet(f"{self.path}/data")
+        # One row per batch.
+        return rows.join(F.broadcast(self._committed(spark).select("query", "batch")), ["query", "batch"]).select([f.name for f in schema])
+
+
 def write_tracks_jdbc(tracks: DataFrame, url: str, table: str = "tracks", **properties: str) -> None:
     """One batch insert of all tracks instead of one per row."""
     tracks.write.jdbc(url, table, mode="append", properties=properties)
