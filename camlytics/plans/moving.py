@@ -68,7 +68,7 @@ def stream_last_n(spark: SparkSession, sf: str) -> DataFrame:
     """The last 50 detections of each camera."""
     rows = _events(spark, sf).drop("value")
     held = timers.newest(_run(spark, timers.last_n(rows, 50, ["event_id"]), "update"))
-    return held.select(F.from_json("row", rows.schema).alias("r")).select("r.*")
+    return held.select(timers.unpacked("row", rows.schema).alias("r")).select("r.*")
 
 
 def stream_overlay(spark: SparkSession, sf: str) -> DataFrame:
@@ -83,7 +83,7 @@ def stream_overlay(spark: SparkSession, sf: str) -> DataFrame:
         _as_stream(spark, rows.withColumn("at", at), name) for rows, name in ((frames, "frames"), (answers, "answers"))
     )
     held = timers.newest(_run(spark, timers.overlay(left, right, ["at"]), "update"))
-    f, d = F.from_json("frame", left.schema), F.from_json("answer", right.schema)
+    f, d = timers.unpacked("frame", left.schema), timers.unpacked("answer", right.schema)
     return held.select("camera_id", f.alias("f"), d.alias("d")).select(
         "camera_id", "f.frame_id", "f.ts", F.col("d.frame_id").alias("detection_frame_id"), "d.detections", "d.classes"
     )

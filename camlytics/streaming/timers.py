@@ -27,6 +27,10 @@ from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 from camlytics.schemas import CAMERA_IDS
 
 MICROS = 1_000_000
+#: How rows lie in a state: with nulls, and times to the microsecond.
+JSON = {
+    "ignoreNullFields": "false", "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX", "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS",
+}
 Step = Callable[[dict, int | None, list], Iterator[tuple]]
 
 
@@ -48,7 +52,7 @@ def _in_order(rows: DataFrame, delay: str, values: list[str], schema: str, begin
     in ``memory["wake"]`` the time at which it wants to run again, or None.
     """
     keyed = rows.withColumn("ts", F.col("ts").cast("timestamp")).withWatermark("ts", delay).withColumns({
-        "_at": _micros(F.col("ts")), "_row": F.to_json(F.struct(*(values or ["ts"])), {"ignoreNullFields": "false"}),
+        "_at": _micros(F.col("ts")), "_row": F.to_json(F.struct(*(values or ["ts"])), JSON),
     }).select("camera_id", "ts", "_at", "_row")
 
     def advance(key: tuple, batches: Iterable[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
@@ -253,7 +257,7 @@ def last_n(rows: DataFrame, n: int, order: list[str]) -> DataFrame:
     ``row`` is JSON of all columns. Per camera the rows of the highest version
     are the ones that hold; ``newest`` picks them.
     """
-    packed = rows.withColumn("_row", F.to_json(F.struct("*"), {"ignoreNullFields": "false"}))
+    packed = rows.withColumn("_row", F.to_json(F.struct("*"), JSON))
     return _held(packed, order, "row string", partial(_ring, n), _ring_shown)
 
 
@@ -274,12 +278,17 @@ def overlay(frames: DataFrame, answers: DataFrame, order: list[str]) -> DataFram
     columns of their sides; a camera is shown from its first frame on.
     """
     def side(rows: DataFrame, name: str) -> DataFrame:
-        whole = F.to_json(F.struct(F.lit(name).alias("side"), "*"), {"ignoreNullFields": "false"})
+        whole = F.to_json(F.struct(F.lit(name).alias("side"), "*"), JSON)
         return rows.select("camera_id", *order, whole.alias("_row"))
 
     return _held(side(frames, "frame").unionByName(side(answers, "answer")), order, "frame string, answer string", _latest, _latest_shown)
 
 
+def unpacked(row: str, schema) -> Column:
+    """A JSON column of ``last_n`` or ``overlay`` as the row it was."""
+    return F.from_json(row, schema, {k: v for k, v in JSON.items() if k != "ignoreNullFields"})
+
+
 def newest(rows: DataFrame) -> DataFrame:
     """What each camera shows now, of all that ``last_n`` or ``overlay`` has written."""
     versions = rows.groupBy("camera_id").agg(F.max("version").alias("version"))

@@ -100,7 +100,7 @@ def test_snapshots(spark, tmp_path, frames, cuts):
 def test_last_n(spark, tmp_path, frames, cuts, n=7):
     stream = streamed(spark, f"{tmp_path}/in", frames, cuts)
     held = timers.newest(run(spark, timers.last_n(stream, n, ["frame_id"]), "update"))
-    got = held.select(F.from_json("row", frames.schema).alias("r")).select("r.*")
+    got = held.select(timers.unpacked("row", frames.schema).alias("r")).select("r.*")
     assert as_set(got.collect()) == as_set(ordered.last_n(frames, ["camera_id"], ["frame_id"], n).collect())
 
 
@@ -112,8 +112,8 @@ def test_overlay(spark, tmp_path, frames, cuts):
     )
     left, right = streamed(spark, f"{tmp_path}/f", frames, cuts), streamed(spark, f"{tmp_path}/a", answers, cuts[:1])
     held = timers.newest(run(spark, timers.overlay(left, right, ["frame_id"]), "update"))
-    got = held.select("camera_id", F.from_json("frame", frames.schema)["frame_id"], F.from_json("answer", answers.schema)["frame_id"],
-                      F.from_json("answer", answers.schema)["classes"])
+    got = held.select("camera_id", timers.unpacked("frame", frames.schema)["frame_id"], timers.unpacked("answer", answers.schema)["frame_id"],
+                      timers.unpacked("answer", answers.schema)["classes"])
     assert as_set(got.collect()) == as_set(batch.select("camera_id", "frame_id", "detection_frame_id", "classes").collect())
 
 
