@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import hashlib
+import sys
+import types
 from collections.abc import Iterator
 from contextlib import contextmanager
 from typing import NamedTuple
@@ -29,7 +31,17 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     """
     path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    held = df.sparkSession.read.schema(df.schema).parquet(path)
+    held.scratch = path
+    return held
+
+
+def dropped(*tables: DataFrame) -> None:
+    """Remove the files of ``stored`` tables that nothing reads any more: what came of them is stored itself."""
+    for table in tables:
+        spark = table.sparkSession
+        path = spark._jvm.org.apache.hadoop.fs.Path(table.scratch)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def packed(df: DataFrame) -> Column:
@@ -66,6 +78,12 @@ def text_batches(spark: SparkSession, rows: int = 1000) -> Iterator[None]:
         spark.conf.set(key, before)
 
 
+def worker_memory(name: str) -> dict:
+    """What a Python worker keeps from task to task: the package travels with each task, so its own globals do not last."""
+    module = sys.modules.setdefault("_worker_memory", types.ModuleType("_worker_memory"))
+    return module.__dict__.setdefault(name, {})
+
+
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from camlytics.llm.common import WORD, Words, mix, most_counted, packed, partitions, slices, stored, text_batches, words_of
+from camlytics.llm.common import WORD, Words, dropped, mix, most_counted, packed, partitions, slices, stored, text_batches, words_of
 from camlytics.llm.links import components
 
 SHINGLE = 5
@@ -120,13 +120,18 @@ def _pairs(prefix: np.ndarray, parts: int) -> np.ndarray:
     return np.concatenate(out) if out else np.zeros(0, dtype=np.uint64)
 
 
+def _short(tokens: np.ndarray) -> np.ndarray:
+    """Signatures of a small set: its prefix."""
+    return mix(tokens[: len(tokens) // 4 + 1] + _SHORT)
+
+
 def signatures(tokens: np.ndarray, frequent: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Signatures of one token and of two tokens, for a set given as sorted tokens and their class."""
     n = len(tokens)
     lost = n // 4
     single, double = [], []
     if 0 < n < SMALL:
-        single.append(mix(tokens[: lost + 1] + _SHORT))
+        single.append(_short(tokens))
     if n >= LARGE:
         rare = tokens[~frequent][: lost + 1]
         single.append(mix(rare + _SINGLE))
@@ -206,7 +211,7 @@ def _new_texts(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray,
 
 
 def _prefix_tokens(common):
-    """The tokens that would be indexed one by one if none were heavy."""
+    """The tokens that would be indexed one by one if none were heavy, and the signatures of small sets."""
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for _, words in _new_texts(batches):
@@ -214,13 +219,15 @@ def _prefix_tokens(common):
             for tokens, at in _shingles(words):
                 if len(tokens) >= LARGE:
                     out.append(tokens[~frequent[at]][: len(tokens) // 4 + 1])
+                if len(tokens) < SMALL:
+                    out.append(_short(tokens))
             yield pa.record_batch({"token": _signed(np.concatenate(out))})
 
     return emit
 
 
 def _indexed(common, heavy):
-    """Signatures of every text; pairs of tokens are salted by node, single tokens have salt 0."""
+    """Signatures of every text; pairs of tokens and heavy signatures are salted by node, the others have salt 0."""
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for nodes, words in _new_texts(batches):
@@ -235,7 +242,8 @@ def _indexed(common, heavy):
                     found.append(sigs)
                     owners.append(np.full(len(sigs), node, dtype=np.int64))
                     sizes.append(np.full(len(sigs), len(tokens), dtype=np.int32))
-                    salts.append(np.full(len(sigs), salt, dtype=np.int32))
+                    many = heavy.value.has(sigs) if len(heavy.value.hashes) else np.zeros(len(sigs), dtype=bool)
+                    salts.append(np.where(many, 1 + node % 63, salt).astype(np.int32))
             if found:
                 yield pa.record_batch({
                     "sig": _signed(np.concatenate(found)), "salt": pa.array(np.concatenate(salts)),
@@ -427,15 +435,17 @@ def _open(rows: DataFrame, roots: DataFrame, profiles: DataFrame, every: bool) -
     return dealt.mapInArrow(_scanned(every), "a long, b long")
 
 
-def _verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
-    """Pairs (a, b) of similarity 0.75 or more, decided on the whole sets."""
+def _verified(pairs: DataFrame, texts: DataFrame, name: str) -> DataFrame:
+    """Pairs (a, b) of similarity 0.75 or more, decided on the whole sets; ``pairs`` and the result are stored tables."""
     wanted = stored(pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct(), "wanted")
     bodies = _texts_of(texts, wanted).select("node", "body")
     held = stored(bodies.select("node", F.arrow_udf(_whole_sets, "array<bigint>")("body").alias("tokens")), "sets")
     both = pairs.select("a", "b").join(held.toDF("a", "ta"), "a").join(held.toDF("b", "tb"), "b")
     same = F.size(F.array_intersect("ta", "tb"))
     union = F.size("ta") + F.size("tb") - same
-    return both.where(100 * same >= 75 * union).select("a", "b")
+    out = stored(both.where(100 * same >= 75 * union).select("a", "b"), name)
+    dropped(pairs, wanted, held)
+    return out
 
 
 def link_table(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> tuple[DataFrame, DataFrame]:
@@ -451,15 +461,18 @@ def _link_table(docs: DataFrame, doc_id: str, text: str) -> tuple[DataFrame, Dat
     profiles = stored(
         surveyed.where("word is null and n > 0").select("node", F.col("n").cast("int").alias("n"), "bits").dropDuplicates(["node"]), "profiles"
     )
+    rows = stored(surveyed.where("word is null").select("doc_id", "node", "n"), "rows")
     found_words = surveyed.where("word is not null")
     total = found_words.agg(F.sum("n")).first()[0] or 0
     counted_words = found_words.groupBy("word").agg(F.sum("n").alias("n"))
     # At most 1 / COMMON_SHARE words can have that share.
     common = spark.sparkContext.broadcast(_Known(_hashes(counted_words.where(F.col("n") >= COMMON_SHARE * total), "word")))
+    dropped(surveyed)
     texts = base.where(F.col("body").isNotNull()).select("node", "body")
     counted = texts.mapInArrow(_prefix_tokens(common), "token long").groupBy("token").agg(F.count(F.lit(1)).alias("n"))
     often = stored(counted.where(F.col("n") > HEAVY), "often")
     heavy = spark.sparkContext.broadcast(_Known(_hashes(most_counted(often, HEAVY_TOKENS), "token")))
+    dropped(often)
     group = Window.partitionBy("sig", "salt")
     found = texts.mapInArrow(_indexed(common, heavy), "sig long, salt int, node long, n int")
     index = stored(
@@ -467,26 +480,32 @@ def _link_table(docs: DataFrame, doc_id: str, text: str) -> tuple[DataFrame, Dat
         .where("hub <> last or salt > 0").dropDuplicates(["sig", "salt", "node"]).drop("last"),
         "signatures",
     )
-    # Signatures of two tokens: a mergeable minimum over the salts, then a join.
+    # Salted signatures: a mergeable minimum over the salts, then a join.
     two = index.where("salt > 0").select("sig", "node", "n")
     hubs = two.groupBy("sig").agg(F.min("node").alias("hub"), F.max("node").alias("last")).where("hub <> last").drop("last")
     shared = stored(index.where("salt = 0").select("sig", "node", "n", "hub").unionByName(two.join(hubs, "sig")), "shared")
     stars = stored(shared.where("node <> hub").select(F.col("hub").alias("a"), F.col("node").alias("b")).distinct(), "stars")
+    dropped(index)
     # Links are sought in three steps, and each step leaves out what earlier ones have joined: of each node the
     # hub that looks nearest; of each node outside a signature's largest component the nearest other member, in one
     # of PART signatures, and the other hubs; at last, over all signatures, every pair of different components that
     # sizes and bitmaps allow.
     near = stored(_near(stars, profiles), "near")
+    dropped(stars)
     likely = near.groupBy("b").agg(F.min_by("a", "distance").alias("a")).select("a", "b")
-    links = stored(_verified(stored(likely, "likely"), texts), "first")
+    links = _verified(stored(likely, "likely"), texts, "first")
     rest = shared.where("node <> hub").select("sig", "node", "n")
     roots = components(links)
     hubs_left = _apart(near.select("a", "b"), roots)
     nearest = _open(rest.where(F.pmod("sig", F.lit(PART)) == 0), roots, profiles, False).unionByName(hubs_left).distinct()
-    links = links.unionByName(stored(_verified(stored(nearest, "nearest"), texts), "second"))
+    nearest = stored(nearest, "nearest")
+    dropped(near)
+    links = links.unionByName(_verified(nearest, texts, "second"))
     roots = components(links)
-    links = links.unionByName(_verified(stored(_open(rest, roots, profiles, True).distinct(), "open"), texts))
-    return surveyed.where("word is null").select("doc_id", "node", "n"), components(links)
+    every = stored(_open(rest, roots, profiles, True).distinct(), "open")
+    dropped(shared, profiles)
+    links = links.unionByName(_verified(every, texts, "third"))
+    return rows, components(links)
 
 
 def join(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:

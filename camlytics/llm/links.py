@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from camlytics.llm.common import stored
+from camlytics.llm.common import dropped, stored
 
 
 def _both(links: DataFrame) -> DataFrame:
@@ -39,6 +39,7 @@ def components(links: DataFrame) -> DataFrame:
             large.join(down, "a").where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
             .unionByName(down.select("a", F.col("m").alias("b"))).distinct()
         )
-        current = stored(small, "links")
+        current, before = stored(small, "links"), current
+        dropped(before)
     roots = current.select(F.col("a").alias("node"), F.col("b").alias("root"))
     return roots.unionByName(roots.select(F.col("root").alias("node"), "root").distinct())
