@@ -246,3 +246,9 @@ def test_state_is_bounded():
     assert tracker.next_ref == 1 and max(sizes[50:]) < 1.2 * sizes[20]
     again = motion.MotionTracker.load(SMALL, tracker.dump())
     assert again.signature() == tracker.signature() and np.allclose(again.tracks[0].state, tracker.tracks[0].state)
+
+
+def test_segments_query_equals_one_run(spark):
+    """Four segments a camera, guessed, repaired and joined, against one run over all frames."""
+    sf = "/root/testdata/sf0.01"
+    assert tracked(QUERIES["track_segments"](spark, sf)) == tracked(QUERIES["track_objects_boxes"](spark, sf))
