@@ -87,29 +87,55 @@ def _spans(text: Column, pattern: str, rank: int, keep=None) -> Column:
     return F.when(text.rlike(pattern), spans.cast(SPAN)).otherwise(F.array().cast(SPAN))
 
 
+def _bound(value: Column, use) -> Column:
+    """``use(value)`` with the value worked out once, however often ``use`` names it."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
+#: Counts of the characters of a window, packed: so many bits each, so many to a number.
+COUNT_BITS, PACKED = 6, 10
+
+
 def window_entropy(run: Column, window: int = WINDOW) -> Column:
-    """The highest entropy, in bits per character, of any window of the run; null for a shorter run."""
-    table = F.array(*[F.lit(c * math.log2(c) if c else 0.0) for c in range(window + 2)])
+    """The highest entropy, in bits per character, of any window of the run; null for a shorter run.
+
+    A step changes two counts, which lie packed in a few numbers, so the time
+    grows with the length of the run. ``window`` is at most 62.
+    """
+    terms = [c * math.log2(c) if c else 0.0 for c in range(window + 2)]
+    rises = F.array(*[F.lit(b - a) for a, b in zip(terms, terms[1:])])
+    kinds = len(ALPHABET) + 1
+    numbers = range(-(-kinds // PACKED))
+    group = F.array(*[F.lit(k // PACKED) for k in range(kinds)])
+    shift = F.array(*[F.lit(COUNT_BITS * (k % PACKED)) for k in range(kinds)])
+    unit = F.array(*[F.lit(1 << COUNT_BITS * (k % PACKED)).cast("bigint") for k in range(kinds)])
+    begin = F.struct(F.array(*[F.lit(0).cast("bigint") for _ in numbers]).alias("n"), F.lit(0.0).alias("s"), F.lit(float("inf")).alias("least"))
+
+    def count(held: Column, kind: Column) -> Column:
+        number = F.call_function("shiftright", F.get(held, F.get(group, kind)), F.get(shift, kind))
+        return number.bitwiseAND((1 << COUNT_BITS) - 1).cast("int")
+
+    def step(state: Column, x: Column) -> Column:
+        new, old = x["new"], x["old"]
+        rise = F.get(rises, count(state["n"], new))
+        fall = F.when(old >= 0, F.get(rises, count(state["n"], old) - 1)).otherwise(0.0)
+        total = state["s"] + F.when(new == old, 0.0).otherwise(rise - fall)
+        moved = F.when(new == old, state["n"]).otherwise(F.transform(state["n"], lambda v, k: v
+            + F.when(k == F.get(group, new), F.get(unit, new)).otherwise(F.lit(0).cast("bigint"))
+            - F.when((old >= 0) & (k == F.get(group, old)), F.get(unit, old)).otherwise(F.lit(0).cast("bigint"))))
+        return _bound(F.struct(moved.alias("n"), total.alias("s")), lambda t: F.struct(
+            t["n"].alias("n"), t["s"].alias("s"), F.when(x["full"], F.least(state["least"], t["s"])).otherwise(state["least"]).alias("least")
+        ))
+
+    def best(codes: Column) -> Column:
+        left = F.concat(F.array_repeat(F.lit(-1), window), F.slice(codes, 1, F.size(codes) - window))
+        moves = F.transform(F.arrays_zip(codes.alias("new"), left.alias("old")), lambda m, i: F.struct(
+            m["new"].alias("new"), m["old"].alias("old"), (i >= window - 1).alias("full")
+        ))
+        return F.aggregate(moves, begin, step, lambda s: math.log2(window) - s["least"] / window)
+
     codes = F.transform(F.regexp_extract_all(run, F.lit("(?s)."), F.lit(0)), lambda c: F.instr(F.lit(ALPHABET), c))
-    zero = F.array_repeat(F.lit(0), len(ALPHABET) + 1)
-    begin = F.struct(zero.alias("n"), F.lit(0.0).alias("s"), F.lit(float("inf")).alias("least"))
-
-    def step(state: Column, i: Column) -> Column:
-        new, old = F.get(codes, i), F.when(i >= window, F.get(codes, i - window)).otherwise(-1)
-        up = F.get(state["n"], new)
-        down = F.when(old >= 0, F.get(state["n"], old) + F.when(old == new, 1).otherwise(0)).otherwise(0)
-        change = F.get(table, up + 1) - F.get(table, up)
-        less = F.when(old >= 0, F.get(table, down) - F.get(table, down - 1)).otherwise(0.0)
-        total = state["s"] + change - less
-        counts = F.transform(
-            state["n"], lambda v, j: v + F.when(j == new, 1).otherwise(0) - F.when(j == old, 1).otherwise(0)
-        )
-        least = F.when(i >= window - 1, F.least(state["least"], total)).otherwise(state["least"])
-        return F.struct(counts.alias("n"), total.alias("s"), least.alias("least"))
-
-    places = F.sequence(F.lit(0), F.size(codes) - 1)
-    best = F.aggregate(places, begin, step, lambda s: math.log2(window) - s["least"] / window)
-    return F.when(F.length(run) >= window, best)
+    return F.when(F.length(run) >= window, _bound(codes, best))
 
 
 def _threshold(run: Column, classes) -> Column:

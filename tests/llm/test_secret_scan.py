@@ -129,3 +129,55 @@ def test_random_keys_without_a_digit_are_found(spark):
     bare = [k for k in keys if not re.search("[0-9]", k)]
     assert len(bare) > 80 and sum(entropy_spans(spark, bare, secret_scan.held)) >= 0.95 * len(bare)
     assert sum(entropy_spans(spark, keys, secret_scan.held)) >= 0.98 * len(keys)
+
+
+def plain_held(text):
+    """Spans and their number by the registered query's rule: parts between allowed texts, each by its class."""
+    allowed = re.compile("|".join(f"(?i:{p[4:]})" if p.startswith("(?i)") else f"(?:{p})" for p in secret_scan.ALLOWED))
+    base = sorted((m.start(), k, m.end(), n) for k, (n, p, ok) in enumerate(PATTERNS) for m in p.finditer(text) if ok(m))
+    added = []
+    for m in re.finditer("[A-Za-z0-9+/_=-]{20,}", text):
+        ends = [(0, 0), *[a.span() for a in allowed.finditer(m[0])], (len(m[0]), None)]
+        for (_, start), (end, _) in zip(ends, ends[1:]):
+            part = m[0][start:end]
+            if len(part) >= WINDOW:
+                bits = next(b for _, p, b in secret_scan.PART_CLASSES if not p or re.match(p, part))
+                windows = {part[i : i + WINDOW] for i in range(len(part) - WINDOW + 1)}
+                if max(map(entropy, windows)) >= bits - 1e-12:
+                    added.append((m.start(), 3, m.end(), "entropy"))
+                    break
+    listed = ",".join(f"{n}:{a}:{b}" for a, _, b, n in sorted(base + added))
+    return listed, len(added)
+
+
+def check_held(df, texts):
+    got = [(r.spans, r.n_entropy) for r in secret_scan.scan(df, judge=secret_scan.held).collect()]
+    assert Counter(got) == Counter(plain_held(t or "") for t in texts)
+
+
+def test_registered_rule_like_plain_python(spark, documents, texts):
+    check_held(documents, [t for _, t, *_ in texts])
+    check_held(odd(spark), [r.text for r in odd(spark).collect()])
+    check_held(spark.createDataFrame(list(enumerate(CASES)), "doc_id long, text string"), CASES)
+
+
+def test_registered_rule_on_long_runs(spark):
+    draw = random.Random(8)
+    runs = ["".join(draw.choices(kinds, k=n)) for n in (19, 20, 21, 400, 3000) for kinds in (ALPHABET, "0123456789", "abcdef0123456789", "aB", "qwertzuiop")]
+    runs += ["ab" * 2000 + "".join(draw.choices(ALPHABET, k=20)) + "ab" * 2000, "EXAMPLE".join(draw.choices(ALPHABET, k=300)), "z" * 50_000 + "1"]
+    check_held(spark.createDataFrame(list(enumerate(runs)), "doc_id long, text string"), runs)
+
+
+def test_time_grows_with_the_length_of_a_run(spark):
+    import time
+
+    def seconds(n):
+        run = "".join(random.Random(n).choices(ALPHABET, k=n))
+        df = spark.createDataFrame([(1, run)], "doc_id long, text string")
+        started = time.perf_counter()
+        assert secret_scan.scan(df, judge=secret_scan.held).first().n_entropy == 1
+        return time.perf_counter() - started
+
+    seconds(1000)
+    # Ten thousand times the work if every step read the run anew.
+    assert seconds(100_000) < seconds(1000) + 10
