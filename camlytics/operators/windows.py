@@ -44,17 +44,28 @@ def _rates(width: int) -> list[Column]:
 
 
 def tumbling_rates(frames: DataFrame, width: int = 5, *, ts: str = "ts", cameras=CAMERA_IDS,
-                   zero_fill: bool = True) -> DataFrame:
+                   zero_fill: bool = True, start=None, end=None) -> DataFrame:
     """Frames and detections per second for each window of ``width`` seconds.
 
-    With ``zero_fill`` every known camera appears in every window of the span.
+    With ``zero_fill`` every known camera appears in every window of the span:
+    from the first frame to the last, or from ``start`` to before ``end`` where
+    these are given. Give them where clocks may be wrong, since one wrong time
+    stretches the span of the data; frames outside are not counted then.
     """
+    at = F.col(ts)
+    kind = frames.schema[ts].dataType
+    if start is not None:
+        frames = frames.where(at >= F.lit(start).cast(kind))
+    if end is not None:
+        frames = frames.where(at < F.lit(end).cast(kind))
     counts = window_counts(frames, width, ts)
     if zero_fill:
-        start = lambda c: F.window(c, f"{width} seconds")["start"]
-        span = frames.agg(F.min(ts).alias("a"), F.max(ts).alias("b")).select(
-            start(F.col("a")).alias("first"), "b"
-        ).select("first", start(F.col("b")).alias("last"))
+        opens = lambda c: F.window(c, f"{width} seconds")["start"]
+        before = F.expr("interval 1 microsecond")
+        span = frames.agg(
+            (F.min(ts) if start is None else F.lit(start).cast(kind)).alias("a"),
+            (F.max(ts) if end is None else F.lit(end).cast(kind) - before).alias("b"),
+        ).select(opens(F.col("a")).alias("first"), "b").select("first", opens(F.col("b")).alias("last"))
         zeros = window_grid(span, width, cameras).withColumns(
             {"frames": F.lit(0).cast("bigint"), "detections": F.lit(0).cast("bigint")}
         )

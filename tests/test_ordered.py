@@ -103,3 +103,26 @@ def test_defaults(spark):
     )
     got = windows.with_defaults(df, ["i"], F.lit("now")).orderBy("i").collect()
     assert [tuple(r)[1:] for r in got] == [("5", 7, "a"), ("unknown", 1, "now"), ("3", 2, "c")]
+
+
+def test_span_of_rates_as_given(spark):
+    """A wrong clock does not stretch the windows; silent windows at both ends are there."""
+    from datetime import datetime
+
+    from camlytics.operators import windows
+
+    rows = [(1, datetime(2024, 1, 1, 12, 0, 7), 2), (2, datetime(2024, 1, 1, 12, 0, 11), 3), (1, datetime(1970, 1, 1), 9), (2, datetime(2124, 1, 1), 9)]
+    frames = spark.createDataFrame(rows, "camera_id int, ts timestamp_ntz, total_detections long")
+    got = windows.tumbling_rates(frames, 5, cameras=(1, 2), start="2024-01-01 12:00:00", end="2024-01-01 12:00:20").collect()
+    want = {(s, c): 0.0 for s in (0, 5, 10, 15) for c in (1, 2)} | {(5, 1): 0.4, (10, 2): 0.6}
+    assert {(r.window_start.second, r.camera_id): r.detection_rate for r in got} == want
+    silent = windows.tumbling_rates(frames.limit(0), 5, cameras=(1,), start="2024-01-01 12:00:00", end="2024-01-01 12:00:20")
+    assert silent.count() == 4
+
+
+def test_last_rows_over_many_tasks(spark):
+    from camlytics.operators import ordered
+
+    rows = spark.range(20_000).selectExpr("id % 3 as camera_id", "id div 2 as at", "id").repartition(40)
+    got = ordered.last_n(rows, ["camera_id"], ["at", "id"], 100)
+    assert sorted(r.id for r in got.collect()) == list(range(20_000 - 300, 20_000))
