@@ -23,6 +23,8 @@ from camlytics.llm.common import WORD, packed, running, stored
 WEIGHTS = (5, 2, 1)
 EPOCHS = 2
 SHARE = 1.5
+#: Blocks: at least SEATS in the whole mix, and FINE in the source with the smallest target, as far as it has that many words.
+SEATS, FINE = 1_000_000, 100
 
 
 def targets(sizes: DataFrame, share: float = SHARE) -> DataFrame:
@@ -89,15 +91,20 @@ def apportion(parties: DataFrame, group: list[str], target: Column, seats: Colum
     )
 
 
-def plan(sizes: DataFrame, seats: int, shards: int, share: float = SHARE, seed: int = 0) -> DataFrame:
+def plan(sizes: DataFrame, seats: int | None, shards: int, share: float = SHARE, seed: int = 0) -> DataFrame:
     """One row per source: target, ``_block`` words per block, ``_quota`` blocks and their split over the shards.
 
+    Without ``seats`` the block is small enough for the smallest source too.
     Seats of shard j are those between the j-th and the next cut of all seats.
     The method gives no party fewer seats when seats are added, so differences
     of the quotas at the cuts are each shard's quotas.
     """
-    block = F.greatest(F.lit(1), F.ceil(F.col("_budget") / seats)).cast("long")
-    base = targets(sizes, share).withColumn("_block", block)
+    block = F.ceil(F.col("_budget") / (seats or SEATS))
+    if seats is None:
+        # One row per source.
+        smallest = F.min(F.when(F.col("target") > 0, F.col("target"))).over(Window.partitionBy())
+        block = F.least(block, F.floor(smallest / FINE))
+    base = targets(sizes, share).withColumn("_block", F.greatest(F.lit(1), block).cast("long"))
     cuts = base.select("*", F.explode(F.sequence(F.lit(1), F.lit(shards))).alias("_cut"))
     upto = F.expr(f"cast(round(_budget / _block) as long) * _cut div {shards}")
     dealt = apportion(cuts, ["_cut"], F.col("target"), upto, "_source")
@@ -119,7 +126,7 @@ def plan(sizes: DataFrame, seats: int, shards: int, share: float = SHARE, seed:
     }).drop("_budget")
 
 
-def mix(docs: DataFrame, seats: int = 1_000_000, shards: int = 8, share: float = SHARE, seed: int = 0,
+def mix(docs: DataFrame, seats: int | None = None, shards: int = 8, share: float = SHARE, seed: int = 0,
         doc_id: str = "doc_id", text: str = "text", source: str = "source") -> DataFrame:
     """doc_id, source, size, source_size, target, taken, copies, shard_blocks, text_hash for each row.
 
@@ -128,9 +135,10 @@ def mix(docs: DataFrame, seats: int = 1_000_000, shards: int = 8, share: float =
     by the block of its middle word. The order inside a source is that of
     md5(seed:id:size), then id, size and text hash; rows equal in all of them may
     change places. A null text has size 0 and takes nothing; rows without a source
-    form one. An empty table, or one without words, gives targets of 0. With
-    more words than ``seats`` a block is longer than a word, and a source may
-    miss its target by two blocks. Other columns are not read.
+    form one. An empty table, or one without words, gives targets of 0. A block
+    is a millionth of the mix, or a hundredth of the smallest target where that
+    is less, and never under a word; a source may miss its target by two blocks.
+    ``seats`` sets the number of blocks instead. Other columns are not read.
     """
     words = F.coalesce(F.regexp_count(F.col(text), F.lit(WORD)), F.lit(0)).cast("long")
     rows = docs.select(
@@ -207,7 +215,8 @@ t as (
     sum(case when is_full then 0 else w end) over () as sharing from g),
 u as (
   select source, i, n, m, case when is_full then cast(2 * n as double) else w * (m - rest) / sharing end as target,
-    cast(greatest(1, ceil(m / 1000000)) as bigint) as b from t),
+    cast(greatest(1, least(ceil(m / 1000000), floor(min(case when m > 0 then
+      case when is_full then cast(2 * n as double) else w * (m - rest) / sharing end end) over () / 100))) as bigint) as b from t),
 claims as (
   select i, m, b, target / (2 * k - 1) as quotient
   from (select *, unnest(range(1, cast(ceil(target / b) as bigint) + 2 + (select count(*) from s))) as k from u)),

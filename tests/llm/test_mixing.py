@@ -110,3 +110,11 @@ def test_whole_documents(spark, documents):
 def test_matches_sql(spark, tiny):
     db = oracle.connect(tiny)
     assert oracle.compare(spark, db, tiny, "op6_mixing", queries.op6_mixing, mixing.ORACLE) == ""
+
+
+def test_small_sources_beside_huge_ones(spark):
+    """The block follows the smallest target, so that no source vanishes."""
+    words = {"a": 4 * 10**9, "b": 9 * 10**8, "c": 20_000, "d": 2500, "e": 1500}
+    sizes = spark.createDataFrame([(k, "0" + k, n) for k, n in words.items()], "source string, _key string, source_size long")
+    for r in mixing.plan(sizes, None, 8).collect():
+        assert r._quota * r._block == pytest.approx(r.target, rel=0.02)
