@@ -4,8 +4,11 @@ One camera may hold a large share of all rows, and a tracker is sequential. So
 a camera's frames are cut into segments of bounded length that run in parallel.
 Each segment first replays a few frames before its start to guess the tracks
 alive there. The guess is then compared with how the segment before really
-ended: segments that guessed wrong run again from the real state, until none
-is left. The result is exactly that of one tracker reading all frames in order.
+ended. From the first wrong guess in a stretch of segments on, one task goes
+through the stretch and runs again what does not start as the segment before
+it ends; stretches grow sixteenfold until no guess is wrong. So guesses that never
+agree cost a few runs over all frames, not one per segment. The result is
+exactly that of one tracker reading all frames in order.
 
 Association is by overlap: pairs of live track and detection are taken by
 falling IoU, optionally only when their embeddings are close. A track is
@@ -17,6 +20,7 @@ detections do not advance the tracker unless ``advance_on_empty``.
 from __future__ import annotations
 
 import json
+from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -196,13 +200,24 @@ def _in_order(rows: pa.Table, c: Columns) -> pa.Table:
     return rows.sort_by([(c.frame, "ascending"), (c.id, "ascending")])
 
 
+def _vectors(column: pa.ChunkedArray) -> list[np.ndarray | None]:
+    """The lists of a column, each as an array."""
+    out: list[np.ndarray | None] = []
+    for chunk in column.chunks:
+        values = chunk.values.to_numpy(zero_copy_only=False)
+        at = chunk.offsets.to_numpy().tolist()
+        here = chunk.is_valid().to_pylist()
+        out += [values[lo:hi] if there else None for lo, hi, there in zip(at, at[1:], here)]
+    return out
+
+
 def run_sorted(tracker: Tracker, rows: pa.Table, c: Columns) -> tuple[np.ndarray, np.ndarray]:
     """Feed sorted rows frame by frame: reference and confirmation of each."""
     boxes = np.stack([rows[name].to_numpy().astype(float) for name in c.box], axis=1)
     if c.sized:
         boxes[:, 2:] += boxes[:, :2]
     ids, frames = rows[c.id].to_numpy(), rows[c.frame].to_numpy()
-    embeddings = None if c.embedding is None else rows[c.embedding].to_pylist()
+    embeddings = None if c.embedding is None else _vectors(rows[c.embedding])
     refs = np.empty(len(ids), dtype=np.int64)
     confirmed = np.empty(len(ids), dtype=bool)
     edges = np.flatnonzero(np.diff(frames)) + 1
@@ -226,6 +241,8 @@ def _table(columns: dict, like: pa.Table, names: list[str], length: int) -> pa.T
 
 _STATE = ["_start", "_end", "_state", "_born"]
 _STATE_DDL = "_start string, _end string, _state string, _born bigint"
+#: Segments that one task goes through when guesses were wrong, at first, and how this grows.
+STRETCH = 16
 
 
 def _segment(rows: pa.Table, given: str | None, key: tuple, s: Settings, c: Columns, out: list[str]) -> pa.Table:
@@ -295,6 +312,22 @@ def _whole(rows: DataFrame, s: Settings, c: Columns) -> DataFrame:
     return spread(rows, c.camera).groupBy(c.camera).applyInArrow(run, schema)
 
 
+def _by_segment(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[dict, pa.Table]]:
+    """The description and the rows of each segment; a description opens the rows up to the next one."""
+    about, held = None, []
+    for batch in batches:
+        opens = np.flatnonzero(batch.column("_end").is_valid().to_numpy(zero_copy_only=False)).tolist()
+        at = 0
+        for o in opens:
+            held.append(batch.slice(at, o - at))
+            if about is not None:
+                yield about, pa.Table.from_batches(held)
+            about, held, at = batch.slice(o, 1).to_pylist()[0], [], o + 1
+        held.append(batch.slice(at))
+    if about is not None:
+        yield about, pa.Table.from_batches(held)
+
+
 class _Segments:
     """Runs segments in parallel, repairs wrong guesses and joins the names."""
 
@@ -324,13 +357,14 @@ class _Segments:
 
     def solve(self) -> DataFrame:
         states = self._first_round()
-        number = 0
+        number, length = 0, STRETCH
         while True:
-            wrong = self._wrong(states)
+            wrong = self._wrong(states, length)
             if wrong.isEmpty():
                 break
             number += 1
-            states = self._again(states, wrong, number)
+            states = self._again(states, wrong, number, length)
+            length *= STRETCH
         return self._named(states)
 
     def _write(self, runs: DataFrame, number: int) -> DataFrame:
@@ -355,37 +389,68 @@ class _Segments:
         line = Window.partitionBy(c.camera).orderBy("_segment")
         before = self.spark.read.parquet(f"{self.path}/round=0").where(
             F.col("_end").isNotNull()
-        ).select(c.camera, "_segment", F.lag("_segment").over(line).alias("_before"))
+        ).select(
+            c.camera, "_segment", F.lag("_segment").over(line).alias("_before"),
+            (F.row_number().over(line) - 1).cast("bigint").alias("_number"),
+        )
         return cut_lineage(found.join(before, [c.camera, "_segment"]))
 
-    def _wrong(self, states: DataFrame) -> DataFrame:
-        """Segments whose start differs from the end of the segment before."""
+    def _wrong(self, states: DataFrame, length: int) -> DataFrame:
+        """The first segment of each stretch whose start differs from the end of the segment before, with that end."""
         c = self.c
         ends = states.select(
             c.camera, F.col("_segment").alias("_before"), F.col("_end").alias("_real"),
             F.col("_state").alias("_given"),
         )
-        return (
+        wrong = (
             states.where(F.col("_before").isNotNull())
             .join(ends, [c.camera, "_before"])
             .where(F.col("_start") != F.col("_real"))
-            .select(c.camera, "_segment", "_given")
+        )
+        stretch = F.floor(F.col("_number") / F.lit(length)).cast("bigint")
+        return cut_lineage(
+            wrong.groupBy(c.camera, stretch.alias("_stretch"))
+            .agg(F.min_by(F.struct("_segment", "_real", "_given"), "_segment").alias("_w"))
+            .select(c.camera, "_stretch", F.col("_w._segment").alias("_from"), "_w._real", "_w._given")
         )
 
-    def _again(self, states: DataFrame, wrong: DataFrame, number: int) -> DataFrame:
+    def _again(self, states: DataFrame, wrong: DataFrame, number: int, length: int) -> DataFrame:
+        """Goes through the stretches from their first wrong segment on, a batch of rows at a time."""
         c, s, names = self.c, self.s, self.out.names
-        keys = [c.camera, "_segment"]
-        wrong = cut_lineage(wrong)
-        first = self.spark.read.schema(self.out).parquet(f"{self.path}/round=0").where(F.col("_end").isNull())
-        rows = first.select(*self.rows.columns).join(wrong.select(*keys), keys, "left_semi").withColumn("_warm", F.lit(False))
-
-        def run(key: tuple, rows: pa.Table, given: pa.Table) -> pa.Table:
-            return _segment(rows, given["_given"][0].as_py(), key, s, c, names)
+        keys, within = [c.camera, "_segment"], [c.camera, "_stretch"]
+        placed = states.withColumn("_stretch", F.floor(F.col("_number") / F.lit(length)).cast("bigint"))
+        states_of = placed.join(wrong, within).where(F.col("_segment") >= F.col("_from"))
+        first = F.col("_segment") == F.col("_from")
+        known = states_of.select(
+            *within, "_segment", "_start", "_end", "_state", "_born",
+            *[F.when(first, F.col(n)).alias(n) for n in ("_real", "_given")],
+        )
+        rows = self.spark.read.schema(self.out).parquet(f"{self.path}/round=0").where(F.col("_end").isNull())
+        rows = rows.select(*self.rows.columns).join(F.broadcast(states_of.select(*keys, "_stretch")), keys)
+        # A segment's description comes before its rows.
+        parts = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
+        order = [*within, "_segment", F.col("_end").isNull(), c.frame, c.id]
+        dealt = known.unionByName(rows, allowMissingColumns=True).repartition(parts, *within).sortWithinPartitions(*order)
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            real, given, stretch = None, None, None
+            for about, own in _by_segment(batches):
+                here = (about[c.camera], about["_stretch"])
+                if here != stretch:
+                    stretch, real, given = here, about["_real"], about["_given"]
+                if about["_start"] == real:
+                    real, given = about["_end"], about["_state"]
+                    continue
+                found = _segment(
+                    own.append_column("_warm", pa.array(np.zeros(own.num_rows, dtype=bool))), given,
+                    (None, pa.scalar(about["_segment"])), s, c, names,
+                )
+                real, given = (found[n][found.num_rows - 1].as_py() for n in ("_end", "_state"))
+                yield from found.to_batches()
 
-        states_of = spread(wrong.select(*keys, "_given"), *keys).groupBy(*keys)
-        runs = spread(rows, *keys).groupBy(*keys).cogroup(states_of).applyInArrow(run, self.out)
-        repaired = self._write(runs, number).join(states.select(*keys, "_before"), keys)
-        kept = states.join(wrong.select(*keys), keys, "left_anti")
+        runs = dealt.mapInArrow(run, self.out)
+        repaired = self._write(runs, number).join(states.select(*keys, "_before", "_number"), keys)
+        kept = states.join(repaired.select(*keys), keys, "left_anti")
         return cut_lineage(kept.unionByName(repaired))
 
     def _named(self, states: DataFrame) -> DataFrame:
