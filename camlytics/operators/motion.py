@@ -49,7 +49,13 @@ class _Moving(_Track):
     # id, updates since the one before, x, y, shape and height of each remembered detection; their embeddings.
     trail: list = field(default_factory=list)
     gallery: list = field(default_factory=list)
-    state: np.ndarray | None = None  # rows: value, velocity, variances of both and their covariance
+    # Filters started on each remembered detection, the oldest first: value, velocity, variances of both and their covariance.
+    filters: np.ndarray | None = None
+    looks: list = field(default_factory=list)  # the embeddings with their lengths, as far as they were needed
+
+    @property
+    def state(self) -> np.ndarray | None:
+        return None if self.filters is None else self.filters[:, :, 0]
 
 
 def _measured(box) -> list[float]:
@@ -61,8 +67,10 @@ def _measured(box) -> list[float]:
 
 def _scaled(heights: np.ndarray, share: float, shape: float) -> np.ndarray:
     """Variances for center, shape and height, by track."""
-    by_height = np.square(share * heights)
-    return np.stack([by_height, by_height, np.full(len(heights), shape * shape), by_height])
+    out = np.empty((4, len(heights)))
+    out[:] = np.square(share * heights)
+    out[2] = shape * shape
+    return out
 
 
 def _first(z: np.ndarray) -> np.ndarray:
@@ -84,12 +92,12 @@ def _foretold(state: np.ndarray, updates: np.ndarray) -> np.ndarray:
     n = updates.astype(float)
     value = _scaled(x[3], POSITION_NOISE, SHAPE_NOISE["moved"])
     velocity = _scaled(x[3], VELOCITY_NOISE, SHAPE_NOISE["velocity"])
-    return np.stack([
-        x + n * v, v,
-        p + 2 * n * c + n * n * q + n * value + velocity * (n - 1) * n * (2 * n - 1) / 6,
-        q + n * velocity,
-        c + n * q + velocity * n * (n - 1) / 2,
-    ])
+    out = np.empty(state.shape)
+    out[0], out[1] = x + n * v, v
+    out[2] = p + 2 * n * c + n * n * q + n * value + velocity * (n - 1) * n * (2 * n - 1) / 6
+    out[3] = q + n * velocity
+    out[4] = c + n * q + velocity * n * (n - 1) / 2
+    return out
 
 
 def _spread(state: np.ndarray) -> np.ndarray:
@@ -101,7 +109,10 @@ def _corrected(state: np.ndarray, z: np.ndarray) -> np.ndarray:
     x, v, p, q, c = state
     spread = _spread(state)
     off = z - x
-    return np.stack([x + p / spread * off, v + c / spread * off, p - p * p / spread, q - c * c / spread, c - p * c / spread])
+    out = np.empty(state.shape)
+    out[0], out[1] = x + p / spread * off, v + c / spread * off
+    out[2], out[3], out[4] = p - p * p / spread, q - c * c / spread, c - p * c / spread
+    return out
 
 
 def _settled(trails: list[list]) -> np.ndarray:
@@ -119,6 +130,35 @@ def _settled(trails: list[list]) -> np.ndarray:
     return state
 
 
+def _look(vector) -> tuple[np.ndarray, float] | None:
+    """The vector and its length; None for one that is missing or zero."""
+    if vector is None:
+        return None
+    out = np.asarray(vector, dtype=float)
+    norm = np.linalg.norm(out)
+    return (out, norm) if norm > 0 else None
+
+
+def _advanced(tracks: list[_Moving], memory: int) -> None:
+    """Moves the tracks' filters on to their last detection, which starts one more; filters of forgotten detections end."""
+    seen = np.array([t.trail[-1] for t in tracks], dtype=float)
+    older = [t for t in tracks if t.filters is not None]
+    new = _first(seen[:, 2:].T)
+    if older:
+        kept = [t.filters[:, :, 1:] if t.filters.shape[2] == memory else t.filters for t in older]
+        sizes = [k.shape[2] for k in kept]
+        mine = np.repeat([k for k, t in enumerate(tracks) if t.filters is not None], sizes)
+        moved = _corrected(_foretold(np.concatenate(kept, axis=2), seen[mine, 1]), seen[mine, 2:].T)
+        edges = np.cumsum([0, *sizes]).tolist()
+    at = 0
+    for k, t in enumerate(tracks):
+        own = new[:, :, k : k + 1]
+        if t.filters is not None:
+            own = np.concatenate([moved[:, :, edges[at] : edges[at + 1]], own], axis=2)
+            at += 1
+        t.filters = own
+
+
 def assign(costs: np.ndarray) -> list[tuple[int, int]]:
     """Pairs (row, column) of least total cost that use up all rows or all columns.
 
@@ -154,10 +194,27 @@ def assign(costs: np.ndarray) -> list[tuple[int, int]]:
 
 def _matched(costs: np.ndarray, most: float) -> Iterator[tuple[int, int]]:
     """The assignment's pairs that cost at most ``most``; dearer ones all count as a little more than that."""
-    if costs.size:
-        for t, d in assign(np.where(costs > most, most + _REJECTED, costs)):
-            if costs[t, d] <= most:
-                yield t, d
+    near = costs <= most
+    rows, columns = np.flatnonzero(near.any(axis=1)), np.flatnonzero(near.any(axis=0))
+    if not len(rows):
+        return
+    dear = np.where(near, costs, most + _REJECTED)
+    taken = costs[near].tolist()
+    if len(set(taken)) < len(taken):
+        # Equal costs: which of equal totals is found depends on all rows and columns.
+        rows, columns = np.arange(costs.shape[0]), np.arange(costs.shape[1])
+    # Rows and columns without a pair to take change nothing.
+    part = dear[rows][:, columns]
+    if len(rows) == 1:
+        pairs = [(0, int(part.argmin()))]
+    elif len(columns) == 1:
+        pairs = [(int(part.argmin()), 0)]
+    else:
+        pairs = assign(part)
+    for r, c in pairs:
+        t, d = int(rows[r]), int(columns[c])
+        if near[t, d]:
+            yield t, d
 
 
 class MotionTracker(Tracker):
@@ -170,30 +227,32 @@ class MotionTracker(Tracker):
         if not free or not len(boxes):
             return
         z = np.array([_measured(b) for b in boxes]).T
-        state = _foretold(
-            np.stack([self.tracks[t].state for t in free], axis=2), np.array([self.tracks[t].missed for t in free])
-        )
-        apart = (np.square(z[:, None, :] - state[0][:, :, None]) / _spread(state)[:, :, None]).sum(axis=0)
-        if embeddings is None:
-            costs, most = apart, self.settings.gate
-        else:
-            costs, most = self._unlike([self.tracks[t] for t in free], embeddings), self.settings.max_cosine_distance
-            costs = np.where(apart > self.settings.gate, np.inf, costs)
+        tracks = [self.tracks[t] for t in free]
+        state = _foretold(np.stack([t.state for t in tracks], axis=2), np.array([t.missed for t in tracks]))
+        ages = np.array([t.missed if self._confirmed(t) else 0 for t in tracks])
+        costs = (np.square(z[:, None, :] - state[0][:, :, None]) / _spread(state)[:, :, None]).sum(axis=0)
+        most = self.settings.gate
+        if embeddings is not None:
+            near = (costs <= most) & (ages > 0)[:, None]
+            most = self.settings.max_cosine_distance
+            costs = self._unlike(tracks, embeddings, near)
         open_ = np.ones(len(boxes), dtype=bool)
-        ages = np.array([self.tracks[t].missed if self._confirmed(self.tracks[t]) else 0 for t in free])
         matched = np.zeros(len(free), dtype=bool)
 
         def taken(rows: np.ndarray, of: np.ndarray, limit: float):
             columns = np.flatnonzero(open_)
-            for r, c in _matched(of[np.ix_(rows, columns)], limit):
+            for r, c in _matched(of[:, columns], limit):
                 open_[columns[c]] = False
                 matched[rows[r]] = True
                 yield free[rows[r]], int(columns[c])
 
-        for age in np.unique(ages[ages > 0]):
-            yield from taken(np.flatnonzero(ages == age), costs, most)
+        hopeful = (ages > 0) & (costs <= most).any(axis=1)
+        for age in np.unique(ages[hopeful]):
+            rows = np.flatnonzero(hopeful & (ages == age))
+            yield from taken(rows, costs[rows], most)
         rest = np.flatnonzero((ages <= 1) & ~matched)
-        yield from taken(rest, 1 - self._overlap(state[0], boxes), 1 - self.settings.min_iou)
+        if len(rest) and open_.any():
+            yield from taken(rest, 1 - self._overlap(state[0][:, rest], boxes), 1 - self.settings.min_iou)
 
     @staticmethod
     def _overlap(x: np.ndarray, boxes: np.ndarray) -> np.ndarray:
@@ -206,38 +265,37 @@ class MotionTracker(Tracker):
         return np.divide(shared, union, out=np.zeros_like(shared), where=union > 0)
 
     @staticmethod
-    def _unlike(tracks: list[_Moving], embeddings) -> np.ndarray:
-        """Cosine distance of each detection to the nearest embedding of each track.
+    def _unlike(tracks: list[_Moving], embeddings, near: np.ndarray) -> np.ndarray:
+        """Cosine distance of each detection to the nearest embedding of each track, of the pairs marked as ``near``; infinite for others.
 
         One without an embedding, or with a zero one, may be anything: distance 0.
+        Products are formed pair by pair, so that equal embeddings are equally far wherever they stand.
         """
-        def unit(vectors: list) -> np.ndarray:
-            size = max((len(v) for v in vectors if v is not None), default=1)
-            out = np.array([v if v is not None else [0.0] * size for v in vectors], dtype=float)
-            norm = np.linalg.norm(out, axis=1, keepdims=True)
-            return np.divide(out, norm, out=np.zeros_like(out), where=norm > 0)
-
-        seen = unit([e for t in tracks for e in t.gallery] + list(embeddings))
-        here = seen[len(seen) - len(embeddings) :]
-        edges = np.cumsum([0, *[len(t.gallery) for t in tracks]])
-        like = np.where((here != 0).any(axis=1)[None, :] & (seen != 0).any(axis=1)[:, None], seen @ here.T, 1.0)
-        return np.stack([1 - like[a:b].max(axis=0) for a, b in zip(edges, edges[1:])])
+        out = np.full(near.shape, np.inf)
+        here = [_look(e) if wanted else None for e, wanted in zip(embeddings, near.any(axis=0))]
+        for t in np.flatnonzero(near.any(axis=1)):
+            track = tracks[t]
+            track.looks += [_look(e) for e in track.gallery[len(track.looks):]]
+            out[t, near[t]] = 0.0
+            known = [d for d in np.flatnonzero(near[t]).tolist() if here[d] is not None]
+            if known and None not in track.looks:
+                seen, own = np.stack([v for v, _ in track.looks]), np.stack([here[d][0] for d in known])
+                like = np.vecdot(seen[:, None, :], own[None]) / np.array([n for _, n in track.looks])[:, None]
+                out[t, known] = 1 - (like / np.array([here[d][1] for d in known])).max(axis=0)
+        return out
 
     def _observe(self, track: _Moving, name: int, box, embedding) -> None:
-        super()._observe(track, name, box, embedding)
-        track.embedding = None
+        super()._observe(track, name, box, None)
         memory = self.settings.memory
         track.trail = [*track.trail, [name, track.gap, *_measured(box)]][-memory:]
-        track.gallery = [*track.gallery, None if embedding is None else [float(v) for v in embedding]][-memory:]
-        track.state = None
+        track.gallery = [*track.gallery, embedding]
+        if len(track.gallery) > memory:
+            track.gallery, track.looks = track.gallery[-memory:], track.looks[1:]
 
     def _observed(self, tracks: list[_Moving]) -> None:
         """Filters of the tracks that were just seen, all at once."""
-        tracks = [t for t in tracks if t.state is None]
         if tracks:
-            states = _settled([t.trail for t in tracks])
-            for k, t in enumerate(tracks):
-                t.state = states[:, :, k]
+            _advanced(tracks, self.settings.memory)
 
     def signature(self) -> str:
         self._close()
@@ -247,10 +305,19 @@ class MotionTracker(Tracker):
         return json.dumps([last, rows])
 
     def _saved(self, track: _Moving) -> list:
-        return [*super()._saved(track), track.trail, track.gallery]
+        gallery = [None if e is None else [float(v) for v in e] for e in track.gallery]
+        return [*super()._saved(track), track.trail, gallery]
 
     @classmethod
     def load(cls, settings: Settings, state: str | None) -> Tracker:
         tracker = super().load(settings, state)
-        tracker._observed(tracker.tracks)
+        # Only the last ones are looked at again: a trail is remembered from its oldest detection on.
+        trails = [t.trail for t in tracker.tracks]
+        for step in range(max(map(len, trails), default=0)):
+            some = [t for t, trail in zip(tracker.tracks, trails) if step < len(trail)]
+            for t, trail in zip(tracker.tracks, trails):
+                t.trail = trail[: step + 1]
+            _advanced(some, settings.memory)
+        for t, trail in zip(tracker.tracks, trails):
+            t.trail = trail
         return tracker

@@ -252,3 +252,40 @@ def test_segments_query_equals_one_run(spark):
     """Four segments a camera, guessed, repaired and joined, against one run over all frames."""
     sf = "/root/testdata/sf0.01"
     assert tracked(QUERIES["track_segments"](spark, sf)) == tracked(QUERIES["track_objects_boxes"](spark, sf))
+
+
+def test_guesses_that_never_agree_take_few_rounds(spark, monkeypatch):
+    """A track remembered from its first frame on is guessed by no segment; stretches of segments are run through, not one a round."""
+    df = spark.createDataFrame([(f, 1, f, 0, 0, 9, 9, None, 0) for f in range(200)], SCHEMA)
+    rounds, again = [], track._Segments._again
+
+    def counted(self, *args):
+        rounds.append(args)
+        return again(self, *args)
+
+    monkeypatch.setattr(track._Segments, "_again", counted)
+    settings = motion.Motion(memory=1000)
+    got = track.track_objects(df, settings, segment_frames=5, warm_up=2).collect()
+    assert len(got) == 200 and {r.track_id for r in got} == {1}
+    assert len(rounds) == 2
+
+
+def test_an_update_moves_each_filter_once(monkeypatch):
+    """Filters go on from where they are and are those of whole trails, also when the oldest detections are forgotten."""
+    steps, corrected = [], motion._corrected
+    monkeypatch.setattr(motion, "_corrected", lambda *args: steps.append(1) or corrected(*args))
+    tracker, rnd = motion.MotionTracker(SMALL), random.Random(2)
+    for frame in range(40):
+        tracker.update(frame, [2 * frame, 2 * frame + 1], np.array([[frame + rnd.random(), 0, frame + 20, 30], [500, 0, 520 + rnd.random(), 30]]))
+    assert tracker.next_ref == 2 and len(steps) == 39
+    assert np.array_equal(np.stack([t.state for t in tracker.tracks], axis=2), motion._settled([t.trail for t in tracker.tracks]))
+
+
+def test_equal_looks_are_equally_far():
+    rnd = np.random.default_rng(1)
+    a, b = motion._Moving(0, 0, 3, 1, []), motion._Moving(1, 1, 3, 1, [])
+    look = rnd.normal(size=64)
+    a.gallery, b.gallery = [*rnd.normal(size=(7, 64)), look], [look, *rnd.normal(size=(2, 64))]
+    for n in range(1, 12):
+        far = motion.MotionTracker._unlike([a, b], [look] * n, np.ones((2, n), dtype=bool))
+        assert len(set(far.ravel().tolist())) == 1
