@@ -16,6 +16,7 @@ from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 from camlytics.operators import windows
 from camlytics.operators.parse import class_or_unknown
 from camlytics.operators.track import Columns, Settings, _with_fields, run_sorted
+from camlytics.streaming import spilled
 
 
 def rates(frames: DataFrame, width: int = 5, *, ts: str = "ts", delay: str = "10 seconds") -> DataFrame:
@@ -49,7 +50,7 @@ def track_objects(detections: DataFrame, settings: Settings = Settings(), column
     """The tracker as a stream, with the ids of the batch operator.
 
     State is the live tracks of each camera. A batch's rows are put in frame
-    order. A frame may go on in the next batch, as when a file ends inside it:
+    order, by sorted runs on disk if there are many. A frame may go on in the next batch, as when a file ends inside it:
     its further detections join tracks that have none in it yet. Rows of
     earlier frames come too late to be tracked and are emitted without a track,
     marked ``late``. Rows without camera, frame, id or box never reach the
@@ -67,16 +68,17 @@ def track_objects(detections: DataFrame, settings: Settings = Settings(), column
     names = out.names
 
     def advance(key: tuple, batches: Iterable[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        rows = pd.concat(list(batches)).sort_values([c.frame, c.id], kind="stable")
         tracker = settings.tracker(state.get[0] if state.exists else None)
-        late = pd.Series(False, index=rows.index) if tracker.last_frame is None else rows[c.frame] < tracker.last_frame
-        fresh = rows[~late]
-        if len(fresh):
-            used = [c.frame, c.id, *c.box, *([c.embedding] if c.embedding else [])]
-            refs, confirmed = run_sorted(tracker, pa.Table.from_pandas(fresh[used], preserve_index=False), c)
-            yield fresh.assign(track_id=refs + 1, is_confirmed=confirmed, late=False)[names]
-        if late.any():
-            yield rows[late].assign(track_id=None, is_confirmed=None, late=True)[names]
+        last = tracker.last_frame
+        for rows in spilled.in_order(batches, [c.frame, c.id]):
+            late = pd.Series(False, index=rows.index) if last is None else rows[c.frame] < last
+            fresh = rows[~late]
+            if len(fresh):
+                used = [c.frame, c.id, *c.box, *([c.embedding] if c.embedding else [])]
+                refs, confirmed = run_sorted(tracker, pa.Table.from_pandas(fresh[used], preserve_index=False), c)
+                yield fresh.assign(track_id=refs + 1, is_confirmed=confirmed, late=False)[names]
+            if late.any():
+                yield rows[late].assign(track_id=None, is_confirmed=None, late=True)[names]
         state.update((tracker.dump(),))
 
     as_text = detections.withColumns({n: F.col(n).cast("string") for n in texts}) if texts else detections
