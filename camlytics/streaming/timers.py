@@ -3,13 +3,15 @@
 Two kinds of operators. The first put rows in event-time order: rows wait in
 the state until the watermark has passed them, then go on sorted, so the result
 is that of the batch operator on all rows up to the watermark, however the
-stream is cut into batches. An event-time timer wakes a camera that is silent.
-Rows later than the watermark are dropped, as everywhere in Spark. The second
+stream is cut into batches. A camera's own newest time already tells how far the next
+watermark will be at least: rows up to there go on at once, so that a large
+batch never waits in the state. An event-time timer wakes a camera that is silent.
+Rows later than the watermark, or than that, are dropped. The second
 hold the latest rows and say at once what changed.
 
 State is bounded: rows within ``delay`` of the newest, a ring of N rows, or one
 row. A camera is one state, as in every keyed stream; a batch of a camera is
-taken in parts, never as a whole.
+taken in parts, never as a whole, and put in order by sorted runs on disk.
 """
 
 from __future__ import annotations
@@ -18,6 +20,7 @@ import heapq
 import json
 from collections.abc import Callable, Iterable, Iterator
 from functools import partial
+from itertools import chain, islice
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -25,19 +28,30 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from camlytics.schemas import CAMERA_IDS
+from camlytics.streaming import spilled
 
 MICROS = 1_000_000
 #: How rows lie in a state: with nulls, and times to the microsecond.
 JSON = {
     "ignoreNullFields": "false", "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX", "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS",
 }
-Step = Callable[[dict, int | None, list], Iterator[tuple]]
+Step = Callable[[dict, int | None, Iterable], Iterator[tuple]]
+#: Rows of a result that are handed on at a time.
+ROWS = 10_000
 
 
 def _micros(at: Column) -> Column:
     return F.unix_micros(at.cast("timestamp"))
 
 
+def _span(delay: str) -> int | None:
+    """Microseconds of a delay; None if it is no plain time, as months are not."""
+    try:
+        return int(pd.Timedelta(delay) / pd.Timedelta(microseconds=1))
+    except ValueError:
+        return None
+
+
 def _times(df: DataFrame, *names: str) -> DataFrame:
     """Microsecond numbers as the wall-clock times they were made from."""
     return df.withColumns({n: F.timestamp_micros(n).cast("timestamp_ntz") for n in names})
@@ -47,33 +61,57 @@ def _in_order(rows: DataFrame, delay: str, values: list[str], schema: str, begin
     """Runs ``step`` over each camera's rows in event-time order, equal times by ``values``.
 
     ``rows`` has camera_id, ts and ``values``. ``step(memory, upto, rows)`` gets
-    the rows (micros, values) that the watermark has passed, sorted, and the
-    watermark itself, changes the memory, yields rows of the result and leaves
+    the rows (micros, values) that the watermark has passed or is sure to pass
+    next, sorted, and that time itself, changes the memory, yields rows of the result and leaves
     in ``memory["wake"]`` the time at which it wants to run again, or None.
     """
     keyed = rows.withColumn("ts", F.col("ts").cast("timestamp")).withWatermark("ts", delay).withColumns({
         "_at": _micros(F.col("ts")), "_row": F.to_json(F.struct(*(values or ["ts"])), JSON),
-    }).select("camera_id", "ts", "_at", "_row")
+    }).where("_at is not null").select("camera_id", "ts", "_at", "_row")
+    behind = _span(delay)
+    names = [c.split()[0] for c in f"camera_id int, {schema}".split(", ")]
 
     def advance(key: tuple, batches: Iterable[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         memory = json.loads(state.get[0]) if state.exists else {**begin, "waiting": [], "wake": None}
-        upto = state.getCurrentWatermarkMs() * 1000
-        rows = [(at, json.loads(row)) for at, row in memory["waiting"]]
-        for part in batches:
-            rows += zip(part["_at"].tolist(), map(json.loads, part["_row"]))
-        # Nulls last among equal times.
-        rows.sort(key=lambda r: (r[0], [(v is None, v if v is not None else 0) for v in r[1].values()]))
-        passed = sum(at <= upto for at, _ in rows)
-        waiting = rows[passed:]
-        out = list(step(memory, upto, rows[:passed]))
-        memory["waiting"] = [(at, json.dumps(row)) for at, row in waiting]
+        upto, done = state.getCurrentWatermarkMs() * 1000, memory.get("done")
+        times = [upto]
+
+        def arrived() -> Iterator[pd.DataFrame]:
+            if memory["waiting"]:
+                yield pd.DataFrame(memory["waiting"], columns=["_at", "_row"])
+            for part in batches:
+                part = part[["_at", "_row"]] if done is None else part.loc[part["_at"] > done, ["_at", "_row"]]
+                if len(part):
+                    if behind is not None:
+                        times[0] = max(times[0], int(part["_at"].max()) // 1000 * 1000 - behind)
+                    yield part
+
+        parts = spilled.in_order(arrived(), ["_at"])
+        first = next(parts, None)
+        until, waiting = max(times[0], done if done is not None else 0), []
+
+        def passed() -> Iterator[tuple]:
+            for part in chain([] if first is None else [first], parts):
+                rows = [(at, json.loads(row)) for at, row in zip(part["_at"].tolist(), part["_row"])]
+                # Nulls last among equal times.
+                rows.sort(key=lambda r: (r[0], [(v is None, v if v is not None else 0) for v in r[1].values()]))
+                for at, row in rows:
+                    if at <= until:
+                        yield at, row
+                    else:
+                        waiting.append((at, json.dumps(row)))
+
+        found, ready = step(memory, until, passed()), True
+        while ready:
+            ready = list(islice(found, ROWS))
+            if ready:
+                yield pd.DataFrame([(key[0], *row) for row in ready], columns=names)
+        memory.update(waiting=waiting, done=until)
         state.update((json.dumps(memory),))
         due = [at for at in (memory["wake"], waiting[0][0] if waiting else None) if at is not None]
         if due:
             # The timer fires once the watermark is beyond it; times are rounded up to the millisecond.
             state.setTimeoutTimestamp(max(-(-min(due) // 1000), upto // 1000 + 1))
-        if out:
-            yield pd.DataFrame([(key[0], *row) for row in out], columns=[c.split()[0] for c in f"camera_id int, {schema}".split(", ")])
 
     return keyed.groupBy("camera_id").applyInPandasWithState(
         advance, f"camera_id int, {schema}", "memory string", "append", GroupStateTimeout.EventTimeTimeout
@@ -83,7 +121,7 @@ def _in_order(rows: DataFrame, delay: str, values: list[str], schema: str, begin
 # Liveness -----------------------------------------------------------------------
 
 
-def _alive(limit: int, memory: dict, upto: int, rows: list) -> Iterator[tuple]:
+def _alive(limit: int, memory: dict, upto: int, rows: Iterable) -> Iterator[tuple]:
     for at, _ in rows:
         last = memory["last"]
         if last is not None and at > last + limit and memory["status"] == "active":
@@ -112,7 +150,7 @@ def liveness(frames: DataFrame, seconds: int = 10, delay: str = "10 seconds") ->
 # Alerts --------------------------------------------------------------------------
 
 
-def _lives(seconds: int, memory: dict, upto: int, rows: list) -> Iterator[tuple]:
+def _lives(seconds: int, memory: dict, upto: int, rows: Iterable) -> Iterator[tuple]:
     up = [tuple(u) for u in memory["up"]]
     for at, row in rows:
         yield "raised", at, *row.values()
@@ -138,7 +176,7 @@ def alert_events(alerts: DataFrame, seconds: int = 10, delay: str = "10 seconds"
 # Rates with silent cameras ---------------------------------------------------------
 
 
-def _windows(width: int, memory: dict, upto: int, rows: list) -> Iterator[tuple]:
+def _windows(width: int, memory: dict, upto: int, rows: Iterable) -> Iterator[tuple]:
     size = width * MICROS
     for at, row in rows:
         start = at // size * size
@@ -194,7 +232,7 @@ def rates(frames: DataFrame, width: int = 5, delay: str = "10 seconds", cameras=
 # Snapshots ------------------------------------------------------------------------
 
 
-def _counted(every: int, memory: dict, upto: int, rows: list) -> Iterator[tuple]:
+def _counted(every: int, memory: dict, upto: int, rows: Iterable) -> Iterator[tuple]:
     for at, row in rows:
         memory["messages"] += 1
         memory["detections"] += row["total_detections"]
