@@ -191,8 +191,8 @@ def gradient(weights: np.ndarray, vocabulary_: Vocabulary, rows: np.ndarray, ids
     asked, seen = rows[:, CONTEXT - 1 : -1].ravel(), rows[:, :-1].ravel()
 
     def table(where: np.ndarray, what: np.ndarray) -> np.ndarray:
-        what = what.reshape(-1, WIDTH)
-        return np.stack([np.bincount(where, weights=what[:, j], minlength=INPUTS + 1) for j in range(WIDTH)], 1)
+        places = where[:, None] * WIDTH + np.arange(WIDTH)
+        return np.bincount(places.ravel(), weights=what.ravel(), minlength=(INPUTS + 1) * WIDTH)
 
     bias = np.bincount(np.broadcast_to(_BACK, ds.shape[1:]).ravel(), weights=np.where(_AHEAD, 0, ds.sum(axis=0)).ravel(), minlength=WINDOW)
     grads = {

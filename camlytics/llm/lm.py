@@ -4,9 +4,9 @@ Counts come from every training text: words for the base score, subword ids and
 which id follows which for the output shares of the attention model. The
 model's weights are trained where the data lies: each round, every task goes
 over its own windows from the same weights, and the tasks' weights are averaged
-by the number of windows. ``ROUNDS`` of every ``EVERY`` windows of each
-training text are trained on, from a seeded place of each text, so
-training grows with the corpus and covers all of it evenly.
+by the number of windows. All windows of all training texts are trained on, half
+of them in each round; a caller may ask for ``rounds`` of every ``every`` windows,
+from a seeded place of each text.
 
 Scoring cuts a text's ids into overlapping windows, in which each id is scored
 once with the ids before it as context.
@@ -28,7 +28,7 @@ from camlytics.llm import attention
 from camlytics.llm.common import id_remainder, mix, most_counted, slices, stored, worker_memory
 
 FOLDS, HELD_OUT = 7, 2
-EVERY, ROUNDS = 36, 2
+EVERY, ROUNDS = 2, 2
 #: Words whose counts every task holds; the counts of rarer words are joined.
 TOP_WORDS = 1 << 17
 KNOWN_WORDS = 400_000
@@ -132,11 +132,16 @@ def _count_ids(path: str):
     return count
 
 
-_SAMPLE = "cell int, n long, round int, rows binary, ids binary"
+_WINDOWS = "cell int, n long, round int, ids binary"
 
 
-def _sample(path: str, vocabulary, every: int, rounds: int):
-    """Counts of which id follows which, over all texts, and the training windows of each round."""
+def _held_as(pieces: _Pieces) -> type:
+    """The smallest numbers that hold every id and -1."""
+    return np.int16 if pieces.size <= 1 << 15 else np.int32
+
+
+def _windows(path: str, vocabulary, every: int, rounds: int):
+    """Counts of which id follows which, over all texts, and the ids of the training windows of each round."""
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pieces, known = _pieces(path), vocabulary.value
@@ -154,35 +159,35 @@ def _sample(path: str, vocabulary, every: int, rounds: int):
                 # Windows at even distances, from a place that the text's hash decides, dealt to the rounds in turn.
                 shift = (draw[done : done + len(part)] % np.uint64(every)).astype(np.int64)
                 done += len(part)
-                rows, held, _ = attention.windows(
+                _, held, _ = attention.windows(
                     ids, begins, known.inputs, lambda place, text: (place + shift[text]) % (every // rounds) == 0
                 )
                 for r in range(rounds):
+                    mine = held[r::rounds].astype(_held_as(pieces))
                     yield pa.record_batch({
-                        "cell": pa.nulls(1, pa.int32()), "n": pa.array([len(rows[r::rounds])], pa.int64()),
-                        "round": pa.array([r], pa.int32()), "rows": pa.array([rows[r::rounds].tobytes()], pa.binary()),
-                        "ids": pa.array([held[r::rounds].tobytes()], pa.binary()),
+                        "cell": pa.nulls(1, pa.int32()), "n": pa.array([len(mine)], pa.int64()),
+                        "round": pa.array([r], pa.int32()), "ids": pa.array([mine.tobytes()], pa.binary()),
                     })
         seen = np.flatnonzero(total)
         nothing = pa.nulls(len(seen), pa.binary())
         yield pa.record_batch({
             "cell": pa.array(seen.astype(np.int32)), "n": pa.array(total[seen].astype(np.int64)),
-            "round": pa.nulls(len(seen), pa.int32()), "rows": nothing, "ids": nothing,
+            "round": pa.nulls(len(seen), pa.int32()), "ids": nothing,
         })
 
     return emit
 
 
-def _trained(vocabulary, weights, seed: int):
+def _trained(path: str, vocabulary, weights, seed: int):
     """The weights after one pass over the task's windows, times the number of windows."""
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own, done = weights.value, 0
         total = np.zeros(len(own))
         for batch in batches:
-            for rows, ids in zip(batch.column(0), batch.column(1)):
-                rows = np.frombuffer(rows.as_py(), dtype=np.int32).reshape(-1, attention.WINDOW)
-                ids = np.frombuffer(ids.as_py(), dtype=np.int32).reshape(-1, attention.WINDOW)
+            for held in batch.column(0):
+                ids = np.frombuffer(held.as_py(), dtype=_held_as(_pieces(path))).astype(np.int32).reshape(-1, attention.WINDOW)
+                rows = np.where(ids < 0, attention.BEGIN, vocabulary.value.inputs[ids])
                 if len(rows):
                     # Later parts of a task's windows move the weights less, like a decaying rate.
                     own = attention.train(own, vocabulary.value, rows, ids, seed=seed)
@@ -222,15 +227,15 @@ def fit(docs: DataFrame, path: str, every: int = EVERY, rounds: int = ROUNDS, se
     counts[pieces.end] += texts
     vocabulary = attention.vocabulary(counts)
     shared = spark.sparkContext.broadcast(vocabulary)
-    sampled = stored(
-        docs.select(F.xxhash64(F.lit(seed), "body"), "body").mapInArrow(_sample(path, shared, every, rounds), _SAMPLE), "windows"
+    windows = stored(
+        docs.select(F.xxhash64(F.lit(seed), "body"), "body").mapInArrow(_windows(path, shared, every, rounds), _WINDOWS), "windows"
     )
-    cells = sampled.where("cell is not null").groupBy("cell").agg(F.sum("n").alias("n")).toPandas()
+    cells = windows.where("cell is not null").groupBy("cell").agg(F.sum("n").alias("n")).toPandas()
     weights = attention.start(vocabulary, seed)
     for r in range(rounds):
         given = spark.sparkContext.broadcast(weights)
-        rows = sampled.where((F.col("round") == r) & (F.col("n") > 0)).select("rows", "ids")
-        summed = rows.mapInArrow(_trained(shared, given, seed + r), "place int, value double, n long").groupBy("place")
+        held = windows.where((F.col("round") == r) & (F.col("n") > 0)).select("ids")
+        summed = held.mapInArrow(_trained(path, shared, given, seed + r), "place int, value double, n long").groupBy("place")
         mean = summed.agg((F.sum("value") / F.sum("n")).alias("w")).toPandas()
         if len(mean):
             weights = np.empty(len(weights))

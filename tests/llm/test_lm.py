@@ -6,6 +6,7 @@ import numpy as np
 import public_tokenizers
 import pytest
 from helpers import empty, odd, words
+from pyspark.sql import functions as F
 
 from camlytics.llm import attention, lm
 from camlytics.llm.queries import SUBWORDS
@@ -121,3 +122,23 @@ def test_gradient():
         e[i] = 1e-2
         slope = (attention.gradient(w + e, v, rows, ids)[0] - attention.gradient(w - e, v, rows, ids)[0]) / 2e-2
         assert slope == pytest.approx(g[i], rel=0.05, abs=1e-5)
+
+
+def test_every_window_of_the_training_texts_is_trained_on(spark, documents, monkeypatch):
+    """By default the stored windows hold each id of each training text once as a scored one."""
+    stored, tables = lm.stored, {}
+
+    def kept(df, name):
+        tables[name] = stored(df, name)
+        return tables[name]
+
+    monkeypatch.setattr(lm, "stored", kept)
+    texts = documents.select(F.coalesce("text", F.lit("")).alias("body"))
+    lm.fit(texts, PATH)
+    held, pieces = tables["windows"].where("ids is not null").select("ids").collect(), lm._pieces(PATH)
+    scored = 0
+    for row in held:
+        ids = np.frombuffer(row.ids, dtype=lm._held_as(pieces)).reshape(-1, attention.WINDOW)
+        scored += int((ids[:, attention.CONTEXT :] >= 0).sum())
+    bodies = [words(r.body) for r in texts.collect()]
+    assert scored == sum(1 + sum(len(pieces.model.encode(w)) for w in words) for words in bodies)
