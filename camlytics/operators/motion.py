@@ -248,7 +248,7 @@ class MotionTracker(Tracker):
 
         hopeful = (ages > 0) & (costs <= most).any(axis=1)
         for age in np.unique(ages[hopeful]):
-            rows = np.flatnonzero(hopeful & (ages == age))
+            rows = np.flatnonzero(ages == age)
             yield from taken(rows, costs[rows], most)
         rest = np.flatnonzero((ages <= 1) & ~matched)
         if len(rest) and open_.any():
