@@ -25,14 +25,20 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from camlytics.llm import attention
-from camlytics.llm.common import id_remainder, mix, most_counted, slices, stored, worker_memory
+from camlytics.llm.common import id_remainder, mix, most_counted, slices, stored, text_batches, text_bytes, worker_memory
 
 FOLDS, HELD_OUT = 7, 2
 EVERY, ROUNDS = 2, 2
 #: Words whose counts every task holds; the counts of rarer words are joined.
 TOP_WORDS = 1 << 17
-KNOWN_WORDS = 400_000
-BATCH_BYTES = 4 << 20
+#: Words whose ids a Python worker remembers before it starts anew.
+KNOWN_WORDS = 1 << 17
+#: Text whose windows are one block of training, and text that is held as words and ids at a time.
+BATCH_BYTES, HELD_BYTES = 4 << 20, 1 << 20
+#: Counts of words that a task adds up before they are shuffled.
+HELD_COUNTS = 1 << 19
+#: Rows handed to a Python worker at a time: texts, and blocks of windows.
+TEXT_ROWS, BLOCK_ROWS = 1000, 4
 
 
 class _Pieces:
@@ -94,6 +100,12 @@ def _pieces(path: str) -> _Pieces:
     return loaded[path]
 
 
+def _emptied() -> None:
+    """Give back what this worker remembers of earlier tasks and does not need now."""
+    worker_memory("pieces").clear()
+    pa.default_memory_pool().release_unused()
+
+
 def _split(texts: pa.Array) -> tuple[pa.DictionaryArray, np.ndarray]:
     """The lower-cased words of the texts, each distinct one held once, and where each text's words begin."""
     lists = pc.ascii_split_whitespace(pc.ascii_lower(texts.fill_null("")))
@@ -110,12 +122,43 @@ def _with_ends(pieces: _Pieces, words: pa.DictionaryArray, first: np.ndarray, nu
     return np.insert(ids, begins[1:], pieces.end), begins + np.arange(len(begins))
 
 
+def _blocks(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.RecordBatch]:
+    """Neighbouring rows of about ``size`` bytes of text together, however the batches are cut.
+
+    Texts are the last column; an empty one counts as much as a short window.
+    """
+    held, number, total = [], 0, 0
+    for batch in batches:
+        ends = total + np.cumsum(np.diff(text_bytes(batch.column(batch.num_columns - 1))[1]) + attention.WINDOW)
+        start, total = 0, int(ends[-1]) if len(ends) else total
+        for edge in np.flatnonzero(np.diff(ends // size, prepend=number)).tolist():
+            held.append(batch.slice(start, edge - start))
+            if sum(map(len, held)):
+                yield pa.concat_batches(held)
+            held, start = [], edge
+        held.append(batch.slice(start))
+        number = total // size
+    if sum(map(len, held)):
+        yield pa.concat_batches(held)
+
+
+def _added(counts: list[pa.RecordBatch]) -> pa.RecordBatch:
+    table = pa.Table.from_batches(counts).group_by("word", use_threads=False).aggregate([("n", "sum")]).combine_chunks()
+    return pa.record_batch({"word": pa.concat_arrays(table["word"].chunks), "n": pa.concat_arrays(table["n_sum"].chunks)})
+
+
 def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    held: list[pa.RecordBatch] = []
     for batch in batches:
-        for part in slices(batch.column(0), 4 * BATCH_BYTES):
+        for part in slices(batch.column(0), HELD_BYTES):
             words, _ = _split(part)
             n = np.bincount(words.indices.to_numpy(), minlength=len(words.dictionary))
-            yield pa.record_batch({"word": words.dictionary.cast(pa.string()), "n": pa.array(n.astype(np.int64))})
+            held.append(pa.record_batch({"word": words.dictionary.cast(pa.string()), "n": pa.array(n.astype(np.int64))}))
+            if sum(map(len, held)) > HELD_COUNTS:
+                yield _added(held)
+                held = []
+    if sum(map(len, held)):
+        yield _added(held)
 
 
 def _count_ids(path: str):
@@ -145,48 +188,51 @@ def _windows(path: str, vocabulary, every: int, rounds: int):
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pieces, known = _pieces(path), vocabulary.value
-        total = np.zeros((attention.INPUTS + 1) * attention.FOLLOWERS, dtype=np.int32)
-        for batch in batches:
-            draw = mix(batch.column(0).to_numpy().view(np.uint64))
-            done = 0
-            for part in slices(batch.column(1), BATCH_BYTES):
+        total = np.zeros((attention.INPUTS + 1) * attention.FOLLOWERS, dtype=np.int64)
+        for block in _blocks(batches, BATCH_BYTES):
+            # Windows at even distances, from a place that the text's hash decides, dealt to the rounds in turn.
+            shifts = (mix(block.column(0).to_numpy().view(np.uint64)) % np.uint64(every)).astype(np.int64)
+            done, held = 0, []
+            for part in slices(block.column(1), HELD_BYTES):
                 words, first = _split(part)
                 ids, begins = _with_ends(pieces, words, first)
                 before = np.concatenate([[attention.BEGIN], known.inputs[ids[:-1]]]) if len(ids) else np.zeros(0, int)
                 before[begins[:-1][begins[:-1] < len(ids)]] = attention.BEGIN
                 cells = attention.cell(known, before, ids)
-                total += np.bincount(cells[cells >= 0], minlength=len(total)).astype(np.int32)
-                # Windows at even distances, from a place that the text's hash decides, dealt to the rounds in turn.
-                shift = (draw[done : done + len(part)] % np.uint64(every)).astype(np.int64)
+                total += np.bincount(cells[cells >= 0], minlength=len(total))
+                shift = shifts[done : done + len(part)]
                 done += len(part)
-                _, held, _ = attention.windows(
+                _, new, _ = attention.windows(
                     ids, begins, known.inputs, lambda place, text: (place + shift[text]) % (every // rounds) == 0
                 )
-                for r in range(rounds):
-                    mine = held[r::rounds].astype(_held_as(pieces))
-                    yield pa.record_batch({
-                        "cell": pa.nulls(1, pa.int32()), "n": pa.array([len(mine)], pa.int64()),
-                        "round": pa.array([r], pa.int32()), "ids": pa.array([mine.tobytes()], pa.binary()),
-                    })
+                held.append(new.astype(_held_as(pieces)))
+            block_windows = np.concatenate(held)
+            for r in range(rounds):
+                mine = block_windows[r::rounds]
+                yield pa.record_batch({
+                    "cell": pa.nulls(1, pa.int32()), "n": pa.array([len(mine)], pa.int64()),
+                    "round": pa.array([r], pa.int32()), "ids": pa.array([mine.tobytes()], pa.binary()),
+                })
         seen = np.flatnonzero(total)
         nothing = pa.nulls(len(seen), pa.binary())
         yield pa.record_batch({
-            "cell": pa.array(seen.astype(np.int32)), "n": pa.array(total[seen].astype(np.int64)),
+            "cell": pa.array(seen.astype(np.int32)), "n": pa.array(total[seen]),
             "round": pa.nulls(len(seen), pa.int32()), "ids": nothing,
         })
 
     return emit
 
 
-def _trained(path: str, vocabulary, weights, seed: int):
+def _trained(held_as: type, vocabulary, weights, seed: int):
     """The weights after one pass over the task's windows, times the number of windows."""
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        _emptied()
         own, done = weights.value, 0
         total = np.zeros(len(own))
         for batch in batches:
             for held in batch.column(0):
-                ids = np.frombuffer(held.as_py(), dtype=_held_as(_pieces(path))).astype(np.int32).reshape(-1, attention.WINDOW)
+                ids = np.frombuffer(held.as_py(), dtype=held_as).astype(np.int32).reshape(-1, attention.WINDOW)
                 rows = np.where(ids < 0, attention.BEGIN, vocabulary.value.inputs[ids])
                 if len(rows):
                     # Later parts of a task's windows move the weights less, like a decaying rate.
@@ -214,7 +260,8 @@ def fit(docs: DataFrame, path: str, every: int = EVERY, rounds: int = ROUNDS, se
     """A model of the texts in column ``body`` of all rows."""
     spark = docs.sparkSession
     counted = docs.select("body").mapInArrow(_count_words, "word string, n long")
-    words = stored(counted.groupBy("word").agg(F.sum("n").alias("n")), "words")
+    with text_batches(spark, TEXT_ROWS):
+        words = stored(counted.groupBy("word").agg(F.sum("n").alias("n")), "words")
     sums = words.agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("v")).first()
     texts = docs.select(F.count(F.lit(1)).alias("n")).first()["n"]
     tokens, kinds = (sums["n"] or 0) + texts, sums["v"] + (1 if texts else 0)
@@ -227,16 +274,17 @@ def fit(docs: DataFrame, path: str, every: int = EVERY, rounds: int = ROUNDS, se
     counts[pieces.end] += texts
     vocabulary = attention.vocabulary(counts)
     shared = spark.sparkContext.broadcast(vocabulary)
-    windows = stored(
-        docs.select(F.xxhash64(F.lit(seed), "body"), "body").mapInArrow(_windows(path, shared, every, rounds), _WINDOWS), "windows"
-    )
+    windows = docs.select(F.xxhash64(F.lit(seed), "body"), "body").mapInArrow(_windows(path, shared, every, rounds), _WINDOWS)
+    with text_batches(spark, TEXT_ROWS):
+        windows = stored(windows, "windows")
     cells = windows.where("cell is not null").groupBy("cell").agg(F.sum("n").alias("n")).toPandas()
     weights = attention.start(vocabulary, seed)
     for r in range(rounds):
         given = spark.sparkContext.broadcast(weights)
         held = windows.where((F.col("round") == r) & (F.col("n") > 0)).select("ids")
-        summed = held.mapInArrow(_trained(path, shared, given, seed + r), "place int, value double, n long").groupBy("place")
-        mean = summed.agg((F.sum("value") / F.sum("n")).alias("w")).toPandas()
+        summed = held.mapInArrow(_trained(_held_as(pieces), shared, given, seed + r), "place int, value double, n long").groupBy("place")
+        with text_batches(spark, BLOCK_ROWS):
+            mean = summed.agg((F.sum("value") / F.sum("n")).alias("w")).toPandas()
         if len(mean):
             weights = np.empty(len(weights))
             weights[mean["place"].to_numpy(dtype=np.int64)] = mean["w"].to_numpy()
@@ -257,7 +305,7 @@ def _scorer(path: str, vocabulary, weights, top, denominator: int, end_count: in
         pieces, known, p, counts = _pieces(path), vocabulary.value, attention.split(weights.value), top.value
         columns: list[list[np.ndarray]] = [[], [], [], []]
         rare_words, rare_n, rare_sizes = [], [], []
-        for part in slices(texts, BATCH_BYTES):
+        for part in slices(texts, HELD_BYTES):
             words, first = _split(part)
             distinct, index = words.dictionary.to_pylist(), words.indices.to_numpy()
             numbers = pieces.of(distinct)
@@ -320,11 +368,11 @@ def score(docs: DataFrame, path: str, doc_id: str = "doc_id", text: str = "text"
     share = spark.sparkContext.broadcast
     denominator = model.tokens + model.kinds + 1
     scorer = _scorer(path, share(model.vocabulary), share(model.weights), share(model.top), denominator, model.texts)
-    scored = stored(
-        rows.select("doc_id", "held_out", scorer("body").alias("s"))
-        .select("doc_id", "held_out", "s.*", F.monotonically_increasing_id().alias("row")),
-        "scored",
+    scored = rows.select("doc_id", "held_out", scorer("body").alias("s")).select(
+        "doc_id", "held_out", "s.*", F.monotonically_increasing_id().alias("row")
     )
+    with text_batches(spark, TEXT_ROWS):
+        scored = stored(scored, "scored")
     rare = scored.select("row", F.inline("rare")).join(model.words.withColumnRenamed("n", "c"), "word")
     # A word without count adds (0 + 1) / denominator; the join only corrects the others.
     extra = rare.groupBy("row").agg(F.sum("n").alias("_known"), F.sum(F.col("n") * F.log10(F.col("c") + 1)).alias("_more"))

@@ -4,6 +4,7 @@ from collections import Counter
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from helpers import empty, odd, words
 from pyspark.sql import functions as F
@@ -142,3 +143,63 @@ def test_every_window_of_the_training_texts_is_trained_on(spark, documents, monk
         scored += int((ids[:, attention.CONTEXT :] >= 0).sum())
     bodies = [words(r.body) for r in texts.collect()]
     assert scored == sum(1 + sum(len(pieces.model.encode(w)) for w in words) for words in bodies)
+
+
+def _batches(texts, rows):
+    whole = pa.record_batch({"draw": pa.array(range(len(texts)), pa.int64()), "body": pa.array(texts, pa.string())})
+    return [whole.slice(at, rows) for at in range(0, len(texts), rows)]
+
+
+def test_blocks_do_not_depend_on_the_cut_into_batches():
+    texts = ["", "a" * 50, "b" * 3000, "", "c" * 10, *["d" * 90] * 40, "e" * 900]
+    expected = [b.to_pydict() for b in lm._blocks(_batches(texts, len(texts)), 1000)]
+    assert sum((b["body"] for b in expected), []) == texts and len(expected) > 5
+    for rows in (1, 2, 7, 20):
+        assert [b.to_pydict() for b in lm._blocks(_batches(texts, rows), 1000)] == expected
+    assert list(lm._blocks([], 1000)) == [] and list(lm._blocks(_batches([""], 1)[0:0], 1000)) == []
+
+
+def test_words_are_counted_in_parts(monkeypatch):
+    monkeypatch.setattr(lm, "HELD_BYTES", 200)
+    monkeypatch.setattr(lm, "HELD_COUNTS", 30)
+    texts = [f"The w{i % 9} w{i} {'x ' * (i % 5)}" for i in range(100)] + ["", None]
+    got, parts = Counter(), [b for b in lm._count_words(b.select(["body"]) for b in _batches(texts, 30))]
+    for b in parts:
+        assert b["word"].value_counts().field("counts").to_pylist() == [1] * len(b)
+        for w, n in zip(b["word"].to_pylist(), b["n"].to_pylist()):
+            got[w] += n
+    assert got == Counter(w for t in texts for w in words(t)) and len(parts) > 2
+
+
+def test_a_task_holds_the_ids_of_few_texts_at_a_time(monkeypatch):
+    """What a task holds as words and ids follows HELD_BYTES, not the batch; the training blocks stay as large as before."""
+    longest, split = [0], lm._split
+
+    def seen(texts):
+        longest[0] = max(longest[0], sum(len(t) for t in texts.to_pylist()))
+        return split(texts)
+
+    monkeypatch.setattr(lm, "_split", seen)
+    text = "some words of a text that is not short " * 40
+    texts, pieces = [text] * 3000, lm._pieces(PATH)
+    vocabulary = type("", (), {"value": attention.vocabulary(np.ones(pieces.size))})
+    found = list(lm._windows(PATH, vocabulary, 2, 2)(iter(_batches(texts, 2000))))
+    assert longest[0] <= (1 << 20) + len(text)
+    list(lm._count_words(b.select(["body"]) for b in _batches(texts, 3000)))
+    assert longest[0] <= (1 << 20) + len(text)
+    each = -(-(1 + sum(len(pieces.model.encode(w)) for w in words(text))) // attention.SCORED)
+    n = [b["n"][0].as_py() for b in found if b["ids"][0].is_valid]
+    assert sum(n) == 3000 * each and len(n) == 2 * 2
+
+
+def test_python_gets_texts_and_windows_in_small_batches(spark, documents, monkeypatch):
+    key, limits = "spark.sql.execution.arrow.maxRecordsPerBatch", {}
+    stored, before = lm.stored, spark.conf.get(key)
+
+    def kept(df, name):
+        limits[name] = int(spark.conf.get(key))
+        return stored(df, name)
+
+    monkeypatch.setattr(lm, "stored", kept)
+    lm.score(documents, PATH, every=10**9)
+    assert set(limits) == {"words", "windows", "scored"} and max(limits.values()) <= 1000 and spark.conf.get(key) == before
