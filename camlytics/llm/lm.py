@@ -25,20 +25,20 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from camlytics.llm import attention
-from camlytics.llm.common import id_remainder, mix, most_counted, slices, stored, text_batches, text_bytes, worker_memory
+from camlytics.llm.common import id_remainder, long_rows, mix, most_counted, slices, stored, text_bytes, worker_memory
 
 FOLDS, HELD_OUT = 7, 2
 EVERY, ROUNDS = 2, 2
 #: Words whose counts every task holds; the counts of rarer words are joined.
 TOP_WORDS = 1 << 17
 #: Words whose ids a Python worker remembers before it starts anew.
-KNOWN_WORDS = 1 << 17
+KNOWN_WORDS = 400_000
 #: Text whose windows are one block of training, and text that is held as words and ids at a time.
 BATCH_BYTES, HELD_BYTES = 4 << 20, 1 << 20
 #: Counts of words that a task adds up before they are shuffled.
-HELD_COUNTS = 1 << 19
-#: Rows handed to a Python worker at a time: texts, and blocks of windows.
-TEXT_ROWS, BLOCK_ROWS = 1000, 4
+HELD_COUNTS = 1 << 17
+#: Rows read and handed to a Python worker at a time: texts, and blocks of windows; and counts it hands back at a time.
+TEXT_ROWS, BLOCK_ROWS, COUNT_ROWS = 1000, 2, 1 << 15
 
 
 class _Pieces:
@@ -213,12 +213,13 @@ def _windows(path: str, vocabulary, every: int, rounds: int):
                     "cell": pa.nulls(1, pa.int32()), "n": pa.array([len(mine)], pa.int64()),
                     "round": pa.array([r], pa.int32()), "ids": pa.array([mine.tobytes()], pa.binary()),
                 })
-        seen = np.flatnonzero(total)
-        nothing = pa.nulls(len(seen), pa.binary())
-        yield pa.record_batch({
-            "cell": pa.array(seen.astype(np.int32)), "n": pa.array(total[seen]),
-            "round": pa.nulls(len(seen), pa.int32()), "ids": nothing,
-        })
+        found = np.flatnonzero(total)
+        for at in range(0, len(found), COUNT_ROWS):
+            seen = found[at : at + COUNT_ROWS]
+            yield pa.record_batch({
+                "cell": pa.array(seen.astype(np.int32)), "n": pa.array(total[seen]),
+                "round": pa.nulls(len(seen), pa.int32()), "ids": pa.nulls(len(seen), pa.binary()),
+            })
 
     return emit
 
@@ -260,7 +261,7 @@ def fit(docs: DataFrame, path: str, every: int = EVERY, rounds: int = ROUNDS, se
     """A model of the texts in column ``body`` of all rows."""
     spark = docs.sparkSession
     counted = docs.select("body").mapInArrow(_count_words, "word string, n long")
-    with text_batches(spark, TEXT_ROWS):
+    with long_rows(spark, TEXT_ROWS):
         words = stored(counted.groupBy("word").agg(F.sum("n").alias("n")), "words")
     sums = words.agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("v")).first()
     texts = docs.select(F.count(F.lit(1)).alias("n")).first()["n"]
@@ -275,7 +276,7 @@ def fit(docs: DataFrame, path: str, every: int = EVERY, rounds: int = ROUNDS, se
     vocabulary = attention.vocabulary(counts)
     shared = spark.sparkContext.broadcast(vocabulary)
     windows = docs.select(F.xxhash64(F.lit(seed), "body"), "body").mapInArrow(_windows(path, shared, every, rounds), _WINDOWS)
-    with text_batches(spark, TEXT_ROWS):
+    with long_rows(spark, TEXT_ROWS):
         windows = stored(windows, "windows")
     cells = windows.where("cell is not null").groupBy("cell").agg(F.sum("n").alias("n")).toPandas()
     weights = attention.start(vocabulary, seed)
@@ -283,7 +284,7 @@ def fit(docs: DataFrame, path: str, every: int = EVERY, rounds: int = ROUNDS, se
         given = spark.sparkContext.broadcast(weights)
         held = windows.where((F.col("round") == r) & (F.col("n") > 0)).select("ids")
         summed = held.mapInArrow(_trained(_held_as(pieces), shared, given, seed + r), "place int, value double, n long").groupBy("place")
-        with text_batches(spark, BLOCK_ROWS):
+        with long_rows(spark, BLOCK_ROWS):
             mean = summed.agg((F.sum("value") / F.sum("n")).alias("w")).toPandas()
         if len(mean):
             weights = np.empty(len(weights))
@@ -371,7 +372,7 @@ def score(docs: DataFrame, path: str, doc_id: str = "doc_id", text: str = "text"
     scored = rows.select("doc_id", "held_out", scorer("body").alias("s")).select(
         "doc_id", "held_out", "s.*", F.monotonically_increasing_id().alias("row")
     )
-    with text_batches(spark, TEXT_ROWS):
+    with long_rows(spark, TEXT_ROWS):
         scored = stored(scored, "scored")
     rare = scored.select("row", F.inline("rare")).join(model.words.withColumnRenamed("n", "c"), "word")
     # A word without count adds (0 + 1) / denominator; the join only corrects the others.

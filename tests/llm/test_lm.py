@@ -1,15 +1,19 @@
+import glob
 import math
+import os
 import zlib
 from collections import Counter
 
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
+import pyarrow.parquet as pq
 import pytest
 from helpers import empty, odd, words
 from pyspark.sql import functions as F
 
 from camlytics.llm import attention, lm
+from camlytics.llm.common import long_rows
 from camlytics.llm.queries import SUBWORDS
 
 PATH = public_tokenizers.path(SUBWORDS)
@@ -203,3 +207,54 @@ def test_python_gets_texts_and_windows_in_small_batches(spark, documents, monkey
     monkeypatch.setattr(lm, "stored", kept)
     lm.score(documents, PATH, every=10**9)
     assert set(limits) == {"words", "windows", "scored"} and max(limits.values()) <= 1000 and spark.conf.get(key) == before
+
+
+def test_windows_are_written_in_small_pages(spark, documents, monkeypatch):
+    """A task packs and unpacks one block of windows at a time, not all of its blocks as one page."""
+    keys = ["spark.sql.execution.arrow.maxRecordsPerBatch", "spark.sql.parquet.columnarReaderBatchSize"]
+    before, stored, files = [spark.conf.get(k) for k in keys], lm.stored, []
+
+    def kept(df, name):
+        if name == "windows":  # beside the real ones, a task's blocks as large texts give them
+            path = stored(spark.range(0, 40, 1, 1).select(F.expr("cast(repeat(cast(rand() as string), 60000) as binary)").alias("ids")), "blocks").scratch
+            files.extend(glob.glob(f"{path.removeprefix('file:')}/*.parquet"))
+        return stored(df, name)
+
+    monkeypatch.setattr(lm, "stored", kept)
+    lm.fit(documents.select(F.coalesce("text", F.lit("")).alias("body")), PATH)
+    assert [spark.conf.get(k) for k in keys] == before
+    held = pq.ParquetFile(files[0]).metadata
+    pages = os.path.getsize(files[0]) - held.serialized_size - sum(
+        held.row_group(g).column(0).total_compressed_size for g in range(held.num_row_groups)
+    )
+    assert pages > 40 * 64  # the file's index has two bounds of each page
+
+
+def test_settings_come_back(spark):
+    keys = ["spark.sql.execution.arrow.maxRecordsPerBatch", "spark.sql.parquet.columnarReaderBatchSize", "parquet.page.size.row.check.min"]
+    before = [spark.conf.get(k, None) for k in keys]
+    with pytest.raises(ValueError), long_rows(spark, 2):
+        assert [spark.conf.get(k) for k in keys] == ["2", "2", "1"]
+        raise ValueError
+    assert [spark.conf.get(k, None) for k in keys] == before
+
+
+def test_a_task_gives_counts_back_in_parts_and_holds_little_text():
+    longest, split, pieces = [0], lm._split, lm._pieces(PATH)
+
+    def seen(texts):
+        longest[0] = max(longest[0], sum(len(t) for t in texts.to_pylist()))
+        return split(texts)
+
+    words_ = [pieces.model.id_to_piece(i).strip("\u2581") for i in range(300, 4000)]
+    draw = np.random.default_rng(0).integers(0, len(words_), (600, 400))
+    texts = [" ".join(words_[i] for i in row) for row in draw]
+    vocabulary = type("", (), {"value": attention.vocabulary(np.ones(pieces.size))})
+    with pytest.MonkeyPatch.context() as m:
+        m.setattr(lm, "_split", seen)
+        m.setattr(lm, "COUNT_ROWS", 1000)
+        found = [b for b in lm._windows(PATH, vocabulary, 2, 2)(iter(_batches(texts, 600))) if not b["ids"][0].is_valid]
+    assert longest[0] <= lm.HELD_BYTES + max(map(len, texts))
+    assert sum(map(len, found)) > 1000 >= max(map(len, found))
+    cells = np.concatenate([b["cell"].to_numpy() for b in found])
+    assert len(np.unique(cells)) == len(cells)
