@@ -20,6 +20,7 @@ from __future__ import annotations
 import json
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from itertools import accumulate
 
 import numpy as np
 
@@ -51,6 +52,7 @@ class _Moving(_Track):
     gallery: list = field(default_factory=list)
     # Filters started on each remembered detection, the oldest first: value, velocity, variances of both and their covariance.
     filters: np.ndarray | None = None
+    oldest: np.ndarray | None = None  # the first of them, in one row
     looks: list = field(default_factory=list)  # the embeddings with their lengths, as far as they were needed
 
     @property
@@ -81,8 +83,8 @@ def _first(z: np.ndarray) -> np.ndarray:
     return np.stack([z, zero, value, velocity, zero])
 
 
-def _foretold(state: np.ndarray, updates: np.ndarray) -> np.ndarray:
-    """State after a number of updates without a detection, for each track at once.
+def _ahead(state: np.ndarray, updates: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Value and its variance after a number of updates without a detection, for each track at once.
 
     Noise follows the height at the last detection, so that many updates are one
     formula: the velocity's noise grows with their number, the value's with its
@@ -92,22 +94,30 @@ def _foretold(state: np.ndarray, updates: np.ndarray) -> np.ndarray:
     n = updates.astype(float)
     value = _scaled(x[3], POSITION_NOISE, SHAPE_NOISE["moved"])
     velocity = _scaled(x[3], VELOCITY_NOISE, SHAPE_NOISE["velocity"])
+    return x + n * v, p + 2 * n * c + n * n * q + n * value + velocity * (n - 1) * n * (2 * n - 1) / 6
+
+
+def _foretold(state: np.ndarray, updates: np.ndarray) -> np.ndarray:
+    """The whole state after a number of updates without a detection."""
+    x, v, p, q, c = state
+    n = updates.astype(float)
+    velocity = _scaled(x[3], VELOCITY_NOISE, SHAPE_NOISE["velocity"])
     out = np.empty(state.shape)
-    out[0], out[1] = x + n * v, v
-    out[2] = p + 2 * n * c + n * n * q + n * value + velocity * (n - 1) * n * (2 * n - 1) / 6
+    out[0], out[2] = _ahead(state, updates)
+    out[1] = v
     out[3] = q + n * velocity
     out[4] = c + n * q + velocity * n * (n - 1) / 2
     return out
 
 
-def _spread(state: np.ndarray) -> np.ndarray:
-    """Variance of what a detection would measure."""
-    return state[2] + _scaled(state[0][3], POSITION_NOISE, SHAPE_NOISE["measured"])
+def _spread(x: np.ndarray, p: np.ndarray) -> np.ndarray:
+    """Variance of what a detection would measure, from value and variance."""
+    return p + _scaled(x[3], POSITION_NOISE, SHAPE_NOISE["measured"])
 
 
 def _corrected(state: np.ndarray, z: np.ndarray) -> np.ndarray:
     x, v, p, q, c = state
-    spread = _spread(state)
+    spread = _spread(x, p)
     off = z - x
     out = np.empty(state.shape)
     out[0], out[1] = x + p / spread * off, v + c / spread * off
@@ -142,21 +152,22 @@ def _look(vector) -> tuple[np.ndarray, float] | None:
 def _advanced(tracks: list[_Moving], memory: int) -> None:
     """Moves the tracks' filters on to their last detection, which starts one more; filters of forgotten detections end."""
     seen = np.array([t.trail[-1] for t in tracks], dtype=float)
-    older = [t for t in tracks if t.filters is not None]
-    new = _first(seen[:, 2:].T)
-    if older:
-        kept = [t.filters[:, :, 1:] if t.filters.shape[2] == memory else t.filters for t in older]
-        sizes = [k.shape[2] for k in kept]
-        mine = np.repeat([k for k, t in enumerate(tracks) if t.filters is not None], sizes)
-        moved = _corrected(_foretold(np.concatenate(kept, axis=2), seen[mine, 1]), seen[mine, 2:].T)
-        edges = np.cumsum([0, *sizes]).tolist()
-    at = 0
-    for k, t in enumerate(tracks):
-        own = new[:, :, k : k + 1]
-        if t.filters is not None:
-            own = np.concatenate([moved[:, :, edges[at] : edges[at + 1]], own], axis=2)
-            at += 1
-        t.filters = own
+    kept = [t.filters if t.filters is None or t.filters.shape[2] < memory else t.filters[:, :, 1:] for t in tracks]
+    sizes = [0 if k is None else k.shape[2] for k in kept]
+    edges = list(accumulate((n + 1 for n in sizes), initial=0))
+    out = np.empty((5, 4, edges[-1]))
+    begun = np.array(edges[1:]) - 1
+    out[:, :, begun] = _first(seen[:, 2:].T)
+    if any(sizes):
+        mine = np.repeat(np.arange(len(tracks)), sizes)
+        older = np.concatenate([k for k in kept if k is not None], axis=2)
+        going = np.ones(edges[-1], dtype=bool)
+        going[begun] = False
+        of = seen[mine].T
+        out[:, :, going] = _corrected(_foretold(older, of[1]), of[2:])
+    for t, low, high in zip(tracks, edges, edges[1:]):
+        t.filters = out[:, :, low:high]
+        t.oldest = t.filters[:, :, 0].ravel()
 
 
 def assign(costs: np.ndarray) -> list[tuple[int, int]]:
@@ -168,6 +179,8 @@ def assign(costs: np.ndarray) -> list[tuple[int, int]]:
     rows, columns = costs.shape
     if rows > columns:
         return sorted((r, c) for c, r in assign(costs.T))
+    if rows * columns <= _FEW:
+        return _assign_few(costs.tolist(), columns)
     row_price, column_price = np.zeros(rows + 1), np.zeros(columns + 1)
     owner = np.zeros(columns + 1, dtype=int)
     for row in range(1, rows + 1):
@@ -192,29 +205,73 @@ def assign(costs: np.ndarray) -> list[tuple[int, int]]:
     return sorted((int(owner[c]) - 1, c - 1) for c in range(1, columns + 1) if owner[c])
 
 
-def _matched(costs: np.ndarray, most: float) -> Iterator[tuple[int, int]]:
+#: Below this many costs, lists are quicker than arrays.
+_FEW = 256
+
+
+def _assign_few(costs: list[list[float]], columns: int) -> list[tuple[int, int]]:
+    """``assign`` for at most as many rows as columns, number by number."""
+    row_price, column_price = [0.0] * (len(costs) + 1), [0.0] * (columns + 1)
+    owner = [0] * (columns + 1)
+    for row in range(1, len(costs) + 1):
+        owner[0], at = row, 0
+        least, came = [np.inf] * (columns + 1), [0] * (columns + 1)
+        done, left = [], list(range(1, columns + 1))
+        while owner[at]:
+            done.append(at)
+            mine, price = costs[owner[at] - 1], row_price[owner[at]]
+            if at:
+                left.remove(at)
+            to = left[0]
+            for c in left:
+                reduced = mine[c - 1] - price - column_price[c]
+                if reduced < least[c]:
+                    least[c], came[c] = reduced, at
+                if least[c] < least[to]:
+                    to = c
+            by = least[to]
+            for c in done:
+                row_price[owner[c]] += by
+                column_price[c] -= by
+            for c in left:
+                least[c] -= by
+            at = to
+        while at:
+            owner[at], at = owner[came[at]], came[at]
+    return sorted((owner[c] - 1, c - 1) for c in range(1, columns + 1) if owner[c])
+
+
+def _near(costs: np.ndarray, most: float) -> list[tuple[int, int, float]]:
+    """Row, column and cost of what costs at most ``most``, row by row."""
+    r, c = np.nonzero(costs <= most)
+    return list(zip(r.tolist(), c.tolist(), costs[r, c].tolist()))
+
+
+def _chosen(near: list[tuple[int, int, float]], rows: list[int], columns: list[int], most: float) -> list[tuple[int, int]]:
+    """The assignment's pairs among those that are ``near``, given row by row; others all count as a little more than ``most``."""
+    by_row, by_column = sorted({r for r, _, _ in near}), sorted({c for _, c, _ in near})
+    if len(by_row) == len(by_column) == len(near):
+        # No two compete.
+        return [(r, c) for r, c, _ in near]
+    if len({cost for _, _, cost in near}) == len(near):
+        # Rows and columns without a pair to take change nothing.
+        rows, columns = by_row, by_column
+    # With equal costs, which of equal totals is found depends on all rows and columns.
+    if len(rows) == 1 or len(columns) == 1:
+        return [min(near, key=lambda pair: pair[2])[:2]]
+    row_at, column_at = {r: k for k, r in enumerate(rows)}, {c: k for k, c in enumerate(columns)}
+    dear = np.full((len(rows), len(columns)), most + _REJECTED)
+    pairs = set()
+    for r, c, cost in near:
+        dear[row_at[r], column_at[c]] = cost
+        pairs.add((r, c))
+    found = [(rows[r], columns[c]) for r, c in assign(dear)]
+    return [pair for pair in found if pair in pairs]
+
+
+def _matched(costs: np.ndarray, most: float) -> list[tuple[int, int]]:
     """The assignment's pairs that cost at most ``most``; dearer ones all count as a little more than that."""
-    near = costs <= most
-    rows, columns = np.flatnonzero(near.any(axis=1)), np.flatnonzero(near.any(axis=0))
-    if not len(rows):
-        return
-    dear = np.where(near, costs, most + _REJECTED)
-    taken = costs[near].tolist()
-    if len(set(taken)) < len(taken):
-        # Equal costs: which of equal totals is found depends on all rows and columns.
-        rows, columns = np.arange(costs.shape[0]), np.arange(costs.shape[1])
-    # Rows and columns without a pair to take change nothing.
-    part = dear[rows][:, columns]
-    if len(rows) == 1:
-        pairs = [(0, int(part.argmin()))]
-    elif len(columns) == 1:
-        pairs = [(int(part.argmin()), 0)]
-    else:
-        pairs = assign(part)
-    for r, c in pairs:
-        t, d = int(rows[r]), int(columns[c])
-        if near[t, d]:
-            yield t, d
+    return _chosen(_near(costs, most), list(range(costs.shape[0])), list(range(costs.shape[1])), most)
 
 
 class MotionTracker(Tracker):
@@ -226,42 +283,52 @@ class MotionTracker(Tracker):
         free = [at for at, t in enumerate(self.tracks) if t.missed > 0]
         if not free or not len(boxes):
             return
-        z = np.array([_measured(b) for b in boxes]).T
+        z = np.array([_measured(b) for b in boxes.tolist()]).T
         tracks = [self.tracks[t] for t in free]
-        state = _foretold(np.stack([t.state for t in tracks], axis=2), np.array([t.missed for t in tracks]))
-        ages = np.array([t.missed if self._confirmed(t) else 0 for t in tracks])
-        costs = (np.square(z[:, None, :] - state[0][:, :, None]) / _spread(state)[:, :, None]).sum(axis=0)
+        state = np.concatenate([t.oldest for t in tracks]).reshape(len(tracks), 5, 4).transpose(1, 2, 0)
+        x, p = _ahead(np.ascontiguousarray(state), np.array([t.missed for t in tracks]))
+        ages = [t.missed if self._confirmed(t) else 0 for t in tracks]
+        costs = (np.square(z[:, None, :] - x[:, :, None]) / _spread(x, p)[:, :, None]).sum(axis=0)
         most = self.settings.gate
         if embeddings is not None:
-            near = (costs <= most) & (ages > 0)[:, None]
+            near = (costs <= most) & (np.array(ages) > 0)[:, None]
             most = self.settings.max_cosine_distance
             costs = self._unlike(tracks, embeddings, near)
-        open_ = np.ones(len(boxes), dtype=bool)
-        matched = np.zeros(len(free), dtype=bool)
-
-        def taken(rows: np.ndarray, of: np.ndarray, limit: float):
-            columns = np.flatnonzero(open_)
-            for r, c in _matched(of[:, columns], limit):
-                open_[columns[c]] = False
-                matched[rows[r]] = True
-                yield free[rows[r]], int(columns[c])
-
-        hopeful = (ages > 0) & (costs <= most).any(axis=1)
-        for age in np.unique(ages[hopeful]):
-            rows = np.flatnonzero(ages == age)
-            yield from taken(rows, costs[rows], most)
-        rest = np.flatnonzero((ages <= 1) & ~matched)
-        if len(rest) and open_.any():
-            yield from taken(rest, 1 - self._overlap(state[0][:, rest], boxes), 1 - self.settings.min_iou)
+        open_ = set(range(len(boxes)))
+        matched = set()
+
+        def taken(near: list, rows: list[int], limit: float):
+            for r, c in _chosen(near, rows, sorted(open_), limit):
+                open_.discard(c)
+                matched.add(r)
+                yield free[r], c
+
+        hopeful: dict[int, list] = {}
+        for pair in _near(costs, most):
+            if ages[pair[0]] > 0:
+                hopeful.setdefault(ages[pair[0]], []).append(pair)
+        for age in sorted(hopeful):
+            some = [pair for pair in hopeful[age] if pair[1] in open_]
+            if some:
+                yield from taken(some, [r for r, a in enumerate(ages) if a == age], most)
+        rest = [r for r, a in enumerate(ages) if a <= 1 and r not in matched]
+        if rest and open_:
+            columns = sorted(open_)
+            limit = 1 - self.settings.min_iou
+            some = _near(1 - self._overlap(x[:, rest], boxes[columns]), limit)
+            if some:
+                yield from taken([(rest[r], columns[c], cost) for r, c, cost in some], rest, limit)
 
     @staticmethod
     def _overlap(x: np.ndarray, boxes: np.ndarray) -> np.ndarray:
         """Overlap of foretold boxes with detections."""
         half = np.stack([x[2] * x[3], x[3]]) / 2
-        low, high = (x[:2] - half).T[:, None, :], (x[:2] + half).T[:, None, :]
-        b = boxes[None, :, :]
-        shared = np.prod(np.clip(np.minimum(high, b[..., 2:]) - np.maximum(low, b[..., :2]), 0, None), axis=2)
-        union = np.prod(high - low, axis=2) + np.prod(b[..., 2:] - b[..., :2], axis=2) - shared
+        low, high = (x[:2] - half)[:, :, None], (x[:2] + half)[:, :, None]
+        b_low, b_high = boxes[:, :2].T[:, None, :], boxes[:, 2:].T[:, None, :]
+        shared = np.maximum(np.minimum(high, b_high) - np.maximum(low, b_low), 0)
+        shared = shared[0] * shared[1]
+        size, b_size = high - low, b_high - b_low
+        union = size[0] * size[1] + b_size[0] * b_size[1] - shared
         return np.divide(shared, union, out=np.zeros_like(shared), where=union > 0)
 
     @staticmethod

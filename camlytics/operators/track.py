@@ -7,8 +7,11 @@ alive there. The guess is then compared with how the segment before really
 ended. From the first wrong guess in a stretch of segments on, one task goes
 through the stretch and runs again what does not start as the segment before
 it ends; stretches grow sixteenfold until no guess is wrong. So guesses that never
-agree cost a few runs over all frames, not one per segment. The result is
-exactly that of one tracker reading all frames in order.
+agree cost a few runs over all frames, not one per segment. A camera of many
+segments is tried out before: where runs from different starts never end alike
+in a few of its segments, no guess will agree, and one task reads the camera's
+frames in order, once. The result is exactly that of one tracker reading all
+frames in order.
 
 Association is by overlap: pairs of live track and detection are taken by
 falling IoU, optionally only when their embeddings are close. A track is
@@ -243,6 +246,11 @@ _STATE = ["_start", "_end", "_state", "_born"]
 _STATE_DDL = "_start string, _end string, _state string, _born bigint"
 #: Segments that one task goes through when guesses were wrong, at first, and how this grows.
 STRETCH = 16
+#: So many segments of a camera are tried out, or one of ``TRIED_SHARE`` if those are more. It takes a job of its own, so
+#: only tables of more than ``LONG`` frames are.
+TRIED, TRIED_SHARE, LONG = 8, 64, 50_000
+#: Frames between two looks at whether two runs of a segment have met.
+_LOOK = 100
 
 
 def _segment(rows: pa.Table, given: str | None, key: tuple, s: Settings, c: Columns, out: list[str]) -> pa.Table:
@@ -270,6 +278,51 @@ def _segment(rows: pa.Table, given: str | None, key: tuple, s: Settings, c: Colu
     return pa.concat_tables([_table(held, rows, out, own.num_rows), _table(ends, rows, out, 1)])
 
 
+def _meets(rows: pa.Table, s: Settings, c: Columns) -> bool | None:
+    """Whether a run that is warmed up and one that is not come to the same state in a segment; None without rows of its own."""
+    rows = _in_order(rows, c)
+    warm = rows["_warm"]
+    own = rows.filter(pc.invert(warm))
+    if not own.num_rows:
+        return None
+    warmed, cold = s.tracker(), s.tracker()
+    run_sorted(warmed, rows.filter(warm), c)
+    edges = np.r_[np.flatnonzero(np.diff(own[c.frame].to_numpy())) + 1, own.num_rows][_LOOK - 1 :: _LOOK].tolist()
+    for low, high in zip([0, *edges], [*edges, own.num_rows]):
+        if low < high:
+            run_sorted(warmed, own.slice(low, high - low), c)
+            run_sorted(cold, own.slice(low, high - low), c)
+        if warmed.signature() == cold.signature():
+            return True
+    return False
+
+
+def _frames(batches: Iterator[pa.RecordBatch], c: Columns) -> Iterator[pa.Table]:
+    """Sorted rows in tables of whole frames of one camera."""
+    held: list[pa.RecordBatch] = []
+
+    def key(batch: pa.RecordBatch, at: int) -> tuple:
+        return batch.column(c.camera)[at].as_py(), batch.column(c.frame)[at].as_py()
+
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        cameras, frames = (batch.column(n).to_numpy(zero_copy_only=False) for n in (c.camera, c.frame))
+        between = np.flatnonzero((cameras[1:] != cameras[:-1])) + 1
+        last = np.flatnonzero((cameras[1:] != cameras[:-1]) | (frames[1:] != frames[:-1]))[-1:] + 1
+        cuts = sorted({*between.tolist(), *last.tolist()})
+        if held and key(held[-1], held[-1].num_rows - 1) != key(batch, 0):
+            yield pa.Table.from_batches(held)
+            held = []
+        for low, high in zip([0, *cuts], [*cuts, batch.num_rows]):
+            held.append(batch.slice(low, high - low))
+            if high < batch.num_rows:
+                yield pa.Table.from_batches(held)
+                held = []
+    if held:
+        yield pa.Table.from_batches(held)
+
+
 def track_objects(detections: DataFrame, settings: Settings = Settings(), columns: Columns = Columns(), *,
                   segment_frames: int = 5000, warm_up: int | None = None) -> DataFrame:
     """Detections with ``track_id`` (from 1 within each camera) and ``is_confirmed``.
@@ -292,7 +345,7 @@ def track_objects(detections: DataFrame, settings: Settings = Settings(), column
     if first // segment_frames == last // segment_frames:
         tracked = _whole(rows, settings, c)
     else:
-        tracked = _Segments(rows, settings, c, segment_frames, warm_up).solve()
+        tracked = _tracked(rows, settings, c, segment_frames, warm_up, last - first + 1)
     return tracked.select(rest.columns).unionByName(rest)
 
 
@@ -312,6 +365,57 @@ def _whole(rows: DataFrame, s: Settings, c: Columns) -> DataFrame:
     return spread(rows, c.camera).groupBy(c.camera).applyInArrow(run, schema)
 
 
+def _tracked(rows: DataFrame, s: Settings, c: Columns, length: int, warm_up: int, frames: int) -> DataFrame:
+    """Segments in parallel, and in order the cameras whose guesses would never agree."""
+    segments = _Segments(rows, s, c, length, warm_up)
+    number = frames // length
+    if frames <= LONG or number <= 2 * TRIED:
+        return segments.solve()
+    apart = segments.apart(-(-number // max(TRIED, number // TRIED_SHARE)))
+    if apart.isEmpty():
+        return segments.solve()
+    ordered_rows = _in_turn(rows, apart, s, c)
+    others = rows.join(F.broadcast(apart.select(c.camera)), c.camera, "left_anti")
+    if others.isEmpty():
+        return ordered_rows
+    tracked = _Segments(others, s, c, length, warm_up).solve()
+    return tracked.select(ordered_rows.columns).unionByName(ordered_rows)
+
+
+def _in_turn(rows: DataFrame, cameras: DataFrame, s: Settings, c: Columns) -> DataFrame:
+    """Each of the cameras in one task, which reads its rows in order, a batch at a time."""
+    spark = rows.sparkSession
+    schema = _with_fields(rows.schema, "track_id bigint, is_confirmed boolean")
+    order = [c.camera, c.frame, c.id]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        camera, tracker = None, None
+        for own in _frames(batches, c):
+            here = own[c.camera][0].as_py()
+            if tracker is None or here != camera:
+                camera, tracker = here, s.tracker()
+            refs, confirmed = run_sorted(tracker, own, c)
+            found = own.append_column("track_id", pa.array(refs + 1)).append_column("is_confirmed", pa.array(confirmed))
+            yield from found.to_batches()
+
+    dealt = _dealt(rows.join(F.broadcast(cameras), c.camera), "_turn").drop("_turn").select(rows.columns)
+    where = scratch_path(spark, "tracked")
+    dealt.sortWithinPartitions(*order).mapInArrow(run, schema).write.parquet(where)
+    return spark.read.schema(schema).parquet(where)
+
+
+def _turns(few: DataFrame, name: str, *order) -> DataFrame:
+    """Numbers for a few groups of much work, by which ``_dealt`` lays them apart."""
+    line = Window.orderBy(*order)
+    return few.withColumn(name, (F.row_number().over(line) - 1).cast("int"))
+
+
+def _dealt(rows: DataFrame, name: str) -> DataFrame:
+    """Groups dealt to tasks by their number in turn, since hashes of a few groups would often share a task."""
+    parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return rows.repartitionById(parts, F.col(name) % F.lit(parts))
+
+
 def _by_segment(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[dict, pa.Table]]:
     """The description and the rows of each segment; a description opens the rows up to the next one."""
     about, held = None, []
@@ -355,6 +459,22 @@ class _Segments:
         self.path = scratch_path(rows.sparkSession, "segments")
         self.spark = rows.sparkSession
 
+    def apart(self, step: int) -> DataFrame:
+        """Cameras whose tried segments, one of every ``step``, all end otherwise from another start; those with most rows first."""
+        c, s = self.c, self.s
+        keys = [c.camera, "_segment"]
+        schema = _with_fields(self.warm.select(*keys).schema, "_met boolean, _size bigint")
+
+        def run(rows: pa.Table) -> pa.Table:
+            found = rows.select(keys).slice(0, 1).append_column("_met", pa.array([_meets(rows, s, c)], pa.bool_()))
+            return found.append_column("_size", pa.array([rows.num_rows], pa.int64()))
+
+        tried = self.warm.where(F.pmod(F.col("_segment"), F.lit(step)) == step - 1)
+        found = spread(tried, *keys).groupBy(*keys).applyInArrow(run, schema).where(F.col("_met").isNotNull())
+        sizes = found.groupBy(c.camera).agg(F.bool_or("_met").alias("_met"), F.count(F.lit(1)).alias("_n"), F.sum("_size").alias("_size"))
+        alone = sizes.where(~F.col("_met") & (F.col("_n") >= TRIED // 2))
+        return cut_lineage(_turns(alone, "_turn", F.col("_size").desc(), c.camera).select(c.camera, "_turn"))
+
     def solve(self) -> DataFrame:
         states = self._first_round()
         number, length = 0, STRETCH
@@ -408,11 +528,13 @@ class _Segments:
             .where(F.col("_start") != F.col("_real"))
         )
         stretch = F.floor(F.col("_number") / F.lit(length)).cast("bigint")
-        return cut_lineage(
+        firsts = cut_lineage(
             wrong.groupBy(c.camera, stretch.alias("_stretch"))
             .agg(F.min_by(F.struct("_segment", "_real", "_given"), "_segment").alias("_w"))
             .select(c.camera, "_stretch", F.col("_w._segment").alias("_from"), "_w._real", "_w._given")
         )
+        keys = [c.camera, "_stretch"]
+        return firsts.join(_turns(firsts.select(*keys), "_turn", *keys), keys)
 
     def _again(self, states: DataFrame, wrong: DataFrame, number: int, length: int) -> DataFrame:
         """Goes through the stretches from their first wrong segment on, a batch of rows at a time."""
@@ -422,15 +544,14 @@ class _Segments:
         states_of = placed.join(wrong, within).where(F.col("_segment") >= F.col("_from"))
         first = F.col("_segment") == F.col("_from")
         known = states_of.select(
-            *within, "_segment", "_start", "_end", "_state", "_born",
+            *within, "_turn", "_segment", "_start", "_end", "_state", "_born",
             *[F.when(first, F.col(n)).alias(n) for n in ("_real", "_given")],
         )
         rows = self.spark.read.schema(self.out).parquet(f"{self.path}/round=0").where(F.col("_end").isNull())
-        rows = rows.select(*self.rows.columns).join(F.broadcast(states_of.select(*keys, "_stretch")), keys)
+        rows = rows.select(*self.rows.columns).join(F.broadcast(states_of.select(*keys, "_stretch", "_turn")), keys)
         # A segment's description comes before its rows.
-        parts = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
         order = [*within, "_segment", F.col("_end").isNull(), c.frame, c.id]
-        dealt = known.unionByName(rows, allowMissingColumns=True).repartition(parts, *within).sortWithinPartitions(*order)
+        dealt = _dealt(known.unionByName(rows, allowMissingColumns=True), "_turn").sortWithinPartitions(*order)
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             real, given, stretch = None, None, None

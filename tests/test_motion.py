@@ -270,6 +270,50 @@ def test_guesses_that_never_agree_take_few_rounds(spark, monkeypatch):
     assert len(rounds) == 2
 
 
+def test_a_camera_without_agreeing_guesses_is_read_once(spark, monkeypatch):
+    """Camera 1 has one track remembered from its first frame on; camera 2 has a new track in each frame, so all its guesses agree."""
+    rows = [(2 * f + k, k + 1, f, 40 * f * k, 0, 9, 9, None, 0) for f in range(200) for k in range(2)]
+    df = spark.createDataFrame(rows, SCHEMA)
+    found, again = [], track._Segments._again
+
+    def counted(self, *args):
+        found.append(args)
+        return again(self, *args)
+
+    monkeypatch.setattr(track._Segments, "_again", counted)
+    monkeypatch.setattr(track, "LONG", 0, raising=False)
+    got = track.track_objects(df, motion.Motion(memory=1000), segment_frames=5, warm_up=2)
+    assert {(r.camera_id, r.frame_id, r.track_id) for r in got.collect()} == {(k + 1, f, 1 + f * k) for f in range(200) for k in range(2)}
+    assert not found
+
+
+@pytest.mark.parametrize("size", [1, 3, 50])
+def test_a_camera_read_in_batches_equals_one_run(spark, size):
+    """Frames are whole whatever the batches are, and cameras in one task begin anew."""
+    rnd = random.Random(size)
+    rows = [(n, 1 + n // 4 % 3, n // 12, rnd.randint(0, 60), rnd.randint(0, 60), rnd.randint(20, 50), rnd.randint(20, 50), None, 0) for n in range(900)]
+    df = spark.createDataFrame(rows, SCHEMA)
+    cameras = spark.createDataFrame([(1, 0), (2, 1), (3, 8)], "camera_id int, _turn int")
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, size)
+    try:
+        in_turn = tracked(track._in_turn(df, cameras, SMALL, track.Columns()))
+    finally:
+        spark.conf.set(name, before)
+    assert in_turn == tracked(track.track_objects(df, SMALL))
+
+
+def test_few_costs_are_assigned_as_many(monkeypatch):
+    rnd = np.random.default_rng(5)
+    for _ in range(300):
+        costs = rnd.integers(0, 6, rnd.integers(1, 9, 2)) / 7
+        few = motion.assign(costs)
+        with monkeypatch.context() as m:
+            m.setattr(motion, "_FEW", 0)
+            assert motion.assign(costs) == few
+
+
 def test_an_update_moves_each_filter_once(monkeypatch):
     """Filters go on from where they are and are those of whole trails, also when the oldest detections are forgotten."""
     steps, corrected = [], motion._corrected
