@@ -32,6 +32,9 @@ POSITION_NOISE, VELOCITY_NOISE = 1 / 20, 1 / 160
 SHAPE_NOISE = {"measured": 1e-1, "first": 1e-2, "moved": 1e-2, "first_velocity": 1e-5, "velocity": 1e-5}
 GATE = 9.4877
 _REJECTED = 1e-5
+# What an update without a detection adds: for the value and for the velocity.
+_SHARES = np.array([POSITION_NOISE, VELOCITY_NOISE])[:, None, None] * np.ones((1, 4, 1))
+_SHAPES = np.square([[SHAPE_NOISE["moved"]], [SHAPE_NOISE["velocity"]]])
 
 
 @dataclass(frozen=True)
@@ -62,7 +65,7 @@ class _Moving(_Track):
 
 def _measured(box) -> list[float]:
     """Center, width per height, and height of a box given by corners."""
-    x1, y1, x2, y2 = (float(v) for v in box)
+    x1, y1, x2, y2 = map(float, box)
     height = max(y2 - y1, 1e-9)
     return [(x1 + x2) / 2, (y1 + y2) / 2, (x2 - x1) / height, y2 - y1]
 
@@ -83,17 +86,22 @@ def _first(z: np.ndarray) -> np.ndarray:
     return np.stack([z, zero, value, velocity, zero])
 
 
-def _ahead(state: np.ndarray, updates: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Value and its variance after a number of updates without a detection, for each track at once.
+def _noise(heights: np.ndarray) -> np.ndarray:
+    """Variances that an update adds to value and velocity, by track."""
+    out = np.square(_SHARES * heights)
+    out[:, 2] = _SHAPES
+    return out
+
+
+def _ahead(state: np.ndarray, n: np.ndarray, noise: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Value and its variance after ``n`` updates without a detection, for each track at once.
 
     Noise follows the height at the last detection, so that many updates are one
     formula: the velocity's noise grows with their number, the value's with its
     cube.
     """
     x, v, p, q, c = state
-    n = updates.astype(float)
-    value = _scaled(x[3], POSITION_NOISE, SHAPE_NOISE["moved"])
-    velocity = _scaled(x[3], VELOCITY_NOISE, SHAPE_NOISE["velocity"])
+    value, velocity = noise
     return x + n * v, p + 2 * n * c + n * n * q + n * value + velocity * (n - 1) * n * (2 * n - 1) / 6
 
 
@@ -101,9 +109,10 @@ def _foretold(state: np.ndarray, updates: np.ndarray) -> np.ndarray:
     """The whole state after a number of updates without a detection."""
     x, v, p, q, c = state
     n = updates.astype(float)
-    velocity = _scaled(x[3], VELOCITY_NOISE, SHAPE_NOISE["velocity"])
+    noise = _noise(x[3])
+    velocity = noise[1]
     out = np.empty(state.shape)
-    out[0], out[2] = _ahead(state, updates)
+    out[0], out[2] = _ahead(state, n, noise)
     out[1] = v
     out[3] = q + n * velocity
     out[4] = c + n * q + velocity * n * (n - 1) / 2
@@ -149,25 +158,32 @@ def _look(vector) -> tuple[np.ndarray, float] | None:
     return (out, norm) if norm > 0 else None
 
 
+_PLACE = np.ones((5, 4, 1))
+
+
 def _advanced(tracks: list[_Moving], memory: int) -> None:
     """Moves the tracks' filters on to their last detection, which starts one more; filters of forgotten detections end."""
     seen = np.array([t.trail[-1] for t in tracks], dtype=float)
-    kept = [t.filters if t.filters is None or t.filters.shape[2] < memory else t.filters[:, :, 1:] for t in tracks]
-    sizes = [0 if k is None else k.shape[2] for k in kept]
-    edges = list(accumulate((n + 1 for n in sizes), initial=0))
-    out = np.empty((5, 4, edges[-1]))
-    begun = np.array(edges[1:]) - 1
-    out[:, :, begun] = _first(seen[:, 2:].T)
-    if any(sizes):
-        mine = np.repeat(np.arange(len(tracks)), sizes)
-        older = np.concatenate([k for k in kept if k is not None], axis=2)
-        going = np.ones(edges[-1], dtype=bool)
-        going[begun] = False
-        of = seen[mine].T
-        out[:, :, going] = _corrected(_foretold(older, of[1]), of[2:])
-    for t, low, high in zip(tracks, edges, edges[1:]):
-        t.filters = out[:, :, low:high]
-        t.oldest = t.filters[:, :, 0].ravel()
+    new = _first(seen[:, 2:].T)
+    # Each track's filters and a place for the one that starts.
+    held, sizes = [], []
+    for t in tracks:
+        size = 0
+        if t.filters is not None:
+            held.append(t.filters if t.filters.shape[2] < memory else t.filters[:, :, 1:])
+            size = held[-1].shape[2]
+        held.append(_PLACE)
+        sizes.append(size + 1)
+    edges = list(accumulate(sizes, initial=0))
+    if edges[-1] > len(tracks):
+        of = np.repeat(seen, sizes, axis=0).T
+        out = _corrected(_foretold(np.concatenate(held, axis=2), of[1]), of[2:])
+        out[:, :, [e - 1 for e in edges[1:]]] = new
+    else:
+        out = new
+    oldest = out[:, :, edges[:-1]].reshape(20, -1).T.copy()
+    for t, low, high, row in zip(tracks, edges, edges[1:], oldest):
+        t.filters, t.oldest = out[:, :, low:high], row
 
 
 def assign(costs: np.ndarray) -> list[tuple[int, int]]:
@@ -286,7 +302,8 @@ class MotionTracker(Tracker):
         z = np.array([_measured(b) for b in boxes.tolist()]).T
         tracks = [self.tracks[t] for t in free]
         state = np.concatenate([t.oldest for t in tracks]).reshape(len(tracks), 5, 4).transpose(1, 2, 0)
-        x, p = _ahead(np.ascontiguousarray(state), np.array([t.missed for t in tracks]))
+        state = np.ascontiguousarray(state)
+        x, p = _ahead(state, np.array([float(t.missed) for t in tracks]), _noise(state[0][3]))
         ages = [t.missed if self._confirmed(t) else 0 for t in tracks]
         costs = (np.square(z[:, None, :] - x[:, :, None]) / _spread(x, p)[:, :, None]).sum(axis=0)
         most = self.settings.gate
@@ -322,7 +339,8 @@ class MotionTracker(Tracker):
     @staticmethod
     def _overlap(x: np.ndarray, boxes: np.ndarray) -> np.ndarray:
         """Overlap of foretold boxes with detections."""
-        half = np.stack([x[2] * x[3], x[3]]) / 2
+        half = x[2:] / 2
+        half[0] = x[2] * x[3] / 2
         low, high = (x[:2] - half)[:, :, None], (x[:2] + half)[:, :, None]
         b_low, b_high = boxes[:, :2].T[:, None, :], boxes[:, 2:].T[:, None, :]
         shared = np.maximum(np.minimum(high, b_high) - np.maximum(low, b_low), 0)
@@ -354,10 +372,12 @@ class MotionTracker(Tracker):
     def _observe(self, track: _Moving, name: int, box, embedding) -> None:
         super()._observe(track, name, box, None)
         memory = self.settings.memory
-        track.trail = [*track.trail, [name, track.gap, *_measured(box)]][-memory:]
-        track.gallery = [*track.gallery, embedding]
+        track.trail.append([name, track.gap, *_measured(box)])
+        track.gallery.append(embedding)
+        if len(track.trail) > memory:
+            del track.trail[0]
         if len(track.gallery) > memory:
-            track.gallery, track.looks = track.gallery[-memory:], track.looks[1:]
+            del track.gallery[0], track.looks[:1]
 
     def _observed(self, tracks: list[_Moving]) -> None:
         """Filters of the tracks that were just seen, all at once."""

@@ -115,13 +115,14 @@ class Tracker:
                 continue
             taken.add(t)
             owner[d] = self.tracks[t]
+        places = boxes.tolist()
         for d, track in enumerate(owner):
             embedding = None if embeddings is None else embeddings[d]
             if track is None:
                 track = owner[d] = self.kind(self.next_ref, 0, 0, 0, [])
                 self.next_ref += 1
                 self.tracks.append(track)
-            self._observe(track, int(ids[d]), boxes[d], embedding)
+            self._observe(track, int(ids[d]), places[d], embedding)
         self._observed(owner)
         return [t.ref for t in owner], [self._confirmed(t) for t in owner]
 
@@ -247,8 +248,8 @@ _STATE_DDL = "_start string, _end string, _state string, _born bigint"
 #: Segments that one task goes through when guesses were wrong, at first, and how this grows.
 STRETCH = 16
 #: So many segments of a camera are tried out, or one of ``TRIED_SHARE`` if those are more. It takes a job of its own, so
-#: only tables of more than ``LONG`` frames are.
-TRIED, TRIED_SHARE, LONG = 8, 64, 50_000
+#: only tables of more than ``LONG`` frames are; in segments of less than ``SHORT`` frames runs have no time to meet.
+TRIED, TRIED_SHARE, LONG, SHORT = 8, 64, 50_000, 1000
 #: Frames between two looks at whether two runs of a segment have met.
 _LOOK = 100
 
@@ -369,7 +370,7 @@ def _tracked(rows: DataFrame, s: Settings, c: Columns, length: int, warm_up: int
     """Segments in parallel, and in order the cameras whose guesses would never agree."""
     segments = _Segments(rows, s, c, length, warm_up)
     number = frames // length
-    if frames <= LONG or number <= 2 * TRIED:
+    if frames <= LONG or length < SHORT or number <= 2 * TRIED:
         return segments.solve()
     apart = segments.apart(-(-number // max(TRIED, number // TRIED_SHARE)))
     if apart.isEmpty():

@@ -282,6 +282,7 @@ def test_a_camera_without_agreeing_guesses_is_read_once(spark, monkeypatch):
 
     monkeypatch.setattr(track._Segments, "_again", counted)
     monkeypatch.setattr(track, "LONG", 0, raising=False)
+    monkeypatch.setattr(track, "SHORT", 0, raising=False)
     got = track.track_objects(df, motion.Motion(memory=1000), segment_frames=5, warm_up=2)
     assert {(r.camera_id, r.frame_id, r.track_id) for r in got.collect()} == {(k + 1, f, 1 + f * k) for f in range(200) for k in range(2)}
     assert not found
